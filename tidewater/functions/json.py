@@ -11,13 +11,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.text import once
+
 
 def _enclosed(value: Column) -> Column:
     return F.concat(F.lit('[{"r":'), value, F.lit("}]"))
 
 
 def _only_member(parsed: Column) -> Column:
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    return once(parsed, lambda members: F.when(F.size(members) == 1, F.get(members, F.lit(0))))
 
 
 def json_fields(value: Column, names: list[str]) -> Column:

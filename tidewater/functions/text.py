@@ -7,6 +7,7 @@ elements, separators elsewhere do, and the empty text is one empty element.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,8 +28,16 @@ def split_pattern(value: Column, pattern: str) -> Column:
 
 
 def _split(value: Column, body: Column, pattern: str) -> Column:
-    only_separators = (body == "") & (F.length(value) > 0)
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(body, pattern))
+    def pieces(text: Column) -> Column:
+        only_separators = (text == "") & (F.length(value) > 0)
+        return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(text, pattern))
+
+    return once(body, pieces)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated one time, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def trim_controls(value: Column) -> Column:

@@ -1,11 +1,12 @@
 """Text records to typed rows, with the rejected rows kept.
 
-Each parser returns ``Parsed(kept, rejected)``. Both are filters over one lazily
-built frame, and every input row is in exactly one of them.
+Each parser returns ``Parsed(kept, rejected)``; every input row is in exactly one of
+them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,17 @@ class Parsed(NamedTuple):
     rejected: DataFrame
 
 
-def _divide(df: DataFrame, record: Column, ok: Column, keep: list[str]) -> Parsed:
-    staged = df.withColumn("_record", record).withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    kept = staged.where("_ok").select(*keep, "_record.*")
-    return Parsed(kept, staged.where("NOT _ok").drop("_record", "_ok"))
+def _divide(df: DataFrame, raw: Column, record: Callable[[Column], Column], good: Callable[[Column, Column], Column],
+            keep: tuple[str, ...]) -> Parsed:
+    """Split ``df`` by whether ``good(raw, record)`` holds.
+
+    The kept side expands an array of no or one record instead of filtering, so the
+    text is parsed once; a filter would be pushed below the parse and repeat it.
+    """
+    built = F.transform(F.array(raw), lambda r: F.struct(r.alias("raw"), record(r).alias("record")))
+    accepted = F.filter(built, lambda b: F.coalesce(good(b["raw"], b["record"]), F.lit(False)))
+    kept = df.select(*keep, F.inline(F.transform(accepted, lambda b: b["record"])))
+    return Parsed(kept, df.where(F.size(accepted) == 0))
 
 
 def parse_json_records(
@@ -43,26 +51,28 @@ def parse_json_records(
     """
     if bad_int not in ("reject", "null"):
         raise ValueError("bad_int must be 'reject' or 'null'")
-    raw = js.json_fields(F.col(value), schema.names)
-    fields, good = [], [F.col("_record").isNotNull()]
-    for field in schema.fields:
-        member = raw[field.name]
-        if isinstance(field.dataType, T.StringType):
-            fields.append(member.alias(field.name))
-            continue
-        if not isinstance(field.dataType, T.IntegerType):
-            raise ValueError(f"{field.name}: only string and int members are supported")
-        number = tx.parse_int(member)
+    numbers = [f.name for f in schema.fields if isinstance(f.dataType, T.IntegerType)]
+    if any(not isinstance(f.dataType, (T.StringType, T.IntegerType)) for f in schema.fields):
+        raise ValueError("only string and int members are supported")
+
+    def record(raw: Column) -> Column:
+        return F.struct(*[
+            (_int_member(raw[n], missing_int) if n in numbers else raw[n]).alias(n) for n in schema.names
+        ])
+
+    def good(raw: Column, _: Column) -> Column:
+        ok = raw.isNotNull()
         if bad_int == "reject":
-            good.append(member.isNull() | number.isNotNull())
-        if missing_int is not None:
-            number = F.when(member.isNull(), F.lit(missing_int)).otherwise(number)
-        fields.append(number.alias(field.name))
-    record = F.when(raw.isNotNull(), F.struct(*fields))
-    ok = good[0]
-    for condition in good[1:]:
-        ok = ok & condition
-    return _divide(df, record, ok, list(keep))
+            for n in numbers:
+                ok = ok & (raw[n].isNull() | tx.parse_int(raw[n]).isNotNull())
+        return ok
+
+    return _divide(df, js.json_fields(F.col(value), schema.names), record, good, keep)
+
+
+def _int_member(member: Column, missing: int | None) -> Column:
+    number = tx.parse_int(member)
+    return number if missing is None else F.when(member.isNull(), F.lit(missing)).otherwise(number)
 
 
 def parse_event_json(df: DataFrame, value: str = "value", **options: object) -> Parsed:
@@ -79,12 +89,11 @@ def parse_dynamic_json(df: DataFrame, value: str = "value", member_column: str =
 def parse_csv_pair(df: DataFrame, value: str = "value", names: tuple[str, str] = ("event", "pv"),
                    keep: tuple[str, ...] = ()) -> Parsed:
     """``text,long`` lines; further fields are ignored."""
+    def record(fields: Column) -> Column:
+        return F.struct(F.get(fields, F.lit(0)).alias(names[0]), tx.parse_long(F.get(fields, F.lit(1))).alias(names[1]))
+
     fields = tx.split_on(tx.trim_controls(F.col(value)), ",")
-    record = F.struct(
-        F.get(fields, F.lit(0)).alias(names[0]),
-        tx.parse_long(F.get(fields, F.lit(1))).alias(names[1]),
-    )
-    return _divide(df, record, F.col("_record")[names[1]].isNotNull(), list(keep))
+    return _divide(df, fields, record, lambda _, pair: pair[names[1]].isNotNull(), keep)
 
 
 # A metrics line has at least this many fields; these positions are read.
@@ -100,24 +109,24 @@ def parse_host_metrics(df: DataFrame, value: str = "value", load_millis: Column
     Fields without a position stay null, the version number stays 0.0. ``load_millis``
     fills ``timeStamp``; by default it is the time the query or micro-batch started.
     """
-    split = tx.split_on(F.col(value), "|")
     stamp = F.unix_millis(F.current_timestamp()) if load_millis is None else load_millis
-    columns = []
-    for field in schemas.HOST_METRICS.fields:
+
+    def column(split: Column, field: T.StructField) -> Column:
         if field.name == "timeStamp":
-            column = stamp
-        elif field.name == "os_version":
-            column = F.lit(0.0)
-        elif field.name in HOST_POSITIONS:
-            text = F.get(split, F.lit(HOST_POSITIONS[field.name]))
-            if isinstance(field.dataType, T.IntegerType):
-                text = tx.parse_int(text)
-            elif isinstance(field.dataType, T.LongType):
-                text = tx.parse_long(text)
-            column = text
-        else:
-            column = F.lit(None)
-        columns.append(column.cast(field.dataType).alias(field.name))
-    record = F.when(F.size(split) >= HOST_FIELDS, F.struct(*columns))
-    ok = F.col("_record")["total_cup"].isNotNull() & F.col("_record")["eventTime"].isNotNull()
-    return _divide(df, record, ok, list(keep))
+            return stamp
+        if field.name == "os_version":
+            return F.lit(0.0)
+        if field.name not in HOST_POSITIONS:
+            return F.lit(None)
+        text = F.get(split, F.lit(HOST_POSITIONS[field.name]))
+        if isinstance(field.dataType, T.IntegerType):
+            return tx.parse_int(text)
+        return tx.parse_long(text) if isinstance(field.dataType, T.LongType) else text
+
+    def record(split: Column) -> Column:
+        return F.struct(*[column(split, f).cast(f.dataType).alias(f.name) for f in schemas.HOST_METRICS.fields])
+
+    def good(split: Column, host: Column) -> Column:
+        return (F.size(split) >= HOST_FIELDS) & host["total_cup"].isNotNull() & host["eventTime"].isNotNull()
+
+    return _divide(df, tx.split_on(F.col(value), "|"), record, good, keep)

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.json import json_fields
-from tidewater.functions.text import parse_long
 from tidewater.functions.times import event_time_text
 
 ORDER = ["ts", "event_id"]
@@ -21,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def product_number() -> Column:
-    return parse_long(json_fields(F.col("props"), ["k"])["k"])
+    return F.get_json_object("props", "$.k").cast("bigint")
 
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:

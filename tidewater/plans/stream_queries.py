@@ -1,0 +1,188 @@
+"""The streaming forms, run over the driver's tables as streams of files.
+
+Each query starts a stream, lets it read what is there, waits for its end and returns
+what the sink holds. Results that wait for a window to close cover closed windows only.
+Counts come without event ids: the order of arrival says which event got which count.
+"""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tidewater.functions.times import event_time_text
+from tidewater.operators import joins, latest, routing, windows
+from tidewater.plans.catalogue import query
+from tidewater.plans.inputs import table
+from tidewater.plans.join_queries import KEYS, WIDTH, _SIDES
+from tidewater.plans.running_queries import _HOURLY
+from tidewater.plans.window_queries import pv_oracle
+from tidewater.session import shared_dir, use_rocksdb
+from tidewater.sinks import tables as sinks
+from tidewater.sources.rows import watch_table
+from tidewater.streaming import processors
+from tidewater.streaming.dimension import Snapshot, enrich_batches
+from tidewater.streaming.queries import finish, to_batches, to_files
+
+DELAY = "3 seconds"
+
+
+def _place(spark):
+    """A new folder for one run's output and checkpoint."""
+    use_rocksdb(spark)
+    return f"{shared_dir(spark)}/tidewater/{uuid.uuid4().hex}"
+
+
+def _events(spark, sf_dir):
+    # A pattern, as a file stream takes a folder or a pattern but not the name of one file.
+    events = watch_table(spark, f"{sf_dir}/[e]vents.parquet")
+    number = F.get_json_object("props", "$.k").cast("bigint")
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", number.alias("k"))
+
+
+def _files(spark, stream, **options):
+    """Run a stream into files and read them back."""
+    place = _place(spark)
+    finish(to_files(stream, f"{place}/out", f"{place}/checkpoint", **options))
+    return spark.read.schema(stream.schema).parquet(f"{place}/out")
+
+
+# Windows the watermark has passed once all events are read.
+_CLOSED = "WHERE window_end <= (SELECT strftime(max(ts) - INTERVAL 3 SECOND, '%Y-%m-%d %H:%M:%S') FROM events)"
+
+
+@query(pv_oracle("1 HOUR", _CLOSED))
+def stream_pv_tumbling(spark, sf_dir):
+    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
+    return _files(spark, windows.page_views(timed, "ts", "1 hour", "event_type"))
+
+
+@query(_HOURLY + f"""
+    SELECT event_type, arg_max(window_start, window_end) AS window_start, max(window_end) AS window_end,
+           arg_max("count", window_end) AS "count", arg_max("sum", window_end) AS "sum" FROM hourly {_CLOSED} GROUP BY 1
+""")
+def stream_latest_window_count_sum(spark, sf_dir):
+    """Published window state: closed windows go to a latest-value table."""
+    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
+    hourly = windows.window_count_sum(timed, "ts", "1 hour", "event_type", F.col("k"))
+    place = _place(spark)
+    newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
+    finish(to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    return newest.read(spark)
+
+
+@query(_HOURLY + f"""
+    SELECT event_type, max(window_end) AS window_end, arg_max(max_value, window_end) AS max_value
+    FROM hourly {_CLOSED} AND event_type IN ('view', 'click') GROUP BY 1
+""")
+def stream_state_lookup(spark, sf_dir):
+    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
+    hourly = windows.window_max(timed, "ts", "1 hour", "event_type", F.col("k"))
+    place = _place(spark)
+    newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
+    finish(to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    found = latest.look_up(newest.read(spark), "event_type", ["view", "click", "absent"])
+    return found.select("event_type", "window_end", "max_value")
+
+
+def _stream_join(spark, sf_dir, how):
+    logs = _events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
+    logs = logs.select("event_id", F.concat(F.lit("user_"), "user_id").alias("userID"),
+                       event_time_text(F.col("hour")).alias("eventTime"), "hour", "event_type")
+    browse = windows.with_event_time(logs.where("event_type = 'view'").drop("event_type"), "hour", "0 seconds")
+    click = windows.with_event_time(logs.where("event_type = 'click'").drop("event_type"), "hour", "0 seconds")
+    joined = joins.window_join(browse, click, how, "hour", WIDTH, KEYS)
+    return _files(spark, joined.select(
+        "left_event_id", "right_event_id", F.coalesce("left_userID", "right_userID").alias("user"),
+        F.coalesce("left_eventTime", "right_eventTime").alias("event_time")))
+
+
+def _stream_join_oracle(how: str) -> str:
+    """Matches, and rows without one whose window both watermarks have passed."""
+    return _SIDES + f"""
+        SELECT b.event_id AS left_event_id, c.event_id AS right_event_id,
+               'user_' || coalesce(b.user_id, c.user_id) AS "user", coalesce(b.event_time, c.event_time) AS event_time
+        FROM browse b {how} JOIN click c ON b.user_id = c.user_id AND b.event_time = c.event_time
+        WHERE (b.event_id IS NOT NULL AND c.event_id IS NOT NULL)
+           OR coalesce(b.hour, c.hour) + INTERVAL 10 SECOND
+              <= least((SELECT max(hour) FROM browse), (SELECT max(hour) FROM click))
+    """
+
+
+@query(_stream_join_oracle("INNER"))
+def stream_join_inner(spark, sf_dir):
+    return _stream_join(spark, sf_dir, "inner")
+
+
+@query(_stream_join_oracle("LEFT"))
+def stream_join_left(spark, sf_dir):
+    return _stream_join(spark, sf_dir, "left")
+
+
+@query(_stream_join_oracle("RIGHT"))
+def stream_join_right(spark, sf_dir):
+    return _stream_join(spark, sf_dir, "right")
+
+
+@query("""
+    SELECT user_id, 'user_' || user_id || ' : ' || row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS line
+    FROM events
+""")
+def stream_running_count_by_user(spark, sf_dir):
+    ones = _events(spark, sf_dir).select("user_id", F.lit(1).cast("bigint").alias("one"))
+    counted = processors.running_sum(ones, ["user_id"], "one")
+    line = F.concat_ws(" : ", F.concat(F.lit("user_"), "user_id"), "total")
+    return _files(spark, counted.select("user_id", line.alias("line")))
+
+
+@query("""
+    SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events
+""")
+def stream_behavior_count(spark, sf_dir):
+    rows = _events(spark, sf_dir).select("user_id", "event_type")
+    return _files(spark, processors.count_per_item(rows, ["user_id"], "event_type"))
+
+
+@query("""
+    WITH counted AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
+    SELECT user_id, true AS is_add, n FROM counted
+    UNION ALL SELECT user_id, false AS is_add, n - 1 AS n FROM counted WHERE n > 1
+""")
+def stream_retract_running_count(spark, sf_dir):
+    return _files(spark, processors.count_changes(_events(spark, sf_dir), "user_id"))
+
+
+@query("SELECT count(*)::BIGINT AS n FROM events WHERE event_type = 'purchase'")
+def stream_buy_total(spark, sf_dir):
+    buys = _events(spark, sf_dir).where("event_type = 'purchase'")
+    parts = processors.sharded_count(buys, "event_id", shards=16)
+    place = _place(spark)
+    newest = sinks.LatestTable(f"{place}/latest", ["shard"], ["n"])
+    finish(to_batches(parts, newest.write_batch, f"{place}/checkpoint", mode="update"))
+    return processors.shard_total(newest.read(spark))
+
+
+@query("""
+    SELECT e.event_id, e.user_id, e.event_type, c.c_name AS user_name, c.c_nationkey AS user_age
+    FROM events e JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_acctbal > 0
+""")
+def stream_enrich(spark, sf_dir):
+    def people():
+        return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+            F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"),
+            F.col("c_nationkey").alias("user_age"))
+
+    place = _place(spark)
+    snapshot = Snapshot(spark, people, people().schema, f"{place}/dimension")
+    events = _events(spark, sf_dir).select("event_id", "user_id", "event_type")
+    handle = enrich_batches(snapshot, "user_id", sinks.append_batch(f"{place}/out"))
+    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    return sinks.read_batches(spark, f"{place}/out").drop(sinks.BATCH)
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_type = 'click'")
+def stream_split_select(spark, sf_dir):
+    """All outputs in one pass: each goes to its own folder of one exactly-once sink."""
+    rows = _events(spark, sf_dir).select("event_id", "user_id", "event_type")
+    tagged = routing.tag(rows, {"clicks": F.col("event_type") == "click", "buys": F.col("event_type") == "purchase"})
+    routed = tagged.select("event_id", "user_id", "event_type", F.explode(routing.OUTPUTS).alias("output"))
+    return _files(spark, routed, partition_by=["output"]).where("output = 'clicks'").drop("output")
