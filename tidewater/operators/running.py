@@ -16,11 +16,11 @@ from tidewater.operators.slices import slice_rows
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
-                  slices: int | None = None) -> DataFrame:
-    """Position of the row among its key's rows."""
-    cut = slice_rows(df, list(keys), list(order), slices).carry(_before=(F.count(F.lit(1)), "sum"))
+                  slices: int | None = None, same_rows: DataFrame | None = None) -> DataFrame:
+    """Position of the row among its key's rows; ``same_rows`` as in ``slice_rows``."""
+    cut = slice_rows(df, list(keys), list(order), slices, same_rows).carry(_before=(F.count(F.lit(1)), "sum"))
     here = F.row_number().over(cut.window).cast("bigint") + F.coalesce("_before", F.lit(0))
-    return cut.with_rows(cut.rows.withColumn(name, here)).result("_before")
+    return cut.with_columns({name: here}).result("_before")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "total",
@@ -29,7 +29,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     amount = F.col(value).cast("bigint")
     cut = slice_rows(df, list(keys), list(order), slices).carry(_before=(F.sum(amount), "sum"))
     here = F.coalesce(F.sum(amount).over(cut.upto_here), F.lit(0)) + F.coalesce("_before", F.lit(0))
-    return cut.with_rows(cut.rows.withColumn(name, here)).result("_before")
+    return cut.with_columns({name: here}).result("_before")
 
 
 def _pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, identity: str,
@@ -78,17 +78,14 @@ def running_count_with_expiry(df: DataFrame, keys: Sequence[str], order: Sequenc
     cut = slice_rows(df, list(keys), list(order), slices).carry(
         _before=(F.count(F.lit(1)), "sum"), _last_time=(F.max(time), "max")
     )
+    position = F.row_number().over(cut.window).cast("bigint") + F.coalesce("_before", F.lit(0))
     previous = F.coalesce(F.lag(time).over(cut.window), F.col("_last_time"))
-    numbered = (
-        cut.rows.withColumn("_n", F.row_number().over(cut.window).cast("bigint") + F.coalesce("_before", F.lit(0)))
-        .withColumn("_previous", previous)
-        .withColumn("_start", F.when(
-            F.col("_previous").isNull() | (F.col(time) >= F.col("_previous") + F.expr(f"interval {ttl}")), F.col("_n")))
-    )
-    cut = cut.with_rows(numbered).carry(_earlier_start=(F.max("_start"), "max"))
+    fresh = F.col("_previous").isNull() | (F.col(time) >= F.col("_previous") + F.expr(f"interval {ttl}"))
+    cut = cut.with_columns({"_n": position, "_previous": previous, "_start": F.when(fresh, F.col("_n"))})
+    cut = cut.carry(_earlier_start=(F.max("_start"), "max"))
     latest_start = F.greatest(F.max("_start").over(cut.upto_here), F.col("_earlier_start"))
-    counted = cut.rows.withColumn(name, F.col("_n") - latest_start + 1)
-    return cut.with_rows(counted).result("_before", "_last_time", "_n", "_previous", "_start", "_earlier_start")
+    counted = cut.with_columns({name: F.col("_n") - latest_start + 1})
+    return counted.result("_before", "_last_time", "_n", "_previous", "_start", "_earlier_start")
 
 
 def sorted_with_rank(df: DataFrame, order: Sequence[str], name: str = "position",

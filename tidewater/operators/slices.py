@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-CUTS = "_cuts"
-CARRY = "_carry"
+IS_CUT = "_is_cut"
 
 SLICES_PER_SHUFFLE_PARTITION = 4
-MOST_SLICES = 100_000
+MOST_SLICES = 50_000
+# A key's cuts travel with its rows through one operator, so longer lists are paged.
+ONE_PAGE = 256
 
 
 def default_slices(df: DataFrame) -> int:
@@ -35,9 +36,13 @@ def default_slices(df: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with their slice number; ``window`` covers one slice of one key in order."""
+    """Rows with their slice number; ``window`` covers one slice of one key in order.
+
+    ``basis`` holds the same rows, sliced alike but cheaper to compute than ``rows``.
+    """
 
     rows: DataFrame
+    basis: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
 
@@ -49,8 +54,12 @@ class Sliced:
     def upto_here(self):
         return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def with_rows(self, rows: DataFrame) -> Sliced:
-        return Sliced(rows, self.keys, self.order)
+    def with_columns(self, columns: dict[str, Column]) -> Sliced:
+        """Add columns that later aggregates over slices may use."""
+        rows = self.rows
+        for name, column in columns.items():
+            rows = rows.withColumn(name, column)
+        return Sliced(rows, rows, self.keys, self.order)
 
     def carry(self, **merges: tuple[Column, str]) -> Sliced:
         """Add columns holding an aggregate over all earlier slices of the key.
@@ -60,19 +69,20 @@ class Sliced:
         most one row per cut.
         """
         parts = [agg.alias(name) for name, (agg, _) in merges.items()]
-        per_slice = self.rows.where(F.size(CUTS) > 0).groupBy(*self.keys, SLICE).agg(*parts)
+        per_slice = self.basis.where(IS_CUT).groupBy(*self.keys, SLICE).agg(*parts)
         earlier = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         combine = {"sum": F.sum, "max": F.max}
         before = per_slice.select(
             *self.keys, SLICE, *[combine[how](name).over(earlier).alias(name) for name, (_, how) in merges.items()]
         ).where(F.col(SLICE) > 0)
-        return self.with_rows(self.rows.join(F.broadcast(before), [*self.keys, SLICE], "left"))
+        rows = _attach(self.rows, before, [*self.keys, SLICE])
+        return Sliced(rows, self.basis, self.keys, self.order)
 
     def result(self, *drop: str) -> DataFrame:
-        return self.rows.drop(SLICE, CUTS, *drop)
+        return self.rows.drop(SLICE, IS_CUT, *drop)
 
 
-def _slice_number(cuts: Column, position: Column) -> Column:
+def _cuts_upto(cuts: Column, position: Column) -> Column:
     """How many cuts are at or before ``position``: binary search in a sorted array."""
     steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(cuts))).cast("int"))
 
@@ -86,21 +96,64 @@ def _slice_number(cuts: Column, position: Column) -> Column:
         return F.when(low < high, narrowed).otherwise(state)
 
     start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    return F.aggregate(steps, start, halve)["low"]
+    return F.when(F.size(cuts) > 0, F.aggregate(steps, start, halve)["low"]).otherwise(F.lit(0))
+
+
+def _attach(df: DataFrame, bounded: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a table of at most about one row per cut; null keys match null keys."""
+    names = {k: f"_key_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return df.join(F.broadcast(bounded.withColumnsRenamed(names)), same, "left").drop(*names.values())
 
 
-def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> Sliced:
-    """Cut the rows of every key (or of the whole table when ``keys`` is empty)."""
+def _with_key_columns(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the columns of a small table with one row per key, or of its only row without keys."""
+    if keys:
+        return _attach(df, per_key, keys)
+    row = per_key.select(F.struct(*per_key.columns)).scalar()
+    return df.withColumn("_row", row).select(*df.columns, "_row.*")
+
+
+def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) -> DataFrame:
+    """One lookup by key, one binary search."""
+    found = _with_key_columns(df, cuts, keys)
+    return found.select(*df.columns, _cuts_upto(F.col("_cuts"), position).alias(SLICE),
+                        F.col("_cuts").isNotNull().alias(IS_CUT))
+
+
+def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) -> DataFrame:
+    """Search the first cuts of the key's pages, then the page: lists as long as the root of all cuts."""
+    sized = cuts.withColumn("_width", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
+    numbers = F.sequence(F.lit(0), F.expr("(size(_cuts) - 1) div _width").cast("int"))
+    heads = sized.select(*keys, "_width", F.transform(
+        numbers, lambda page: F.get("_cuts", page * F.col("_width"))).alias("_heads"))
+    pages = sized.select(*keys, F.posexplode(F.transform(
+        numbers, lambda page: F.slice("_cuts", page * F.col("_width") + 1, F.col("_width")))).alias("_page", "_cuts"))
+
+    found = _with_key_columns(df, heads, keys).select(
+        *df.columns, "_width", (_cuts_upto(F.col("_heads"), position) - 1).alias("_page"))
+    found = _attach(found, pages, [*keys, "_page"])
+    number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position)
+    return found.select(*df.columns, F.when(F.col("_page") >= 0, number).otherwise(F.lit(0)).alias(SLICE),
+                        F.col("_width").isNotNull().alias(IS_CUT))
+
+
+def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None,
+               same_rows: DataFrame | None = None) -> Sliced:
+    """Cut the rows of every key (or of the whole table when ``keys`` is empty).
+
+    The rows are read for their number, for the cuts and for the result. When ``df`` is
+    costly, ``same_rows`` may name a frame with the same rows to read for the first two.
+    """
     wanted = slices or default_slices(df)
-    rows_per_cut = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
-    every = F.ceil(rows_per_cut / F.lit(wanted)).cast("bigint")
-    chosen = df.where(F.pmod(F.xxhash64(*order), every) == 0)
+    basis = df if same_rows is None else same_rows
+    rows = basis.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    every = F.ceil(rows / F.lit(wanted)).cast("bigint")
+    chosen = basis.where(F.pmod(F.xxhash64(*order), every) == 0)
     position = F.struct(*order)
-    sorted_cuts = F.sort_array(F.collect_set(position)).alias(CUTS)
-    if keys:
-        cuts = chosen.groupBy(*keys).agg(sorted_cuts)
-        placed = df.join(F.broadcast(cuts), keys, "left")
-    else:
-        placed = df.withColumn(CUTS, chosen.agg(sorted_cuts).scalar())
-    number = F.when(F.size(CUTS) > 0, _slice_number(F.col(CUTS), position)).otherwise(F.lit(0))
-    return Sliced(placed.withColumn(SLICE, number), tuple(keys), tuple(order))
+    sorted_cuts = F.sort_array(F.collect_set(position)).alias("_cuts")
+    cuts = chosen.groupBy(*keys).agg(sorted_cuts).where(F.size("_cuts") > 0)
+    place = _place if wanted <= ONE_PAGE else _place_by_page
+    placed = place(df, cuts, keys, position)
+    placed_basis = placed if same_rows is None else place(same_rows, cuts, keys, position)
+    return Sliced(placed, placed_basis, tuple(keys), tuple(order))

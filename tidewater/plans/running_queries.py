@@ -100,7 +100,7 @@ def buy_running_count(spark, sf_dir):
 def buy_user_and_total(spark, sf_dir):
     buys = equal_to(_events(spark, sf_dir), "event_type", "purchase").select(*ORDER, "user_id")
     per_user = running.running_count(buys, ["user_id"], ORDER, "user_count")
-    return running.running_count(per_user, [], ORDER, "total_count").select(
+    return running.running_count(per_user, [], ORDER, "total_count", same_rows=buys).select(
         "event_id", "user_id", "user_count", "total_count")
 
 
