@@ -32,14 +32,14 @@ def _side(df: DataFrame, prefix: str, time: str, width: str, keys: Sequence[str]
         raise ValueError("null_keys must be 'reject' or 'as_text'")
     windowed = df.withColumn(WINDOW, F.window(F.col(time), width))
     return windowed.select(F.col(WINDOW).alias(prefix + WINDOW),
-                           *[F.col(c).alias(prefix + c) for c in df.columns])
+                           *[F.col(c).alias(prefix + c) for c in df.columns if c != time])
 
 
 def window_join(left: DataFrame, right: DataFrame, how: str, time: str, width: str, keys: Sequence[str],
                 null_keys: str = "reject") -> DataFrame:
     """``inner``, ``left`` or ``right`` join per window and keys.
 
-    Columns come back prefixed ``left_`` and ``right_``. On streams both inputs need a
+    Columns come back prefixed ``left_`` and ``right_``, without ``time``. On streams both inputs need a
     watermark on ``time``; unmatched rows appear once their window has closed. Rows with
     a null key match nothing and are left out, or match each other with ``as_text``.
     """
