@@ -1,5 +1,6 @@
 """Streams: golden results, equality with batch, late rows, restarts, expiry, changing dimensions."""
 
+import json
 import time
 
 import pytest
@@ -9,7 +10,8 @@ from tests import fixtures as fx
 from tests.conftest import rows
 from tidewater import schemas
 from tidewater.functions import text, times
-from tidewater.operators import changelog, joins, parsing, routing, running, tables, windows
+from tidewater.operators import changelog, joins, latest, parsing, routing, running, tables, windows
+from tidewater.plans import jobs
 from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_lines
 from tidewater.streaming import processors
@@ -22,25 +24,19 @@ def run(stream, place, **options):
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{place}/out")
 
 
-def page_views(lines):
-    events = parsing.parse_event_json(lines, bad_int="null").kept
-    timed = events.withColumn("ts", times.parse_event_time(F.col("eventTime"))).where("ts IS NOT NULL")
-    return windows.page_views(windows.with_event_time(timed, "ts", "3 seconds"))
-
-
 def test_page_views(spark, lines, tmp_path):
     """Two closed windows; the third stays open. Bad lines change nothing."""
     folder, drop = lines
     drop(*fx.PV_EVENTS[:3], "not json", "")
     drop(*fx.PV_EVENTS[3:])
-    got = run(page_views(watch_lines(spark, folder, files_per_batch=1)), tmp_path)
+    got = run(jobs.page_views(watch_lines(spark, folder, files_per_batch=1)), tmp_path)
     assert [r[0] for r in rows(got.select("line"))] == fx.PV_LINES
 
 
 def test_late_rows_change_nothing(spark, lines, tmp_path):
     folder, drop = lines
     drop(*fx.PV_EVENTS)
-    stream = page_views(watch_lines(spark, folder, files_per_batch=1))
+    stream = jobs.page_views(watch_lines(spark, folder, files_per_batch=1))
     run(stream, tmp_path)
     drop(fx.PV_EVENTS[0])
     drop(fx.PV_EVENTS[5].replace(":49", ":59"))
@@ -60,12 +56,11 @@ def test_restart_loses_and_repeats_nothing(spark, lines, tmp_path):
 
 def test_restart_keeps_state(spark, lines, tmp_path):
     folder, drop = lines
-    users = parsing.parse_event_json(watch_lines(spark, folder)).kept.select("userID", F.lit(1).cast("bigint").alias("one"))
-    counted = processors.running_sum(users, ["userID"], "one")
+    counted = jobs.user_counts(watch_lines(spark, folder))
     for part in (fx.USER_EVENTS[:3], fx.USER_EVENTS[3:]):
         drop(*part)
         got = run(counted, tmp_path)
-    assert sorted(r[0] for r in got.select(F.concat_ws(" : ", "userID", "total")).collect()) == sorted(fx.USER_COUNTS)
+    assert sorted(r[0] for r in got.collect()) == sorted(fx.USER_COUNTS)
 
 
 def test_processing_time_windows(spark, lines, tmp_path):
@@ -77,10 +72,8 @@ def test_processing_time_windows(spark, lines, tmp_path):
     stamped = watch_lines(spark, folder, files_per_batch=1).select(
         F.timestamp_seconds(F.split_part("value", F.lit(";"), F.lit(1)).cast("bigint")).alias("ingest_ts"),
         F.split_part("value", F.lit(";"), F.lit(2)).alias("value"))
-    words = tables.non_empty(windows.with_event_time(stamped, "ingest_ts", "0 seconds")).select(
-        "ingest_ts", F.explode(text.split_on(F.col("value"), ",")).alias("word"))
-    got = run(windows.window_sum(words, "ingest_ts", "5 seconds", "word", F.lit(1)), tmp_path)
-    assert rows(got.select("word", F.substring("window_start", -2, 2), "total")) == [
+    got = run(jobs.window_word_count(stamped, "ingest_ts"), tmp_path)
+    assert rows(got.select("word", F.substring("window_start", -2, 2), "frequency")) == [
         ("", "00", 1), ("aaaa", "00", 1), ("hello", "00", 1), ("scala", "00", 1), ("scala", "05", 1), ("world", "00", 1),
         ("world", "05", 1)]
 
@@ -95,26 +88,24 @@ def test_joins_equal_batch(spark, tmp_path, how):
         folders[side].mkdir()
         (folders[side] / "0.txt").write_text("\n".join(texts))
 
-    def logs(read):
-        for side, schema in (("browse", schemas.BROWSE_LOG), ("click", schemas.CLICK_LOG)):
-            timed = joins.log_times(parsing.parse_json_records(read(str(folders[side])), schema).kept)
-            yield windows.with_event_time(timed, "ts", "0 seconds")
-
     def join(read):
-        return joins.window_join(*logs(read), how, "ts", "10 seconds", ["userID", "eventTime"])
+        return jobs.join_logs(read(str(folders["browse"])), read(str(folders["click"])), how)
 
     stream = run(join(lambda p: watch_lines(spark, p)), tmp_path)
-    batch = join(spark.read.text)
-    assert rows(stream) == rows(batch)
+    assert rows(stream) == rows(join(spark.read.text))
     assert stream.count() == len(fx.JOINED[how]) + 1
 
 
 def test_cogroup_members_stream(spark, lines, tmp_path):
     folder, drop = lines
     drop(*[fx.browse(s) for s in (1, 2)])
-    side = joins.log_times(parsing.parse_json_records(watch_lines(spark, folder), schemas.BROWSE_LOG).kept)
-    members = joins.cogroup_rows(side, side, "ts", "10 seconds", ["userID"], F.col("eventTime"), F.col("eventTime"))
-    assert rows(run(members, tmp_path).groupBy("side").count()) == [("left", 2), ("right", 2)]
+    clicks = tmp_path / "clicks"
+    clicks.mkdir()
+    (clicks / "0.txt").write_text(fx.click(1))
+    members = jobs.group_logs(watch_lines(spark, folder), watch_lines(spark, str(clicks)))
+    got = run(members.drop("window"), tmp_path)
+    assert rows(got.select("side", F.substring("eventTime", -2, 2), F.substring("payload", 1, 14))) == [
+        ("left", "01", "UserBrowseLog{"), ("left", "02", "UserBrowseLog{"), ("right", "01", "UserClickLog{u")]
 
 
 def behavior_lines():
@@ -237,7 +228,7 @@ def test_changing_dimension(spark, lines, tmp_path):
 
     snapshot = Snapshot(spark, read, schemas.USER_INFO, f"{tmp_path}/dimension", ttl_seconds=0.0)
     handle = enrich_batches(snapshot, "userID", sinks.append_batch(f"{tmp_path}/out"))
-    events = parsing.parse_event_json(watch_lines(spark, folder)).kept
+    events = jobs.events_to_enrich(watch_lines(spark, folder))
     sizes = []
     for _ in range(4):
         drop(event)
@@ -278,3 +269,64 @@ def test_row_order_operators_refuse_streams(spark, lines):
     stream = watch_lines(spark, lines[0]).withColumn("i", F.lit(1))
     with pytest.raises(Exception):
         running.running_count(stream, ["value"], ["i"]).writeStream.format("noop").start()
+
+
+def test_published_windows(spark, lines, tmp_path):
+    """Window results go to a latest-value table and are looked up by key."""
+    folder, drop = lines
+    drop("1;a,3", "2; a,7 ", "4;b,1", "4;a", "4;a,x")
+    drop("6;a,2")
+    drop("30;end,0")
+    stamped = watch_lines(spark, folder, files_per_batch=1).select(
+        F.timestamp_seconds(F.split_part("value", F.lit(";"), F.lit(1)).cast("bigint")).alias("at"),
+        F.split_part("value", F.lit(";"), F.lit(2)).alias("value"))
+    peaks = sinks.LatestTable(f"{tmp_path}/peaks", ["event"], ["window_end"])
+    counts = sinks.LatestTable(f"{tmp_path}/counts", ["event"], ["window_end"])
+    finish(to_batches(jobs.window_peaks(stamped, "at"), peaks.write_batch, f"{tmp_path}/c1"), 120)
+    finish(to_batches(jobs.window_counts(stamped, "at"), counts.write_batch, f"{tmp_path}/c2"), 120)
+    assert rows(latest.look_up(peaks.read(spark), "event", ["a", "c"]).select("event", "pv")) == [("a", 2)]
+    assert rows(counts.read(spark).select("event", "count", "sum")) == [("a", 1, 2), ("b", 1, 1)]
+
+
+def test_host_messages(spark, lines, tmp_path):
+    folder, drop = lines
+    drop(fx.HOST_LINE, "too|short")
+    sent = run(jobs.host_messages(watch_lines(spark, folder), load_millis=F.lit(7)), tmp_path).first()
+    assert sent.value == sent.key and sent.partition in range(3)
+    assert sent.value == (
+        "Computer{timeStamp=7, os_name='Linux', os_arch='null', os_version=0.0, total_cup=4, cup_ratio='12.5%', "
+        "total_memory='7.63GB', memory_ratio='40.1%', java_version='null', java_vm_vendo='null', "
+        "eventTime=1614562657466, reservedTime='2021-3-1 10:37:37'}")
+    as_json = jobs.host_messages(spark.read.text(folder), "json", load_millis=F.lit(7)).first()[0]
+    assert json.loads(as_json)["os_arch"] is None and json.loads(as_json)["total_cup"] == 4
+
+
+def test_index_job(spark, lines, tmp_path):
+    folder, drop = lines
+    drop('{"id":"1","n":1}', '{"id":"2"}', "not json", "")
+    drop('{"id":"1","n":2}')
+    out = tmp_path / "index"
+    out.mkdir()
+    place = str(out)
+
+    def connect():
+        def send(index, docs):
+            for identity, source in docs:
+                with open(f"{place}/{index}-{identity}", "w") as target:
+                    target.write(source)
+            return ["ok"] * len(docs)
+
+        return send
+
+    handle = jobs.index_batches("product", F.get_json_object("value", "$.id"), connect, sinks.append_batch(f"{tmp_path}/dead"))
+    finish(to_batches(watch_lines(spark, folder, files_per_batch=1), handle, f"{tmp_path}/checkpoint"), 120)
+    assert {p.name: p.read_text() for p in out.iterdir()} == {
+        "product-1": '{"id":"1","n":2,"eventType":"product"}', "product-2": '{"id":"2","eventType":"product"}'}
+    assert sinks.read_batches(spark, f"{tmp_path}/dead").count() == 0
+
+
+def test_rejected_events(spark, lines, tmp_path):
+    folder, drop = lines
+    drop(fx.PV_EVENTS[0], "not json")
+    got = run(jobs.rejected_events(watch_lines(spark, folder)), tmp_path)
+    assert rows(got.select("value")) == [("not json",)] and got.first().rejected_at is not None

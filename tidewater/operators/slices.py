@@ -16,6 +16,7 @@ The order columns together must be unique per key, as in any running calculation
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,21 +83,18 @@ class Sliced:
         return self.rows.drop(SLICE, IS_CUT, *drop)
 
 
-def _cuts_upto(cuts: Column, position: Column) -> Column:
-    """How many cuts are at or before ``position``: binary search in a sorted array."""
-    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(cuts))).cast("int"))
+def _cuts_upto(cuts: Column, position: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` are at or before ``position``, 0 without cuts.
 
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.floor((low + high) / 2).cast("int")
-        before = F.get(cuts, middle) <= position
-        narrowed = F.when(
-            before, F.struct((middle + 1).alias("low"), high.alias("high"))
-        ).otherwise(F.struct(low.alias("low"), middle.alias("high")))
-        return F.when(low < high, narrowed).otherwise(state)
+    Strides of falling powers of two; a stride past the end compares with null and is not
+    taken. Lists longer than foreseen count as full, which only makes the last slice larger.
+    """
+    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range((2 * most).bit_length()))])
+
+    def stride(passed: Column, length: Column) -> Column:
+        return F.when(F.get(cuts, passed + length - 1) <= position, passed + length).otherwise(passed)
 
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    return F.when(F.size(cuts) > 0, F.aggregate(steps, start, halve)["low"]).otherwise(F.lit(0))
+    return F.when(F.size(cuts) > 0, F.aggregate(strides, F.lit(0), stride)).otherwise(F.lit(0))
 
 
 def _attach(df: DataFrame, bounded: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,15 +112,16 @@ def _with_key_columns(df: DataFrame, per_key: DataFrame, keys: list[str]) -> Dat
     return df.withColumn("_row", row).select(*df.columns, "_row.*")
 
 
-def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) -> DataFrame:
+def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, wanted: int) -> DataFrame:
     """One lookup by key, one binary search."""
     found = _with_key_columns(df, cuts, keys)
-    return found.select(*df.columns, _cuts_upto(F.col("_cuts"), position).alias(SLICE),
+    return found.select(*df.columns, _cuts_upto(F.col("_cuts"), position, wanted).alias(SLICE),
                         F.col("_cuts").isNotNull().alias(IS_CUT))
 
 
-def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) -> DataFrame:
+def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, wanted: int) -> DataFrame:
     """Search the first cuts of the key's pages, then the page: lists as long as the root of all cuts."""
+    most = isqrt(wanted) + 1
     sized = cuts.withColumn("_width", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
     numbers = F.sequence(F.lit(0), F.expr("(size(_cuts) - 1) div _width").cast("int"))
     heads = sized.select(*keys, "_width", F.transform(
@@ -131,9 +130,9 @@ def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Co
         numbers, lambda page: F.slice("_cuts", page * F.col("_width") + 1, F.col("_width")))).alias("_page", "_cuts"))
 
     found = _with_key_columns(df, heads, keys).select(
-        *df.columns, "_width", (_cuts_upto(F.col("_heads"), position) - 1).alias("_page"))
+        *df.columns, "_width", (_cuts_upto(F.col("_heads"), position, most) - 1).alias("_page"))
     found = _attach(found, pages, [*keys, "_page"])
-    number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position)
+    number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position, most)
     return found.select(*df.columns, F.when(F.col("_page") >= 0, number).otherwise(F.lit(0)).alias(SLICE),
                         F.col("_width").isNotNull().alias(IS_CUT))
 
@@ -154,6 +153,6 @@ def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | N
     sorted_cuts = F.sort_array(F.collect_set(position)).alias("_cuts")
     cuts = chosen.groupBy(*keys).agg(sorted_cuts).where(F.size("_cuts") > 0)
     place = _place if wanted <= ONE_PAGE else _place_by_page
-    placed = place(df, cuts, keys, position)
-    placed_basis = placed if same_rows is None else place(same_rows, cuts, keys, position)
+    placed = place(df, cuts, keys, position, wanted)
+    placed_basis = placed if same_rows is None else place(same_rows, cuts, keys, position, wanted)
     return Sliced(placed, placed_basis, tuple(keys), tuple(order))
