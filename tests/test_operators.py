@@ -203,7 +203,7 @@ def test_hot_join_key_is_split(spark):
                                        F.timestamp_seconds(F.lit(0)).alias("ts"), F.rpad(F.lit("x"), 100, "x").alias("pad"))
     left = left.union(spark.range(20_000).select(F.concat(F.lit("u"), "id"), "id", F.lit("t"), F.timestamp_seconds(F.lit(0)), F.lit("p")))
     right = left.where("id < 20000").dropDuplicates(["userID"]).drop("pad")
-    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     before = {k: spark.conf.get(k) for k in changed}
     try:

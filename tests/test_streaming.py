@@ -14,7 +14,7 @@ from tidewater.operators import changelog, joins, latest, parsing, routing, runn
 from tidewater.plans import jobs
 from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_lines
-from tidewater.streaming import processors
+from tidewater.streaming import carried, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
 from tidewater.streaming.queries import finish, to_batches, to_console, to_files, writer
 
@@ -191,8 +191,6 @@ def test_totals_and_shards(spark, lines, tmp_path):
         finish(to_batches(counted, shards.write_batch, f"{tmp_path}/c2", mode="update"))
     assert rows(newest.read(spark)) == [("a", 8), ("b", 2)]
     assert rows(processors.shard_total(shards.read(spark))) == [(4,)]
-    folded = newest.compact(spark, f"{tmp_path}/folded")
-    assert rows(folded.read(spark)) == [("a", 8), ("b", 2)]
 
 
 def test_split_outputs(spark, lines, tmp_path):
@@ -330,3 +328,38 @@ def test_rejected_events(spark, lines, tmp_path):
     drop(fx.PV_EVENTS[0], "not json")
     got = run(jobs.rejected_events(watch_lines(spark, folder)), tmp_path)
     assert rows(got.select("value")) == [("not json",)] and got.first().rejected_at is not None
+
+
+def numbered(frame):
+    """``key,at,id,v`` lines."""
+    fields = F.split("value", ",")
+    return frame.select(fields[0].alias("key"), *[fields[i].cast("bigint").alias(n) for i, n in enumerate(("at", "id", "v"), 1)])
+
+
+@pytest.mark.parametrize("slices", [2, 300])
+def test_carried_batches_equal_batch(spark, lines, tmp_path, slices):
+    """Micro-batches that carry totals and open pairs over give what one batch gives, in event order."""
+    folder, drop = lines
+    texts = [f"{'ab'[i % 3 == 0] if i % 5 else 'c'},{i // 4},{i},{i * 7 % 11}" for i in range(120)]
+    source = numbered(watch_lines(spark, folder))
+    for n, (start, end) in enumerate([(0, 31), (31, 32), (32, 120)]):
+        drop(*reversed(texts[start:end]))
+        sums = carried.running_sum_batches(f"{tmp_path}/totals", ["key"], ["at", "id"], "v",
+                                           sinks.append_batch(f"{tmp_path}/sums"), fold_every=2, slices=slices)
+        finish(to_batches(source, sums, f"{tmp_path}/c1"), 120)
+        pairs = carried.pair_average_batches(f"{tmp_path}/open", ["key"], ["at", "id"], "v",
+                                             sinks.append_batch(f"{tmp_path}/pairs"), fold_every=2, slices=slices)
+        finish(to_batches(source, pairs, f"{tmp_path}/c2"), 120)
+    whole = numbered(spark.createDataFrame([(t,) for t in texts], "value string"))
+    wanted = running.running_sum(whole, ["key"], ["at", "id"], "v").select("id", "total")
+    assert rows(sinks.read_batches(spark, f"{tmp_path}/sums").select("id", "total")) == rows(wanted)
+    wanted = running.pair_average(whole, ["key"], ["at", "id"], "v").select("key", "average")
+    assert rows(sinks.read_batches(spark, f"{tmp_path}/pairs").select("key", "average")) == rows(wanted)
+
+
+def test_repeated_carried_batch(spark, tmp_path):
+    handle = carried.running_sum_batches(f"{tmp_path}/totals", ["key"], ["id"], "v", sinks.append_batch(f"{tmp_path}/out"))
+    for batch_id, data in [(0, [("a", 1, 5), (None, 4, 1)]), (1, [("a", 2, 1)]), (1, [("a", 2, 1)]), (2, [("a", 3, 1), (None, 5, 1)])]:
+        handle(spark.createDataFrame(data, "key string, id int, v int"), batch_id)
+    assert rows(sinks.read_batches(spark, f"{tmp_path}/out").select("id", "total")) == [
+        (1, 5), (2, 6), (3, 7), (4, 1), (5, 2)]

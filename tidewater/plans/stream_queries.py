@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tidewater.functions.times import event_time_text
 from tidewater.operators import joins, latest, routing, windows
 from tidewater.plans.catalogue import query
-from tidewater.plans.inputs import table
+from tidewater.plans.inputs import ORDER, table
 from tidewater.plans.join_queries import KEYS, WIDTH, _SIDES
 from tidewater.plans.running_queries import _HOURLY
 from tidewater.plans.window_queries import pv_oracle
 from tidewater.session import shared_dir, use_rocksdb
 from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_table
-from tidewater.streaming import processors
+from tidewater.streaming import carried, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
 from tidewater.streaming.queries import finish, to_batches, to_files
 
@@ -134,6 +134,33 @@ def stream_running_count_by_user(spark, sf_dir):
     return _files(spark, counted.select("user_id", line.alias("line")))
 
 
+@query("""
+    SELECT event_id, user_id, sum((props->>'k')::BIGINT) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS total
+    FROM events
+""")
+def stream_running_sum_by_user(spark, sf_dir):
+    """Micro-batches in event order, so the events keep their ids."""
+    place = _place(spark)
+    handle = carried.running_sum_batches(f"{place}/totals", ["user_id"], ORDER, "k", sinks.append_batch(f"{place}/out"))
+    events = _events(spark, sf_dir).select(*ORDER, "user_id", "k")
+    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    return sinks.read_batches(spark, f"{place}/out").select("event_id", "user_id", "total")
+
+
+@query("""
+    WITH numbered AS (
+        SELECT user_id, (props->>'k')::BIGINT AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n
+        FROM events)
+    SELECT user_id, (sum(k) // count(*))::BIGINT AS average FROM numbered GROUP BY user_id, n // 2 HAVING count(*) = 2
+""")
+def stream_pair_average(spark, sf_dir):
+    place = _place(spark)
+    handle = carried.pair_average_batches(f"{place}/open", ["user_id"], ORDER, "k", sinks.append_batch(f"{place}/out"))
+    events = _events(spark, sf_dir).select(*ORDER, "user_id", "k")
+    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    return sinks.read_batches(spark, f"{place}/out").drop(sinks.BATCH)
+
+
 @query("""
     SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events
 """)

@@ -30,25 +30,31 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 class LatestTable:
     """The newest row per key, kept as one row per key and micro-batch.
 
-    A batch costs what it holds, not what the table holds. ``order`` decides between rows
-    of a key; the later batch wins a tie. ``compact`` folds the batches into a new table.
+    ``order`` decides between rows of a key; the later batch wins a tie. A batch writes
+    only the keys it holds, but every ``fold_every``-th one writes the whole table, so a
+    reader never needs more than that many batches.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str]):
-        self.path, self.keys, self.order = path, list(keys), list(order)
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], fold_every: int = 50):
+        self.path, self.keys, self.order, self.fold_every = path, list(keys), list(order), fold_every
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        append_batch(self.path)(latest(rows, self.keys, self.order), batch_id)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        newest = latest(read_batches(spark, self.path), self.keys, [*self.order, BATCH])
-        return newest.drop(BATCH)
-
-    def compact(self, spark: SparkSession, path: str) -> LatestTable:
-        folded = LatestTable(path, self.keys, self.order)
-        last = read_batches(spark, self.path).agg(F.max(BATCH)).first()[0]
-        append_batch(path)(self.read(spark), last)
-        return folded
+        if batch_id and batch_id % self.fold_every == 0:
+            rows = self.read(rows.sparkSession, before=batch_id).withColumn("_fresh", F.lit(0)).unionByName(
+                rows.withColumn("_fresh", F.lit(1)))
+            newest = latest(rows, self.keys, [*self.order, "_fresh"]).drop("_fresh")
+        else:
+            newest = latest(rows, self.keys, self.order or self.keys)
+        append_batch(self.path)(newest, batch_id)
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The table as it is, or as it was before a batch (which must not be the first)."""
+        batches = read_batches(spark, self.path)
+        if before is None:
+            before = (batches.agg(F.max(BATCH)).first()[0] or 0) + 1
+        folded = (before - 1) // self.fold_every * self.fold_every
+        recent = batches.where((F.col(BATCH) >= folded) & (F.col(BATCH) < before))
+        return latest(recent, self.keys, [*self.order, BATCH]).drop(BATCH)
 
 
 def append_lines(df: DataFrame, path: str, column: str = "value", single_file: bool = False) -> None:
