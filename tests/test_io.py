@@ -59,6 +59,8 @@ def test_properties():
     database = jdbc.options_from_properties(properties)
     assert database["url"].startswith("jdbc:mysql://db:3306/d?") and database["password"] == "p=q"
     assert database["query"] == jdbc.USER_INFO_QUERY
+    split = jdbc.split_read(database, "userAge", 0, 100, 4)
+    assert "query" not in split and split["dbtable"] == f"({jdbc.USER_INFO_QUERY}) t" and split["numPartitions"] == "4"
     assert session.read_arguments(["--port", "6789", "--flag", "-n", "-5"]) == {"port": "6789", "flag": "true", "n": "-5"}
     with pytest.raises(ValueError):
         session.read_arguments(["x"])

@@ -16,7 +16,7 @@ from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_lines
 from tidewater.streaming import carried, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
-from tidewater.streaming.queries import finish, to_batches, to_console, to_files, writer
+from tidewater.streaming.queries import finish, published_state, to_batches, to_console, to_files, writer
 
 
 def run(stream, place, **options):
@@ -61,6 +61,8 @@ def test_restart_keeps_state(spark, lines, tmp_path):
         drop(*part)
         got = run(counted, tmp_path)
     assert sorted(r[0] for r in got.collect()) == sorted(fx.USER_COUNTS)
+    kept = published_state(spark, f"{tmp_path}/checkpoint", "total")
+    assert rows(kept.select("key.userID", "value.total")) == [("user_2", 2), ("user_3", 1), ("user_5", 2)]
 
 
 def test_processing_time_windows(spark, lines, tmp_path):
@@ -190,6 +192,7 @@ def test_totals_and_shards(spark, lines, tmp_path):
         counted = processors.sharded_count(parsed, "pv", 3)
         finish(to_batches(counted, shards.write_batch, f"{tmp_path}/c2", mode="update"))
     assert rows(newest.read(spark)) == [("a", 8), ("b", 2)]
+    assert published_state(spark, f"{tmp_path}/c1").select("key.event").count() == 2
     assert rows(processors.shard_total(shards.read(spark))) == [(4,)]
 
 

@@ -5,7 +5,7 @@ task, so a key with a third of the rows stops the job. Here each key's rows are
 into consecutive slices, the window runs per ``(key, slice)``, and what a slice needs
 from the slices before it comes from a small table of per-slice aggregates.
 
-The cuts are rows of the table itself: those whose order columns hash to zero modulo
+The cuts are rows of the table itself: those whose key and order hash to zero modulo
 ``rows / slices``. They depend on the data only, so a task that is run again places
 its rows in the same slices, and about ``slices`` distinct cuts exist however many
 rows or keys there are. That bounds both tables that are broadcast.
@@ -148,7 +148,7 @@ def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | N
     basis = df if same_rows is None else same_rows
     rows = basis.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
     every = F.ceil(rows / F.lit(wanted)).cast("bigint")
-    chosen = basis.where(F.pmod(F.xxhash64(*order), every) == 0)
+    chosen = basis.where(F.pmod(F.xxhash64(*keys, *order), every) == 0)
     position = F.struct(*order)
     sorted_cuts = F.sort_array(F.collect_set(position)).alias("_cuts")
     cuts = chosen.groupBy(*keys).agg(sorted_cuts).where(F.size("_cuts") > 0)

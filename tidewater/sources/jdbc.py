@@ -17,6 +17,13 @@ def jdbc_options(url: str, query: str = USER_INFO_QUERY, user: str | None = None
     return options
 
 
+def split_read(options: dict[str, str], column: str, lower: int, upper: int, partitions: int) -> dict[str, str]:
+    """Read a large table in parallel, by ranges of a numeric column."""
+    changed = {k: v for k, v in options.items() if k != "query"}
+    return changed | {"dbtable": f"({options['query']}) t", "partitionColumn": column, "lowerBound": str(lower),
+                      "upperBound": str(upper), "numPartitions": str(partitions)}
+
+
 def mysql_url(host: str, port: int, database: str) -> str:
     return f"jdbc:mysql://{host}:{port}/{database}?useUnicode=true&characterEncoding=UTF-8"
 

@@ -27,7 +27,8 @@ Chunks = Iterator[pd.DataFrame]
 
 
 def _stored(state, default: tuple) -> tuple:
-    return tuple(state.get()) if state.exists() else default
+    found = state.get()
+    return default if found is None else tuple(found)
 
 
 class RunningTotal(StatefulProcessor):
@@ -90,13 +91,17 @@ class CountPerItem(StatefulProcessor):
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         counts: dict[str, int] = {}
         for chunk in rows:
-            for item in chunk[self.item].unique():
+            codes, items = pd.factorize(chunk[self.item], use_na_sentinel=False)
+            for item in items:
                 if item not in counts:
-                    counts[item] = int(self.state.getValue((item,))[0]) if self.state.containsKey((item,)) else 0
-            before = chunk[self.item].map(counts).astype("int64")
-            totals = chunk.groupby(self.item).cumcount() + 1 + before
-            for item, n in totals.groupby(chunk[self.item]).max().items():
-                counts[item] = int(n)
+                    found = self.state.getValue((item,))
+                    counts[item] = 0 if found is None else int(found[0])
+            before = np.array([counts[item] for item in items])
+            sizes = np.bincount(codes)
+            by_item = np.argsort(codes, kind="stable")
+            totals = np.empty(len(codes), dtype="int64")
+            totals[by_item] = np.arange(1, len(codes) + 1) + np.repeat(before - (np.cumsum(sizes) - sizes), sizes)
+            counts.update(zip(items, (before + sizes).tolist(), strict=True))
             yield chunk.assign(**{self.name: totals})
         for item, n in counts.items():
             self.state.updateValue((item,), (n,))

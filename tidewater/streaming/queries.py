@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # Fixed value: how often a monitored folder is listed again.
@@ -49,3 +49,12 @@ def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
         query.stop()
         raise TimeoutError(f"query {query.name or query.id} did not end in {seconds} s")
     return query
+
+
+def published_state(spark: SparkSession, checkpoint: str, variable: str | None = None, operator: int = 0) -> DataFrame:
+    """What a query keeps per key, as of its last finished micro-batch, readable from outside.
+
+    ``variable`` names a processor's state; aggregates have only one and need no name.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    return (reader.option("stateVarName", variable) if variable else reader).load(checkpoint)
