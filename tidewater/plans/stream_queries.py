@@ -21,7 +21,7 @@ from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_table
 from tidewater.streaming import carried, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
-from tidewater.streaming.queries import finish, to_batches, to_files
+from tidewater.streaming.queries import finish, state_partitions, to_batches, to_files
 
 DELAY = "3 seconds"
 
@@ -39,10 +39,18 @@ def _events(spark, sf_dir):
     return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", number.alias("k"))
 
 
+def _run(spark, start):
+    """Run a stream to its end, with no more state stores than the cores can look after."""
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    with state_partitions(spark, stores):
+        query = start()
+    finish(query)
+
+
 def _files(spark, stream, **options):
     """Run a stream into files and read them back."""
     place = _place(spark)
-    finish(to_files(stream, f"{place}/out", f"{place}/checkpoint", **options))
+    _run(spark, lambda: to_files(stream, f"{place}/out", f"{place}/checkpoint", **options))
     return spark.read.schema(stream.schema).parquet(f"{place}/out")
 
 
@@ -66,7 +74,7 @@ def stream_latest_window_count_sum(spark, sf_dir):
     hourly = windows.window_count_sum(timed, "ts", "1 hour", "event_type", F.col("k"))
     place = _place(spark)
     newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
-    finish(to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
     return newest.read(spark)
 
 
@@ -79,7 +87,7 @@ def stream_state_lookup(spark, sf_dir):
     hourly = windows.window_max(timed, "ts", "1 hour", "event_type", F.col("k"))
     place = _place(spark)
     newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
-    finish(to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
     found = latest.look_up(newest.read(spark), "event_type", ["view", "click", "absent"])
     return found.select("event_type", "window_end", "max_value")
 
@@ -143,7 +151,7 @@ def stream_running_sum_by_user(spark, sf_dir):
     place = _place(spark)
     handle = carried.running_sum_batches(f"{place}/totals", ["user_id"], ORDER, "k", sinks.append_batch(f"{place}/out"))
     events = _events(spark, sf_dir).select(*ORDER, "user_id", "k")
-    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(events, handle, f"{place}/checkpoint"))
     return sinks.read_batches(spark, f"{place}/out").select("event_id", "user_id", "total")
 
 
@@ -157,7 +165,7 @@ def stream_pair_average(spark, sf_dir):
     place = _place(spark)
     handle = carried.pair_average_batches(f"{place}/open", ["user_id"], ORDER, "k", sinks.append_batch(f"{place}/out"))
     events = _events(spark, sf_dir).select(*ORDER, "user_id", "k")
-    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(events, handle, f"{place}/checkpoint"))
     return sinks.read_batches(spark, f"{place}/out").drop(sinks.BATCH)
 
 
@@ -184,7 +192,7 @@ def stream_buy_total(spark, sf_dir):
     parts = processors.sharded_count(buys, "event_id", shards=16)
     place = _place(spark)
     newest = sinks.LatestTable(f"{place}/latest", ["shard"], ["n"])
-    finish(to_batches(parts, newest.write_batch, f"{place}/checkpoint", mode="update"))
+    _run(spark, lambda: to_batches(parts, newest.write_batch, f"{place}/checkpoint", mode="update"))
     return processors.shard_total(newest.read(spark))
 
 
@@ -202,7 +210,7 @@ def stream_enrich(spark, sf_dir):
     snapshot = Snapshot(spark, people, people().schema, f"{place}/dimension")
     events = _events(spark, sf_dir).select("event_id", "user_id", "event_type")
     handle = enrich_batches(snapshot, "user_id", sinks.append_batch(f"{place}/out"))
-    finish(to_batches(events, handle, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(events, handle, f"{place}/checkpoint"))
     return sinks.read_batches(spark, f"{place}/out").drop(sinks.BATCH)
 
 

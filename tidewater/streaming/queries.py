@@ -6,7 +6,8 @@ A query continues from its checkpoint, and the folder stays when the query stops
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -43,6 +44,21 @@ def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     return writer(df, checkpoint, **options).foreachBatch(handle).start()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Queries first started inside keep their state in ``number`` parts, for good.
+
+    A query takes the session's settings when it starts, so they can be put back then.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
     """Wait for a query that ends by itself; stop it and fail when it does not."""
     if not query.awaitTermination(seconds):
