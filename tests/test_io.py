@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidewater import __main__ as command
 from tidewater import session
 from tidewater.sinks import documents, messages
 from tidewater.sinks import tables as sinks
@@ -116,3 +117,16 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
         table.write_batch(first, 0)
         table.write_batch(second, 1)
     assert rows(table.read(spark)) == [("a", 2, 21), ("b", 1, 5)]
+
+
+def test_command_line(spark, tmp_path):
+    with pytest.raises(SystemExit):
+        command.main([])
+    with pytest.raises(ValueError):
+        command.start(spark, "nothing", {"checkpoint": "c"}, {})
+    args = {"checkpoint": str(tmp_path), "topics": "t.*", "to": "out", "browse": "b", "click": "c", "out": str(tmp_path)}
+    properties = {"bootstrap.servers": "h:1", "topic_name": "t", "host": "db", "port": "1", "database": "d",
+                  "username": "u", "password": "p"}
+    for job in ("page_views", "user_counts", "join_logs", "enrich"):
+        with pytest.raises(Exception, match="kafka"):
+            command.start(spark, job, args, properties)

@@ -23,11 +23,11 @@ def test_word_count(spark):
 
 
 def test_sql_word_count(spark):
-    frame = spark.createDataFrame([(w, 1) for w in "hello flink hello lagou".split()], "a string, b int")
+    frame = spark.createDataFrame([(w, 1) for w in "hello spark hello world".split()], "a string, b int")
     tables.register(frame, "words", "word,frequency")
     assert "words" in tables.view_names(spark)
     counted = spark.sql("select word as word, sum(frequency) as frequency from words GROUP BY word")
-    assert rows(tables.as_records(counted, schemas.WORD_COUNT)) == [("flink", 1), ("hello", 2), ("lagou", 1)]
+    assert rows(tables.as_records(counted, schemas.WORD_COUNT)) == [("hello", 2), ("spark", 1), ("world", 1)]
 
 
 def test_table_select_where(spark):
@@ -67,7 +67,7 @@ def test_sort(spark):
     assert [tuple(r) for r in ranked.select("id", "position").collect()] == [("u3", 1), ("u2", 2), ("u1", 3), ("u4", 4)]
 
 
-@pytest.mark.parametrize("count", [None, 1, 3, 1000])
+@pytest.mark.parametrize("count", [None, 3, 1000])
 def test_running(spark, count):
     users = parsing.parse_event_json(ordered(spark, [(v,) for v in fx.USER_EVENTS], "value string"), keep=("i",)).kept
     counted = running.running_sum(users.withColumn("one", F.lit(1)), ["userID"], ["i"], "one", slices=count)

@@ -266,6 +266,11 @@ def test_sinks_need_a_checkpoint(spark, lines):
         to_console(stream, "")
 
 
+def test_processors_refuse_unfit_names(spark, lines):
+    with pytest.raises(ValueError, match="underscore"):
+        processors.count_changes(watch_lines(spark, lines[0]).withColumnRenamed("value", "_v"), "_v")
+
+
 def test_row_order_operators_refuse_streams(spark, lines):
     stream = watch_lines(spark, lines[0]).withColumn("i", F.lit(1))
     with pytest.raises(Exception):
@@ -366,3 +371,32 @@ def test_repeated_carried_batch(spark, tmp_path):
         handle(spark.createDataFrame(data, "key string, id int, v int"), batch_id)
     assert rows(sinks.read_batches(spark, f"{tmp_path}/out").select("id", "total")) == [
         (1, 5), (2, 6), (3, 7), (4, 1), (5, 2)]
+
+
+def test_processors_keep_nulls_and_large_numbers(spark, lines, tmp_path):
+    """Columns that pass through a processor come out as they went in; null keys are a key."""
+    folder, drop = lines
+    large = 2**53 + 1
+    drop(f"a,{large},1", "a,,2", "b,,", ",7,5", ",,6")
+    fields = F.split("value", ",")
+    frame = watch_lines(spark, folder).select(
+        F.when(fields[0] != "", fields[0]).alias("key"), fields[1].try_cast("bigint").alias("id"),
+        fields[2].try_cast("bigint").alias("v"))
+    got = run(processors.running_sum(frame, ["key"], "v"), tmp_path)
+    assert sorted(got.select("key", "id", "v").collect(), key=repr) == sorted(frame_rows(spark, folder), key=repr)
+    assert rows(got.groupBy("key").agg(F.max("total"))) == [("a", 3), ("b", 0), (None, 11)]
+
+
+def frame_rows(spark, folder):
+    fields = F.split("value", ",")
+    return spark.read.text(folder).select(
+        F.when(fields[0] != "", fields[0]).alias("key"), fields[1].try_cast("bigint").alias("id"),
+        fields[2].try_cast("bigint").alias("v")).collect()
+
+
+def test_null_key_changes(spark, lines, tmp_path):
+    folder, drop = lines
+    drop("1", "", "1", "")
+    keys = watch_lines(spark, folder).select(F.col("value").try_cast("bigint").alias("key"))
+    got = run(processors.count_changes(keys, "key"), tmp_path)
+    assert rows(got) == sorted([(k, *c) for k in (1, None) for c in [(True, 1), (False, 1), (True, 2)]], key=repr)

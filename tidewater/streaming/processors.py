@@ -25,6 +25,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Chunks = Iterator[pd.DataFrame]
 
+# Chunks do not keep the names of columns that start with an underscore.
+AMOUNT = "amount_to_add"
+
 
 def _stored(state, default: tuple) -> tuple:
     found = state.get()
@@ -43,7 +46,7 @@ class RunningTotal(StatefulProcessor):
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         (total,) = _stored(self.state, (0,))
         for chunk in rows:
-            totals = chunk[self.value].fillna(0).astype("int64").cumsum() + total
+            totals = chunk[self.value].cumsum() + total
             total = int(totals.iloc[-1])
             yield chunk.assign(**{self.name: totals})
         self.state.update((total,))
@@ -130,23 +133,38 @@ class CountChanges(StatefulProcessor):
 
 def _apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: T.StructType,
            time_mode: str = "none") -> DataFrame:
+    unfit = [c for c in df.columns if c.startswith("_")]
+    if unfit:
+        raise ValueError(f"rename columns that start with an underscore: {unfit}")
     use_rocksdb(df.sparkSession)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time_mode)
 
 
-def _plus(df: DataFrame, name: str) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+def _pass_through(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, name: str, computed: str | None = None,
+                  time_mode: str = "none") -> DataFrame:
+    """Rows go through a processor and come back with ``name`` added.
+
+    pandas turns whole numbers with nulls among them into floats, so those that are only
+    passed on travel as text. ``computed`` is a column without nulls made for the processor.
+    """
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)} - {*keys, computed}
+    sent = df.select(*[F.col(c).cast("string").alias(c) if c in whole else F.col(c) for c in df.columns])
+    schema = T.StructType([*sent.schema.fields, T.StructField(name, T.LongType())])
+    back = _apply(sent, keys, processor, schema, time_mode)
+    kept = [F.col(c).cast("bigint").alias(c) if c in whole else F.col(c) for c in df.columns if c != computed]
+    return back.select(*kept, name)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], value: str, name: str = "total") -> DataFrame:
-    return _apply(df, keys, RunningTotal(value, name), _plus(df, name))
+    amounts = df.withColumn(AMOUNT, F.coalesce(F.col(value).cast("bigint"), F.lit(0)))
+    return _pass_through(amounts, keys, RunningTotal(AMOUNT, name), name, computed=AMOUNT)
 
 
 def pair_average(df: DataFrame, key: str, value: str, padded: bool = False) -> DataFrame:
     """``key, average`` of every two rows of a whole-number key."""
     schema = T.StructType([T.StructField(key, T.LongType()), T.StructField("average", T.LongType())])
-    rows = df.select(F.col(key).cast("bigint"), F.col(value).cast("bigint"))
+    rows = df.select(F.col(key).cast("bigint"), F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias(value))
     return _apply(rows, [key], PairMean(key, value, padded), schema)
 
 
@@ -154,7 +172,7 @@ def count_per_item(df: DataFrame, keys: Sequence[str], item: str, name: str = "n
                    ttl_millis: int | None = None) -> DataFrame:
     """With ``ttl_millis`` the query runs on processing time: give it an interval trigger."""
     mode = "none" if ttl_millis is None else "processingTime"
-    return _apply(df, keys, CountPerItem(item, name, ttl_millis), _plus(df, name), mode)
+    return _pass_through(df, keys, CountPerItem(item, name, ttl_millis), name, time_mode=mode)
 
 
 def count_changes(df: DataFrame, key: str) -> DataFrame:
