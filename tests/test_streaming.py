@@ -400,3 +400,18 @@ def test_null_key_changes(spark, lines, tmp_path):
     keys = watch_lines(spark, folder).select(F.col("value").try_cast("bigint").alias("key"))
     got = run(processors.count_changes(keys, "key"), tmp_path)
     assert rows(got) == sorted([(k, *c) for k in (1, None) for c in [(True, 1), (False, 1), (True, 2)]], key=repr)
+
+
+def test_carried_counts_and_changes(spark, tmp_path):
+    data = [("a", "buy", 1), ("a", "buy", 2), ("b", "buy", 3), ("a", "fav", 4), ("a", "buy", 5), (None, "fav", 6), (None, "fav", 7)]
+    shape = "key string, item string, id int"
+    counts = carried.running_count_batches(f"{tmp_path}/n", ["key", "item"], ["id"], sinks.append_batch(f"{tmp_path}/counts"))
+    changes = carried.count_changes_batches(f"{tmp_path}/c", ["key"], ["id"], sinks.append_batch(f"{tmp_path}/changes"))
+    for batch_id, part in enumerate([data[:3], data[3:6], data[6:]]):
+        counts(spark.createDataFrame(part, shape), batch_id)
+        changes(spark.createDataFrame(part, shape), batch_id)
+    whole = spark.createDataFrame(data, shape)
+    got = sinks.read_batches(spark, f"{tmp_path}/counts").select("id", "n")
+    assert rows(got) == rows(running.running_count(whole, ["key", "item"], ["id"]).select("id", "n"))
+    got = sinks.read_batches(spark, f"{tmp_path}/changes").drop("batch_id")
+    assert rows(got) == rows(changelog.count_changes(whole, ["key"], ["id"]))

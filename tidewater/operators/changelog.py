@@ -17,12 +17,14 @@ def append_only(df: DataFrame) -> DataFrame:
     return df.select(F.lit(True).alias(IS_ADD), "*")
 
 
-def count_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Changes of ``count(*) group by keys`` as the rows come in.
-
-    Each row adds the new count and, but for a key's first row, withdraws the old one.
-    """
-    counted = running_count(df.select(*dict.fromkeys([*keys, *order])), keys, order, "n", slices)
-    added = F.struct(F.lit(True).alias(IS_ADD), F.col("n").alias("n"))
-    withdrawn = F.when(F.col("n") > 1, F.struct(F.lit(False).alias(IS_ADD), (F.col("n") - 1).alias("n")))
+def changes_of(counted: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
+    """From running counts to changes: each row adds its count and, but for a key's first, withdraws the one before."""
+    n = F.col(count)
+    added = F.struct(F.lit(True).alias(IS_ADD), n.alias("n"))
+    withdrawn = F.when(n > 1, F.struct(F.lit(False).alias(IS_ADD), (n - 1).alias("n")))
     return counted.select(*keys, F.inline(F.array_compact(F.array(withdrawn, added))))
+
+
+def count_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """Changes of ``count(*) group by keys`` as the rows come in."""
+    return changes_of(running_count(df.select(*dict.fromkeys([*keys, *order])), keys, order, "n", slices), keys)

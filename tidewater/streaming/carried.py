@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators import running
+from tidewater.operators.changelog import changes_of
 from tidewater.sinks.tables import LatestTable
 
 Handler = Callable[[DataFrame, int], None]
@@ -55,6 +56,22 @@ def running_sum_batches(state_path: str, keys: Sequence[str], order: Sequence[st
     return handle
 
 
+def running_count_batches(state_path: str, keys: Sequence[str], order: Sequence[str], write: Handler, name: str = "n",
+                          fold_every: int = 50, slices: int | None = None) -> Handler:
+    """``write`` gets each batch's rows with their position among all rows of their keys so far."""
+    one = "one_row"
+    summed = running_sum_batches(
+        state_path, keys, order, one, lambda rows, batch_id: write(rows.drop(one), batch_id), name, fold_every, slices)
+    return lambda rows, batch_id: summed(rows.withColumn(one, F.lit(1)), batch_id)
+
+
+def count_changes_batches(state_path: str, keys: Sequence[str], order: Sequence[str], write: Handler,
+                          fold_every: int = 50, slices: int | None = None) -> Handler:
+    """``write`` gets the changes each batch makes to the count per key."""
+    return running_count_batches(
+        state_path, keys, order, lambda rows, batch_id: write(changes_of(rows, keys), batch_id), "n", fold_every, slices)
+
+
 def pair_average_batches(state_path: str, keys: Sequence[str], order: Sequence[str], value: str, write: Handler,
                          fold_every: int = 50, slices: int | None = None) -> Handler:
     """``write`` gets the keys and whole-number means of the pairs each batch closes."""
