@@ -11,6 +11,7 @@ from tidewater.llm import oracles
 from tidewater.llm.common import table
 from tidewater.llm.packing import pack
 from tidewater.llm.quality_rules import quality_rules
+from tidewater.llm.topk_search import top_k, whole_numbers
 
 Build = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Build, str | None]] = {}
@@ -38,3 +39,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@registered(oracles.TOP_K)
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whole_numbers(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
