@@ -116,14 +116,13 @@ def certified_cutoffs(
             F.count_if(F.col("good") & (F.col("r.figure") >= c)).alias("lost"),
             F.count_if(~F.col("good") & (F.col("r.figure") >= c)).alias("caught"))
             for i, c in enumerate(CUTOFFS)]).alias("tests"))
-    strata = counts.agg(F.countDistinct(F.struct("stratum")).alias("n_strata"))
-    # One row for each stratum and rule; the single row of ``strata`` joins on a constant.
-    tests = counts.withColumn("one", F.lit(1)).join(F.broadcast(strata.withColumn("one", F.lit(1))), "one").select(
-        "stratum", "rule", "n_good", "n_bad", "n_strata", F.inline("tests"))
+    counts = saved(counts)
+    n_strata = counts.select(F.struct("stratum")).distinct().count()
+    tests = counts.select("stratum", "rule", "n_good", "n_bad", F.inline("tests"))
     passed = (F.col("lost") <= share * F.col("n_good")) & (
         log_binomial_cdf(F.when(F.col("lost") <= share * F.col("n_good"), F.col("lost")).otherwise(F.lit(0)),
                          F.col("n_good"), share)
-        <= F.log(F.lit(delta) / (F.col("n_strata") * len(RULES))))
+        <= math.log(delta / (max(1, n_strata) * len(RULES))))
     own = Window.partitionBy("stratum", "rule")
     score = F.col("caught") / F.col("n_bad") - COST * F.col("lost") / F.col("n_good")
     valid = tests.withColumn("failed", F.sum(F.when(passed, 0).otherwise(1)).over(
@@ -134,9 +133,12 @@ def certified_cutoffs(
     return best.where("best.score > 0").select("stratum", "rule", "best.cutoff")
 
 
-def _decided(docs: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float) -> DataFrame:
-    """``docs`` with ``figures`` and ``kept`` under names of their own."""
-    figures = saved(with_figures(docs, name="quality__figures").withColumn("quality__stratum", F.col(stratum)))
+def _decided(
+    docs: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float, columns: list[str],
+) -> DataFrame:
+    """``columns`` of ``docs`` with ``figures`` and ``kept`` under names of their own."""
+    figures = saved(with_figures(docs, name="quality__figures").select(
+        *columns, "quality__figures", F.col(stratum).alias("quality__stratum")))
     limits = certified_cutoffs(figures.select(
         "doc_id", F.col("quality__stratum").alias("stratum"), F.col("quality__figures").alias("figures")),
         labels, alpha, delta)
@@ -159,7 +161,7 @@ def quality_rules(
     has no label but is judged. Repeated rows give repeated results. Without documents or labels nothing is certified
     and only the base rejects. Other columns of ``docs`` are left out, whatever their names.
     """
-    out = _decided(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), labels, "stratum", alpha, delta)
+    out = _decided(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), labels, "stratum", alpha, delta, ["doc_id"])
     return out.select("doc_id", "quality__figures.*", F.col("quality__kept").alias("kept"))
 
 
@@ -167,4 +169,4 @@ def kept_documents(
     docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.02, delta: float = 0.05,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _decided(docs, labels, stratum, alpha, delta).where("quality__kept").select(*docs.columns)
+    return _decided(docs, labels, stratum, alpha, delta, docs.columns).where("quality__kept").select(*docs.columns)
