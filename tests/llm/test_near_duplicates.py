@@ -1,0 +1,107 @@
+"""Near-duplicates against all pairs."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidewater.llm import near_duplicates as nd
+from tidewater.llm.components import components
+
+
+def exact(a: list, b: list) -> float:
+    """The definition of the probability Jaccard, term by term."""
+    p, q = Counter(a), Counter(b)
+    return sum(1 / sum(max(p[e] / p[d], q[e] / q[d]) for e in p | q) for d in p if d in q)
+
+
+def test_probability_jaccard():
+    r = random.Random(1)
+    for _ in range(200):
+        a = [r.randint(1, 9) for _ in range(r.randint(1, 20))]
+        b = [r.randint(1, 9) for _ in range(r.randint(1, 20))]
+        got = nd.probability_jaccard(np.array(a, np.uint64), np.array(b, np.uint64))
+        assert got == pytest.approx(exact(a, b))
+
+
+def test_signatures_estimate_it():
+    r = np.random.default_rng(3)
+    common, one, two = (r.integers(1, 2**62, n).astype(np.uint64) for n in (60, 20, 20))
+    keys, doc = np.concatenate([common, one, common, two]), np.repeat([0, 1], 80)
+    weight = np.concatenate([np.arange(80) % 4 + 1, np.arange(80) % 3 + 1])
+    got = nd.signatures(keys, doc, weight, 3, 4000)
+    bags = [[k for k, w in zip(keys[doc == d], weight[doc == d], strict=True) for _ in range(w)] for d in (0, 1)]
+    assert abs((got[0] == got[1]).mean() - exact(*bags)) < 0.04 and not got[2].any()
+
+
+def classes(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string, class_id string, node int")
+    return {r["doc_id"]: r["class_id"] for r in nd.near_duplicates(df).collect()}
+
+
+def brute(docs):
+    """Classes by comparing all pairs."""
+    texts = [(i, t or "") for i, t, *_ in docs if i is not None]
+    root = {i: i for i, _ in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    def runs(t):
+        w = t.split()
+        return [tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))] if w else []
+
+    for n, (i, t) in enumerate(texts):
+        for j, u in texts[:n]:
+            if i == j or t == u or (runs(t) and runs(u) and exact(runs(t), runs(u)) >= nd.SIMILARITY):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i, _ in texts}
+
+
+def test_classes_against_all_pairs(spark):
+    r = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [[r.choice(vocabulary) for _ in range(r.choice([60, 90, 200]))] for _ in range(12)]
+    docs = []
+    for i in range(150):
+        w = list(r.choice(base))
+        for _ in range(r.choice([0, 0, 1, 2, 3, 8])):
+            w[r.randrange(len(w))] = r.choice(vocabulary)
+        docs.append((1000 - i, " ".join(w), "x", 1))
+    docs += [(5, None, "x", 1), (6, "", "x", 1), (7, " \n", "x", 1), (8, "a b", "x", 1), (9, "a  b", "x", 1),
+             (None, "a b", "x", 1), (8, "a b", "x", 1), (11, "same word " * 3000, "x", 1), (12, "same word " * 3001, "x", 1),
+             (13, "z z z z z", "x", 1), (13, "y y y y y y", "x", 1), (14, "y y y y y y", "x", 1)]
+    assert classes(spark, docs) == brute(docs)
+
+
+def test_large_group_around_one_text(spark):
+    """Copies with edits of their own are alike to the original only; it is not the smallest id."""
+    r = random.Random(2)
+    base = [f"b{i}" for i in range(200)]
+    docs = [(500, " ".join(base), "x", 1)]
+    for i in range(120):
+        w = list(base)
+        for k in r.sample(range(200), 4):
+            w[k] = f"e{i}_{k}"
+        docs.append((i, " ".join(w), "x", 1))
+    got = classes(spark, docs)
+    assert len(got) == 121 and set(got.values()) == {0}
+
+
+def test_empty(spark):
+    assert classes(spark, []) == {}
+
+
+def test_stage_keeps_one_row_of_each_class(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (None, "a b"), (None, "c"), (3, "d"), (3, "d")], "doc_id long, text string")
+    assert sorted(map(tuple, nd.first_of_class(docs).collect()), key=repr) == [(1, "a b"), (3, "d"), (None, "a b"), (None, "c")]
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(300, 200)], "a long, b long")
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    assert got == {**{i: 0 for i in range(101)}, 200: 200, 300: 200}

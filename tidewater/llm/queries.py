@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import oracles
 from tidewater.llm.common import table
+from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
 from tidewater.llm.quality_rules import quality_rules
 from tidewater.llm.topk_search import top_k, whole_numbers
@@ -45,3 +46,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = whole_numbers(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@registered()
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
