@@ -1,12 +1,20 @@
-"""Connected components of links, by smallest labels and pointer jumping."""
+"""Links inside groups of candidates, and their connected components.
+
+Groups of up to ``PAGE`` members give all their pairs, a number of pairs in proportion to the members. In larger groups
+every member is compared with one pivot at a time, until the group is one component or all its members were pivots.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import saved
 
+PAGE = 24
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: for every node of the links ``(a, b)`` the smallest node it is connected with.
@@ -28,3 +36,49 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", F.col("low").alias("root"))
         if new.where("low <> root").isEmpty():
             return labels
+
+
+def sized(members: DataFrame) -> DataFrame:
+    """``members`` (``group``, ``node``) of groups with two or more, with the group's ``size``."""
+    sizes = members.groupBy("group").agg(F.count("*").alias("size")).where("size > 1")
+    return saved(members.join(sizes, "group"))
+
+
+def small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs ``(a, b)`` of the groups of at most ``PAGE`` members."""
+    groups = members.where(F.col("size") <= PAGE).groupBy("group").agg(F.sort_array(F.collect_set("node")).alias("ids"))
+    pair = F.inline(F.flatten(F.transform("ids", lambda x, i: F.transform(
+        F.slice("ids", i + 2, PAGE), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+    return groups.select(pair).distinct()
+
+
+def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``links`` and those that connect the groups of more than ``PAGE`` members; ``verified`` keeps the true pairs.
+
+    A pivot is the member with the most links so far that has not been one: in a group of copies with edits of their own
+    that is soon the text they were made from.
+    """
+    large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
+    if large.isEmpty():
+        return links
+    used = None
+    while True:
+        labelled = large.join(components(links), "node", "left").select(
+            "group", "node", F.coalesce("root", "node").alias("root"))
+        split = labelled.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        unsettled = saved(labelled.join(split.select("group"), "group"))
+        if unsettled.isEmpty():
+            return links
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        fresh = unsettled if used is None else unsettled.join(used, ["group", "node"], "left_anti")
+        rank = F.struct(F.coalesce(-F.col("degree"), F.lit(0).cast("long")).alias("d"), F.xxhash64("node").alias("h"), "node")
+        pivots = saved(fresh.join(degree, "node", "left").groupBy("group").agg(
+            F.min_by(F.struct("node", "root"), rank).alias("p")).select(
+            "group", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
+        if pivots.isEmpty():
+            return links
+        now = pivots.select("group", F.col("pivot").alias("node"))
+        used = now if used is None else saved(used.union(now))
+        pairs = unsettled.join(pivots, "group").where("root <> pivot_root").select(
+            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        links = saved(links.union(verified(pairs)).distinct())

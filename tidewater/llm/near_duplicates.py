@@ -20,14 +20,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidewater.llm.common import saved, wide_key, words
-from tidewater.llm.components import components
+from tidewater.llm.components import PAGE, components, pivot_links, sized, small_pairs
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 20, 5
-PAGE = 24
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -152,65 +150,18 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return saved(pairs.join(left, "a").join(right, "b").mapInPandas(_similar, "a long, b long"))
 
 
-def _pairs_of(groups: DataFrame) -> DataFrame:
-    """All pairs of groups of at most ``PAGE`` members ``ids``."""
-    pair = F.inline(F.flatten(F.transform(F.sort_array("ids"), lambda x, i: F.transform(
-        F.slice(F.sort_array("ids"), i + 2, PAGE), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    return groups.select(pair).distinct()
-
-
-def _sized(members: DataFrame) -> DataFrame:
-    """``members`` (``group``, ``node``) of groups with two or more, with the group's ``size``."""
-    sizes = members.groupBy("group").agg(F.count("*").alias("size")).where("size > 1")
-    return saved(members.join(sizes, "group"))
-
-
-def _small_pairs(members: DataFrame) -> DataFrame:
-    return _pairs_of(members.where(F.col("size") <= PAGE).groupBy("group").agg(F.collect_list("node").alias("ids")))
-
-
-def _pivot_links(members: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
-    """``links`` and those inside groups of more than ``PAGE`` members."""
-    large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
-    if large.isEmpty():
-        return links
-    used = None
-    while True:
-        roots = components(links)
-        labelled = large.join(roots, "node", "left").select("group", "node", F.coalesce("root", "node").alias("root"))
-        split = labelled.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_members = saved(labelled.join(split.select("group"), "group"))
-        if open_members.isEmpty():
-            return links
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        fresh = open_members if used is None else open_members.join(used, ["group", "node"], "left_anti")
-        ranked = fresh.join(degree, "node", "left").select("group", "root", F.struct(
-            F.coalesce(-F.col("degree"), F.lit(0).cast("long")).alias("d"), F.xxhash64("node").alias("h"), "node").alias("k"))
-        best = ranked.groupBy("group").agg(F.min_by(F.struct("k", "root"), "k").alias("p")).select(
-            "group", F.col("p.k.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        pivots = saved(best)
-        if pivots.isEmpty():
-            return links
-        now = pivots.select("group", F.col("pivot").alias("node"))
-        used = now if used is None else saved(used.union(now))
-        pairs = open_members.join(pivots, "group").where("root <> pivot_root").select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        found = _verified(pairs, texts)
-        links = saved(links.union(found).distinct())
-
-
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between texts ``(node, w)``, ``w`` the hashes of their words, that connect all similar ones."""
     bands = saved(texts.mapInArrow(_band_keys, "node long, bands array<long>"))
-    members = _sized(bands.select(F.explode("bands").alias("group"), "node"))
+    members = sized(bands.select(F.explode("bands").alias("group"), "node"))
     near = saved(texts.join(members.select("node").distinct(), "node", "left_semi"))
     crowded = members.where(F.col("size") > PAGE).groupBy("node").agg(
         F.sort_array(F.collect_set("group")).alias("groups"))
     twice = F.explode(F.flatten(F.transform("groups", lambda x, i: F.transform(
         F.slice("groups", i + 2, BANDS), lambda y: F.xxhash64(x, y)))))
-    finer = _sized(crowded.select(twice.alias("group"), "node"))
-    links = _verified(_small_pairs(members).union(_small_pairs(finer)).distinct(), near)
-    return _pivot_links(finer, near, links)
+    finer = sized(crowded.select(twice.alias("group"), "node"))
+    links = _verified(small_pairs(members).union(small_pairs(finer)).distinct(), near)
+    return pivot_links(finer, links, lambda pairs: _verified(pairs, near))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

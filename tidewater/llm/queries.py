@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import oracles
 from tidewater.llm.common import table
+from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
 from tidewater.llm.quality_rules import quality_rules
@@ -51,3 +52,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), figures=True)
