@@ -1,19 +1,21 @@
 """Links inside groups of candidates, and their connected components.
 
 Groups of up to ``PAGE`` members give all their pairs, a number of pairs in proportion to the members. In larger groups
-every member is compared with one pivot at a time, until the group is one component or all its members were pivots.
+members are compared with some pivots at a time, until all outside the largest component have been pivots.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import saved
 
 PAGE = 24
+#: Pivots of a group in one round.
+MANY = 64
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -55,28 +57,35 @@ def small_pairs(members: DataFrame) -> DataFrame:
 def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``links`` and those that connect the groups of more than ``PAGE`` members; ``verified`` keeps the true pairs.
 
-    A pivot is the member with the most links so far that has not been one: in a group of copies with edits of their own
-    that is soon the text they were made from.
+    The first pivots are the members with the most links so far: in a group of copies with edits of their own that is
+    soon the text they were made from. Then up to ``MANY`` of the members outside the group's largest component are
+    pivots at once. A pivot meets all members of other components; no member is a pivot of a group twice.
     """
     large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
     if large.isEmpty():
         return links
-    used = None
+    used, turn = None, 0
     while True:
-        labelled = large.join(components(links), "node", "left").select(
-            "group", "node", F.coalesce("root", "node").alias("root"))
-        split = labelled.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        unsettled = saved(labelled.join(split.select("group"), "group"))
-        if unsettled.isEmpty():
-            return links
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        labelled = saved(large.join(components(links), "node", "left").select(
+            "group", "node", F.coalesce("root", "node").alias("root")))
+        parts = labelled.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group").agg(
+            F.max_by("root", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        unsettled = saved(labelled.join(parts.select("group", "main"), "group"))
         fresh = unsettled if used is None else unsettled.join(used, ["group", "node"], "left_anti")
-        rank = F.struct(F.coalesce(-F.col("degree"), F.lit(0).cast("long")).alias("d"), F.xxhash64("node").alias("h"), "node")
-        pivots = saved(fresh.join(degree, "node", "left").groupBy("group").agg(
-            F.min_by(F.struct("node", "root"), rank).alias("p")).select(
-            "group", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
+        if turn < 2:
+            degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
+                F.count("*").alias("degree"))
+            rank = F.struct(F.coalesce(-F.col("degree"), F.lit(0).cast("long")), F.xxhash64("node"), "node")
+            pivots = fresh.join(degree, "node", "left").groupBy("group").agg(
+                F.min_by(F.struct("node", "root"), rank).alias("p")).select("group", "p.node", "p.root")
+        else:
+            order = Window.partitionBy("group").orderBy(F.xxhash64("node"), "node")
+            pivots = fresh.where("root <> main").withColumn("nth", F.row_number().over(order)).where(
+                F.col("nth") <= MANY).select("group", "node", "root")
+        pivots = saved(pivots.select("group", F.col("node").alias("pivot"), F.col("root").alias("pivot_root")))
         if pivots.isEmpty():
             return links
+        turn += 1
         now = pivots.select("group", F.col("pivot").alias("node"))
         used = now if used is None else saved(used.union(now))
         pairs = unsettled.join(pivots, "group").where("root <> pivot_root").select(

@@ -13,6 +13,7 @@ from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
 from tidewater.llm.quality_rules import quality_rules
+from tidewater.llm.substring_dedup import duplicate_passages
 from tidewater.llm.topk_search import top_k, whole_numbers
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +58,8 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), figures=True)
+
+
+@registered()
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_passages(table(spark, sf_dir, "documents"))
