@@ -1,0 +1,83 @@
+"""Repeats against brute force over all strings of 50 bytes."""
+
+import hashlib
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewater.llm import suffix_dedup as sd
+from tidewater.llm.queries import op5_suffix_array_dedup
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("ab", max_size=14), min_size=1, max_size=4), st.integers(1, 4))
+def test_maximal_repeats(texts, length):
+    strings = [t.encode() for t in texts]
+    expected = {}
+    places = {}
+    for k, s in enumerate(strings):
+        for i in range(len(s)):
+            for j in range(i + length, len(s) + 1):
+                places.setdefault(s[i:j], []).append((k, i))
+    for s, at in places.items():
+        lefts = {strings[k][i - 1] if i else (k, i) for k, i in at}
+        rights = {strings[k][i + len(s)] if i + len(s) < len(strings[k]) else (k, i) for k, i in at}
+        if len(at) > 1 and len(lefts) > 1 and len(rights) > 1:
+            expected[s] = sorted(at)
+    got = {}
+    for size, at in sd.maximal_repeats(strings, length):
+        k, i = at[0]
+        got[strings[k][i:i + size]] = sorted(at)
+    assert got == expected
+
+
+def brute(docs):
+    first = {}
+    for i, t in docs:
+        raw = (t or "").encode()
+        if i is not None:
+            for p in range(len(raw) - 49):
+                s = raw[p:p + 50]
+                first[s] = min(i, first.get(s, i))
+    out = []
+    for i, t in docs:
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 49):
+            if i is not None and first[raw[p:p + 50]] < i:
+                gone[p:p + 50] = b"\1" * 50
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        runs = sum(1 for p, g in enumerate(gone) if g and (not p or not gone[p - 1]))
+        out.append((i, len(raw), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def run(spark, docs, tmp_path):
+    path = str(tmp_path / "tables")
+    spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, kept string, node int").write.parquet(
+        f"{path}/documents.parquet")
+    return sorted(map(tuple, op5_suffix_array_dedup(spark, path).collect()), key=repr)
+
+
+def test_against_brute_force(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sd, "PAGE", 8)
+    r = random.Random(9)
+    pool = ["".join(r.choice("abcdé ") for _ in range(r.choice([30, 49, 50, 51, 120, 400]))) for _ in range(14)]
+    docs = []
+    for i in range(150):
+        parts = []
+        for _ in range(r.randint(0, 4)):
+            p = r.choice(pool)
+            parts.append(p[r.randint(0, 20): len(p) - r.randint(0, 20)] if r.random() < 0.5 else p)
+            parts.append("".join(r.choice("xyz") for _ in range(r.choice([0, 3, 60]))))
+        docs.append((1000 - i, "".join(parts)))
+    docs += [(2, None), (3, ""), (None, docs[3][1]), (docs[8][0] + 2000, docs[8][1]), docs[8], (4, "ab" * 4000), (5, "ab" * 4001),
+             (6, "a" * 50), (7, "a" * 49), (8, "a" * 300)]
+    hot = "".join(r.choice("klmn") for _ in range(90))
+    docs += [(5000 + i, "".join(r.choice("opq") for _ in range(40)) + hot + "".join(r.choice("rst") for _ in range(40))) for i in range(40)]
+    assert run(spark, docs, tmp_path) == brute(docs)
+
+
+def test_empty(spark, tmp_path):
+    assert run(spark, [], tmp_path) == []

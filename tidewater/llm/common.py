@@ -41,3 +41,24 @@ def wide_key(*parts: Column) -> list[Column]:
 def small_side(df: DataFrame, most_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has been counted and is small, else as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``ids`` (``doc_id, h1, h2``), ``copies`` (those and ``node``) and ``texts`` (``node``, ``text``) of ``docs``.
+
+    A text's node is the smallest id that has it; copies are the other ids. Rows with a null id are left out, a null text
+    is empty. Texts are not shuffled unless there are many copies: their ids are broadcast if they are few.
+    """
+    rows = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", *wide_key(F.col("text")))
+    ids = saved(rows.select("doc_id", "h1", "h2"))
+    nodes = ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
+    copies = saved(ids.join(nodes, ["h1", "h2"]).where("doc_id <> node").distinct())
+    texts = rows.join(small_side(copies.select("doc_id", "h1", "h2")), ["doc_id", "h1", "h2"], "left_anti")
+    return ids, copies, texts.select(F.col("doc_id").alias("node"), "text")
+
+
+def word_hashes(texts: DataFrame) -> DataFrame:
+    """``node`` and the hashes ``w`` of its text's words."""
+    return texts.select("node", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("w"))

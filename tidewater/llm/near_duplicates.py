@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import saved, wide_key, words
+from tidewater.llm.common import distinct_texts, saved, small_side, word_hashes
 from tidewater.llm.components import PAGE, components, pivot_links, sized, small_pairs
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -157,10 +157,11 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between texts ``(node, w)``, ``w`` the hashes of their words, that connect all similar ones."""
-    bands = saved(texts.mapInArrow(_band_keys, "node long, bands array<long>"))
+    """Links ``(a, b)`` between texts ``(node, text)`` that connect all similar ones."""
+    bands = saved(word_hashes(texts).mapInArrow(_band_keys, "node long, bands array<long>"))
     members = sized(bands.select(F.explode("bands").alias("group"), "node"))
-    near = saved(texts.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(
+    candidates = small_side(saved(members.select("node").distinct()))
+    near = saved(word_hashes(texts.join(candidates, "node", "left_semi")).mapInArrow(
         _bags, "node long, s array<long>, k array<int>").dropDuplicates(["node"]))
     crowded = members.where(F.col("size") > PAGE).groupBy("node").agg(
         F.sort_array(F.collect_set("group")).alias("groups"))
@@ -180,18 +181,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Nulls: a null text is empty; rows with a null ``doc_id`` are left out. Rows with the same id are one document, even
     if their texts differ. An empty table gives no rows; other columns are left out.
     """
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = saved(rows.select("doc_id", *wide_key(F.col("text")), F.transform(
-        words(F.col("text")), lambda w: F.xxhash64(w)).alias("w")))
-    nodes = saved(keyed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")))
-    copies = keyed.select("doc_id", "h1", "h2").join(nodes, ["h1", "h2"]).select("doc_id", "node").distinct()
-    # A text's words are taken from the row of its node; rows that say the same twice are one.
-    texts = keyed.join(nodes, (keyed["h1"] == nodes["h1"]) & (keyed["h2"] == nodes["h2"]) & (
-        keyed["doc_id"] == nodes["node"]), "left_semi").select(F.col("doc_id").alias("node"), "w")
-    exact = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    ids, copies, texts = distinct_texts(docs)
+    exact = copies.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     links = near_duplicate_links(texts)
     roots = components(links.select("a", "b").union(exact))
-    ids = rows.select("doc_id").distinct()
+    ids = ids.select("doc_id").distinct()
     return ids.join(roots, ids["doc_id"] == roots["node"], "left").select(
         "doc_id", F.coalesce("root", "doc_id").alias("class_id"))
 

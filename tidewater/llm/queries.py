@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm import oracles
 from tidewater.llm.common import table
@@ -14,6 +15,7 @@ from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
 from tidewater.llm.quality_rules import quality_rules
 from tidewater.llm.substring_dedup import duplicate_passages
+from tidewater.llm.suffix_dedup import remove_repeats
 from tidewater.llm.topk_search import top_k, whole_numbers
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +65,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_passages(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
