@@ -68,3 +68,19 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id,
     FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+URLS = r"""
+WITH cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parsed AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+keys AS (SELECT host || path AS key FROM parsed WHERE host || path <> '' GROUP BY 1 HAVING count(*) > 1),
+rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+SELECT page_id, host, path,
+    (SELECT max_by(r.host || r.path, length(r.host || r.path)) FROM rules r WHERE (p.host = r.host OR
+        suffix(p.host, '.' || r.host)) AND prefix(p.path, r.path)) AS rule,
+    coalesce((SELECT max_by(r.verdict, length(r.host || r.path)) FROM rules r WHERE (p.host = r.host OR
+        suffix(p.host, '.' || r.host)) AND prefix(p.path, r.path)),
+        CASE WHEN p.host || p.path IN (SELECT key FROM keys) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed p"""

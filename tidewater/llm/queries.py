@@ -17,6 +17,7 @@ from tidewater.llm.quality_rules import quality_rules
 from tidewater.llm.substring_dedup import duplicate_passages
 from tidewater.llm.suffix_dedup import remove_repeats
 from tidewater.llm.topk_search import top_k, whole_numbers
+from tidewater.llm.url_filters import repeated_page_keys, url_filter
 
 Build = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Build, str | None]] = {}
@@ -71,3 +72,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The rules of the URL query: verdict, host and path.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/"))
+
+
+@registered(oracles.URLS)
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter(pages, URL_RULES, repeated_page_keys(pages))
