@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import oracles
 from tidewater.llm.common import table
+from tidewater.llm.language_model import score_texts
 from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
@@ -83,3 +84,8 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter(pages, URL_RULES, repeated_page_keys(pages))
+
+
+@registered()
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
