@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidewater.llm import oracles
 from tidewater.llm.common import table
 from tidewater.llm.language_model import score_texts
@@ -36,6 +37,11 @@ def load() -> dict[str, tuple[Build, str | None]]:
     return REGISTERED
 
 
+@registered(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @registered(oracles.QUALITY)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
