@@ -15,6 +15,7 @@ from tidewater.llm.language_model import score_texts
 from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
 from tidewater.llm.packing import pack
+from tidewater.llm.pieces import decode, encode
 from tidewater.llm.quality_rules import quality_rules
 from tidewater.llm.substring_dedup import duplicate_passages
 from tidewater.llm.suffix_dedup import remove_repeats
@@ -95,3 +96,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode(table(spark, sf_dir, "documents"), path)
+    return decode(encoded, path).select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
