@@ -7,7 +7,8 @@ from tests.fixtures import HOST_LINE, PV_EVENTS
 from tidewater import schemas
 from tidewater.operators import parsing
 
-BAD = [None, "", "not json", "[1]", "null", '{"userID":"u"} x']
+BAD = [None, "", "not json", "[1]", "null", '{"userID":"u"} x', '{"userID":"a"},"r":{"userID":"b"}', '{"userID":"a"},"x":2',
+       '{"userID":"a"}]', '{"userID":"a"}}]x', '{"userID":"a"},{"userID":"b"}', '{"userID":"a"},{"tidewater.seal":"1"}]x']
 
 
 def lines(spark, values):

@@ -20,7 +20,7 @@ from tidewater.streaming.queries import finish, published_state, to_batches, to_
 
 
 def run(stream, place, **options):
-    finish(to_files(stream, f"{place}/out", f"{place}/checkpoint", **options), 120)
+    finish(to_files(stream, f"{place}/out", f"{place}/checkpoint", **options))
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{place}/out")
 
 
@@ -233,7 +233,7 @@ def test_changing_dimension(spark, lines, tmp_path):
     sizes = []
     for _ in range(4):
         drop(event)
-        finish(to_batches(events, handle, f"{tmp_path}/checkpoint"), 120)
+        finish(to_batches(events, handle, f"{tmp_path}/checkpoint"))
         sizes.append(sinks.read_batches(spark, f"{tmp_path}/out").count())
     assert sizes == [0, 1, 2, 2]
     assert rows(sinks.read_batches(spark, f"{tmp_path}/out").select("userName", "userAge")) == [("Bo", 41)] * 2
@@ -248,9 +248,10 @@ def test_snapshot_before_first_read_and_ttl(spark, tmp_path):
             raise OSError("not there yet")
         return spark.createDataFrame([("u", "n", 1)], schemas.USER_INFO)
 
-    snapshot = Snapshot(spark, read, schemas.USER_INFO, str(tmp_path / "d"), 3.0, most_broadcast_rows=0, clock=lambda: now[0])
-    assert snapshot.refresh().rows.count() == 0
-    assert snapshot.refresh().rows.count() == 1 and not snapshot.small
+    snapshot = Snapshot(spark, read, schemas.USER_INFO, str(tmp_path / "d"), 3.0, clock=lambda: now[0])
+    with pytest.raises(OSError):
+        snapshot.refresh()
+    assert snapshot.refresh().rows.count() == 1
     now[0] = 2.9
     snapshot.refresh()
     now[0] = 3.0
@@ -288,8 +289,8 @@ def test_published_windows(spark, lines, tmp_path):
         F.split_part("value", F.lit(";"), F.lit(2)).alias("value"))
     peaks = sinks.LatestTable(f"{tmp_path}/peaks", ["event"], ["window_end"])
     counts = sinks.LatestTable(f"{tmp_path}/counts", ["event"], ["window_end"])
-    finish(to_batches(jobs.window_peaks(stamped, "at"), peaks.write_batch, f"{tmp_path}/c1"), 120)
-    finish(to_batches(jobs.window_counts(stamped, "at"), counts.write_batch, f"{tmp_path}/c2"), 120)
+    finish(to_batches(jobs.window_peaks(stamped, "at"), peaks.write_batch, f"{tmp_path}/c1"))
+    finish(to_batches(jobs.window_counts(stamped, "at"), counts.write_batch, f"{tmp_path}/c2"))
     assert rows(latest.look_up(peaks.read(spark), "event", ["a", "c"]).select("event", "pv")) == [("a", 2)]
     assert rows(counts.read(spark).select("event", "count", "sum")) == [("a", 1, 2), ("b", 1, 1)]
 
@@ -325,7 +326,7 @@ def test_index_job(spark, lines, tmp_path):
         return send
 
     handle = jobs.index_batches("product", F.get_json_object("value", "$.id"), connect, sinks.append_batch(f"{tmp_path}/dead"))
-    finish(to_batches(watch_lines(spark, folder, files_per_batch=1), handle, f"{tmp_path}/checkpoint"), 120)
+    finish(to_batches(watch_lines(spark, folder, files_per_batch=1), handle, f"{tmp_path}/checkpoint"))
     assert {p.name: p.read_text() for p in out.iterdir()} == {
         "product-1": '{"id":"1","n":2,"eventType":"product"}', "product-2": '{"id":"2","eventType":"product"}'}
     assert sinks.read_batches(spark, f"{tmp_path}/dead").count() == 0
@@ -354,10 +355,10 @@ def test_carried_batches_equal_batch(spark, lines, tmp_path, slices):
         drop(*reversed(texts[start:end]))
         sums = carried.running_sum_batches(f"{tmp_path}/totals", ["key"], ["at", "id"], "v",
                                            sinks.append_batch(f"{tmp_path}/sums"), fold_every=2, slices=slices)
-        finish(to_batches(source, sums, f"{tmp_path}/c1"), 120)
+        finish(to_batches(source, sums, f"{tmp_path}/c1"))
         pairs = carried.pair_average_batches(f"{tmp_path}/open", ["key"], ["at", "id"], "v",
                                              sinks.append_batch(f"{tmp_path}/pairs"), fold_every=2, slices=slices)
-        finish(to_batches(source, pairs, f"{tmp_path}/c2"), 120)
+        finish(to_batches(source, pairs, f"{tmp_path}/c2"))
     whole = numbered(spark.createDataFrame([(t,) for t in texts], "value string"))
     wanted = running.running_sum(whole, ["key"], ["at", "id"], "v").select("id", "total")
     assert rows(sinks.read_batches(spark, f"{tmp_path}/sums").select("id", "total")) == rows(wanted)
@@ -415,3 +416,13 @@ def test_carried_counts_and_changes(spark, tmp_path):
     assert rows(got) == rows(running.running_count(whole, ["key", "item"], ["id"]).select("id", "n"))
     got = sinks.read_batches(spark, f"{tmp_path}/changes").drop("batch_id")
     assert rows(got) == rows(changelog.count_changes(whole, ["key"], ["id"]))
+
+
+def test_console_jobs_write_every_row(spark, tmp_path):
+    """The console shows the first rows of a micro-batch; the files hold all of them."""
+    from tidewater.__main__ import show_and_write
+
+    handle = show_and_write(str(tmp_path / "out"))
+    handle(spark.range(50).selectExpr("cast(id as string) AS line"), 0)
+    handle(spark.range(50).selectExpr("cast(id as string) AS line"), 0)
+    assert sinks.read_batches(spark, str(tmp_path / "out")).count() == 50

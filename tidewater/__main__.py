@@ -4,11 +4,14 @@ Runs one of the streaming jobs on message topics, watched folders or a text sock
 
 ``page_views``    topics matching ``--topics``, results to topic ``--to`` and the console
 ``user_counts``   topic ``topic_name`` of the properties, results to topic ``--to``
-``join_logs``     topics ``--browse`` and ``--click``, ``--how`` inner, left or right, to the console
+``join_logs``     topics ``--browse`` and ``--click``, ``--how`` inner, left or right, to files in ``--out``
+``group_logs``    the same topics, every event with its window and user, to files in ``--out``
 ``enrich``        topic ``topic_name`` and the user table of the properties, to files in ``--out``
 ``host_metrics``  lines of files added to ``--folder``, as messages to topic ``--to``
-``word_count``    lines of a socket (``--host``, ``--port``), counts to the console
+``word_count``    lines of a socket (``--host``, ``--port``), counts to files in ``--out``
 ``window_peaks`` / ``window_counts``  ``event,pv`` lines of a socket, to a latest-value table in ``--out``
+
+Jobs that write files or send messages also print the first rows of each micro-batch.
 """
 
 from __future__ import annotations
@@ -46,11 +49,27 @@ def _show_and_send(options: dict[str, str]):
     """Both sinks of one micro-batch, computed once."""
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
+        _shown(rows, lambda: producers.send_batch(rows, options))
+
+    return handle
+
+
+def _shown(rows: DataFrame, write) -> None:
+    rows.persist()
+    try:
+        write()
         rows.show(truncate=False)
-        producers.send_batch(rows, options)
+    finally:
         rows.unpersist()
 
+
+def show_and_write(path: str):
+    """Every row of a micro-batch to files, the first ones to the console."""
+    append = append_batch(path)
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        _shown(rows, lambda: append(rows, batch_id))
+
     return handle
 
 
@@ -71,7 +90,10 @@ def start(spark: SparkSession, job: str, args: dict[str, str], properties: dict[
         return producers.send_stream(jobs.user_counts(lines), producer(), **place)
     if job == "join_logs":
         sides = [_topic(spark, properties, topic=args[side]) for side in ("browse", "click")]
-        return queries.to_console(jobs.join_logs(*sides, args.get("how", "inner")), **place)
+        return queries.to_batches(jobs.join_logs(*sides, args.get("how", "inner")), show_and_write(args["out"]), **place)
+    if job == "group_logs":
+        sides = [_topic(spark, properties, topic=args[side]) for side in ("browse", "click")]
+        return queries.to_batches(jobs.group_logs(*sides), show_and_write(args["out"]), **place)
     if job == "enrich":
         lines = topics.message_values(spark, topics.options_from_properties(properties))
         read = jdbc.reader(spark, jdbc.options_from_properties(properties))
@@ -83,7 +105,7 @@ def start(spark: SparkSession, job: str, args: dict[str, str], properties: dict[
         sent = jobs.host_messages(watch_lines(spark, args["folder"]), args.get("form", "text"))
         return producers.send_stream(sent, producer(), **place)
     if job == "word_count":
-        return queries.to_console(jobs.window_word_count(_socket(spark, args)), **place)
+        return queries.to_batches(jobs.window_word_count(_socket(spark, args)), show_and_write(args["out"]), **place)
     if job in ("window_peaks", "window_counts"):
         newest = LatestTable(args["out"], ["event"], ["window_end"])
         return queries.to_batches(getattr(jobs, job)(_socket(spark, args)), newest.write_batch, **place)

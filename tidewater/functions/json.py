@@ -1,8 +1,8 @@
 """JSON text to columns and back.
 
-``from_json`` alone accepts text after the first value, so each text is parsed as
-the only member of a one-element array: anything before or after it then breaks
-the array and the row counts as bad.
+Spark's JSON functions accept text after the first value. So each text is parsed as the first of two elements of an array
+whose second carries a hash of the text: a text that closes the array itself, or adds elements or members, can't hold its
+own hash, so it loses the second element or puts it in another place and counts as bad.
 """
 
 from __future__ import annotations
@@ -13,26 +13,30 @@ from pyspark.sql import types as T
 
 from tidewater.functions.text import once
 
+SEAL = "tidewater.seal"
 
-def _enclosed(value: Column) -> Column:
-    return F.concat(F.lit('[{"r":'), value, F.lit("}]"))
 
-
-def _only_member(parsed: Column) -> Column:
-    return once(parsed, lambda members: F.when(F.size(members) == 1, F.get(members, F.lit(0))))
+def _sealed(value: Column) -> tuple[Column, Column]:
+    """The array of the text and its seal, and the seal."""
+    seal = F.xxhash64(value).cast("string")
+    return F.concat(F.lit("["), value, F.lit(f',{{"{SEAL}":"'), seal, F.lit('"}]')), seal
 
 
 def json_fields(value: Column, names: list[str]) -> Column:
     """Struct of the named members as text; null when the text is not one JSON object."""
-    inner = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    outer = T.ArrayType(T.StructType([T.StructField("r", inner)]))
-    return _only_member(F.from_json(_enclosed(value), outer))["r"]
+    inner = T.StructType([T.StructField(n, T.StringType()) for n in [*names, SEAL]])
+    text, seal = _sealed(value)
+    return once(F.from_json(text, T.ArrayType(inner)), lambda parts: F.when(
+        (F.size(parts) == 2) & (F.get(parts, F.lit(1))[SEAL] == seal), F.get(parts, F.lit(0)))).dropFields(f"`{SEAL}`")
 
 
 def json_members(value: Column) -> Column:
     """All members of an object as ``map<string,variant>``; null for anything else."""
-    typed = F.try_parse_json(_enclosed(value)).try_cast("array<map<string,map<string,variant>>>")
-    return F.try_element_at(_only_member(typed), F.lit("r"))
+    text, seal = _sealed(value)
+    typed = F.try_parse_json(text).try_cast("array<map<string,variant>>")
+    return once(typed, lambda parts: F.when(
+        (F.size(parts) == 2) & (F.try_element_at(F.get(parts, F.lit(1)), F.lit(SEAL)).cast("string") == seal),
+        F.get(parts, F.lit(0))))
 
 
 def json_put(value: Column, name: str, replacement: Column) -> Column:

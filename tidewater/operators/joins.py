@@ -93,19 +93,9 @@ def cogroup_summary(members: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-# A dimension above this many rows is joined by shuffle instead of being broadcast.
-MOST_BROADCAST_ROWS = 500_000
-
-
-def small_enough(dimension: DataFrame, most_rows: int = MOST_BROADCAST_ROWS) -> bool:
-    """Counts no further than the limit."""
-    return dimension.limit(most_rows + 1).count() <= most_rows
-
-
-def enrich(events: DataFrame, dimension: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+def enrich(events: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Add the dimension's columns; events without an entry are dropped.
 
-    ``broadcast`` is for callers that have checked ``small_enough``. Without it Spark
-    compares the measured size with ``spark.sql.autoBroadcastJoinThreshold``.
+    Spark compares the dimension's measured size with ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    return events.join(F.broadcast(dimension) if broadcast else dimension, key, "inner")
+    return events.join(dimension, key, "inner")

@@ -16,7 +16,6 @@ The order columns together must be unique per key, as in any running calculation
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,14 +24,11 @@ SLICE = "_slice"
 IS_CUT = "_is_cut"
 
 SLICES_PER_SHUFFLE_PARTITION = 4
-MOST_SLICES = 50_000
-# A key's cuts travel with its rows through one operator, so longer lists are paged.
-ONE_PAGE = 256
 
 
 def default_slices(df: DataFrame) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(SLICES_PER_SHUFFLE_PARTITION * partitions, MOST_SLICES)
+    return SLICES_PER_SHUFFLE_PARTITION * partitions
 
 
 @dataclass(frozen=True)
@@ -83,13 +79,14 @@ class Sliced:
         return self.rows.drop(SLICE, IS_CUT, *drop)
 
 
-def _cuts_upto(cuts: Column, position: Column, most: int) -> Column:
+def _cuts_upto(cuts: Column, position: Column) -> Column:
     """How many of the sorted ``cuts`` are at or before ``position``, 0 without cuts.
 
-    Strides of falling powers of two; a stride past the end compares with null and is not
-    taken. Lists longer than foreseen count as full, which only makes the last slice larger.
+    Strides of falling powers of two, from the list's length on; a stride past the end compares with null and is not
+    taken.
     """
-    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range((2 * most).bit_length()))])
+    bits = F.floor(F.log2(F.size(cuts))).cast("int")
+    strides = F.transform(F.sequence(bits, F.lit(0), F.lit(-1)), lambda bit: F.call_function("shiftleft", F.lit(1), bit))
 
     def stride(passed: Column, length: Column) -> Column:
         return F.when(F.get(cuts, passed + length - 1) <= position, passed + length).otherwise(passed)
@@ -112,16 +109,8 @@ def _with_key_columns(df: DataFrame, per_key: DataFrame, keys: list[str]) -> Dat
     return df.withColumn("_row", row).select(*df.columns, "_row.*")
 
 
-def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, wanted: int) -> DataFrame:
-    """One lookup by key, one binary search."""
-    found = _with_key_columns(df, cuts, keys)
-    return found.select(*df.columns, _cuts_upto(F.col("_cuts"), position, wanted).alias(SLICE),
-                        F.col("_cuts").isNotNull().alias(IS_CUT))
-
-
-def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, wanted: int) -> DataFrame:
+def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) -> DataFrame:
     """Search the first cuts of the key's pages, then the page: lists as long as the root of all cuts."""
-    most = isqrt(wanted) + 1
     sized = cuts.withColumn("_width", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
     numbers = F.sequence(F.lit(0), F.expr("(size(_cuts) - 1) div _width").cast("int"))
     heads = sized.select(*keys, "_width", F.transform(
@@ -130,9 +119,9 @@ def _place_by_page(df: DataFrame, cuts: DataFrame, keys: list[str], position: Co
         numbers, lambda page: F.slice("_cuts", page * F.col("_width") + 1, F.col("_width")))).alias("_page", "_cuts"))
 
     found = _with_key_columns(df, heads, keys).select(
-        *df.columns, "_width", (_cuts_upto(F.col("_heads"), position, most) - 1).alias("_page"))
+        *df.columns, "_width", (_cuts_upto(F.col("_heads"), position) - 1).alias("_page"))
     found = _attach(found, pages, [*keys, "_page"])
-    number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position, most)
+    number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position)
     return found.select(*df.columns, F.when(F.col("_page") >= 0, number).otherwise(F.lit(0)).alias(SLICE),
                         F.col("_width").isNotNull().alias(IS_CUT))
 
@@ -152,7 +141,6 @@ def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | N
     position = F.struct(*order)
     sorted_cuts = F.sort_array(F.collect_set(position)).alias("_cuts")
     cuts = chosen.groupBy(*keys).agg(sorted_cuts).where(F.size("_cuts") > 0)
-    place = _place if wanted <= ONE_PAGE else _place_by_page
-    placed = place(df, cuts, keys, position, wanted)
-    placed_basis = placed if same_rows is None else place(same_rows, cuts, keys, position, wanted)
+    placed = _place(df, cuts, keys, position)
+    placed_basis = placed if same_rows is None else _place(same_rows, cuts, keys, position)
     return Sliced(placed, placed_basis, tuple(keys), tuple(order))

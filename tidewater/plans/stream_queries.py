@@ -24,6 +24,8 @@ from tidewater.streaming.dimension import Snapshot, enrich_batches
 from tidewater.streaming.queries import finish, state_partitions, to_batches, to_files
 
 DELAY = "3 seconds"
+# Parts of a query's state unless the session sets another number; fixed for the life of a checkpoint.
+STATE_STORES = "16"
 
 
 def _place(spark):
@@ -40,9 +42,8 @@ def _events(spark, sf_dir):
 
 
 def _run(spark, start):
-    """Run a stream to its end, with no more state stores than the cores can look after."""
-    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    with state_partitions(spark, stores):
+    """Run a stream to its end; ``spark.tidewater.stateStores`` says in how many parts it keeps its state."""
+    with state_partitions(spark, int(spark.conf.get("spark.tidewater.stateStores", STATE_STORES))):
         query = start()
     finish(query)
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidewater.operators.joins import MOST_BROADCAST_ROWS, enrich, small_enough
+from tidewater.operators.joins import enrich
 
 # Fixed value: seconds between two reads of the dimension.
 POLL_SECONDS = 3.0
@@ -20,22 +20,21 @@ log = logging.getLogger(__name__)
 class Snapshot:
     """The whole dimension as last read.
 
-    Each read replaces the one before, so entries deleted at the source disappear. Before
-    the first good read the dimension is empty. A failing read keeps the last good one.
+    Each read replaces the one before, so entries deleted at the source disappear. A failing
+    read keeps the last good one; without one it fails, and the micro-batch with it, so a
+    restart reads its events again.
     Reads are written to ``folder``, which all executors must see, in two alternating
     places: tasks that run again find the rows they found before. One streaming query
     uses one snapshot.
     """
 
     def __init__(self, spark: SparkSession, read: Callable[[], DataFrame], schema: T.StructType, folder: str,
-                 ttl_seconds: float = POLL_SECONDS, most_broadcast_rows: int = MOST_BROADCAST_ROWS,
-                 clock: Callable[[], float] = time.monotonic):
+                 ttl_seconds: float = POLL_SECONDS, clock: Callable[[], float] = time.monotonic):
         self._spark, self._read, self._schema, self._folder = spark, read, schema, folder
-        self._ttl, self._most_rows, self._clock = ttl_seconds, most_broadcast_rows, clock
+        self._ttl, self._clock = ttl_seconds, clock
         self._reads = 0
         self._read_at: float | None = None
         self.rows = spark.createDataFrame([], schema)
-        self.small = True
 
     def refresh(self) -> Snapshot:
         """Read again when the last read is older than the time to live."""
@@ -46,10 +45,11 @@ class Snapshot:
         try:
             self._read().select(*self._schema.names).write.mode("overwrite").parquet(place)
         except Exception:
+            if self._read_at is None:
+                raise
             log.exception("dimension read failed; keeping the last good one")
             return self
         self.rows = self._spark.read.schema(self._schema).parquet(place)
-        self.small = small_enough(self.rows, self._most_rows)
         self._reads, self._read_at = self._reads + 1, now
         return self
 
@@ -59,6 +59,6 @@ def enrich_batches(snapshot: Snapshot, key: str, write: Callable[[DataFrame, int
 
     def handle(rows: DataFrame, batch_id: int) -> None:
         current = snapshot.refresh()
-        write(enrich(rows, current.rows, key, broadcast=current.small), batch_id)
+        write(enrich(rows, current.rows, key), batch_id)
 
     return handle
