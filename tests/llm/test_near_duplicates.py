@@ -86,7 +86,7 @@ def test_large_group_around_one_text(spark):
     docs = [(500, " ".join(base), "x", 1)]
     for i in range(120):
         w = list(base)
-        for k in r.sample(range(200), 4):
+        for k in r.sample(range(200), 3):
             w[k] = f"e{i}_{k}"
         docs.append((i, " ".join(w), "x", 1))
     got = classes(spark, docs)

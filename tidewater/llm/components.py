@@ -57,37 +57,45 @@ def small_pairs(members: DataFrame) -> DataFrame:
 def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``links`` and those that connect the groups of more than ``PAGE`` members; ``verified`` keeps the true pairs.
 
-    The first pivots are the members with the most links so far: in a group of copies with edits of their own that is
-    soon the text they were made from. Then up to ``MANY`` of the members outside the group's largest component are
-    pivots at once. A pivot meets all members of other components; no member is a pivot of a group twice.
+    Groups that have members in common are one cluster, so a pair that is in many groups is looked at once. The first
+    pivots are the members with the most links so far: in a cluster of copies with edits of their own that is soon the
+    text they were made from. Then up to ``MANY`` of the members outside the cluster's largest component are pivots at
+    once. A pivot meets the members of other components that it has a group in common with; no member is a pivot twice.
     """
     large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
     if large.isEmpty():
         return links
+    heads = large.groupBy("group").agg(F.min("node").alias("head"))
+    clusters = components(large.join(heads, "group").where("node <> head").select(
+        F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    nodes = saved(large.groupBy("node").agg(F.collect_set("group").alias("groups")).join(
+        clusters.select("node", F.col("root").alias("cluster")), "node"))
     used, turn = None, 0
     while True:
-        labelled = saved(large.join(components(links), "node", "left").select(
-            "group", "node", F.coalesce("root", "node").alias("root")))
-        parts = labelled.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group").agg(
+        labelled = saved(nodes.join(components(links), "node", "left").select(
+            "cluster", "node", "groups", F.coalesce("root", "node").alias("root")))
+        parts = labelled.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(
             F.max_by("root", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-        unsettled = saved(labelled.join(parts.select("group", "main"), "group"))
-        fresh = unsettled if used is None else unsettled.join(used, ["group", "node"], "left_anti")
+        unsettled = saved(labelled.join(parts.select("cluster", "main"), "cluster"))
+        fresh = unsettled if used is None else unsettled.join(used, "node", "left_anti")
         if turn < 2:
             degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
                 F.count("*").alias("degree"))
             rank = F.struct(F.coalesce(-F.col("degree"), F.lit(0).cast("long")), F.xxhash64("node"), "node")
-            pivots = fresh.join(degree, "node", "left").groupBy("group").agg(
-                F.min_by(F.struct("node", "root"), rank).alias("p")).select("group", "p.node", "p.root")
+            pivots = fresh.join(degree, "node", "left").groupBy("cluster").agg(
+                F.min_by(F.struct("node", "root", "groups"), rank).alias("p")).select("cluster", "p.*")
         else:
-            order = Window.partitionBy("group").orderBy(F.xxhash64("node"), "node")
+            order = Window.partitionBy("cluster").orderBy(F.xxhash64("node"), "node")
             pivots = fresh.where("root <> main").withColumn("nth", F.row_number().over(order)).where(
-                F.col("nth") <= MANY).select("group", "node", "root")
-        pivots = saved(pivots.select("group", F.col("node").alias("pivot"), F.col("root").alias("pivot_root")))
+                F.col("nth") <= MANY)
+        pivots = saved(pivots.select("cluster", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"),
+                                     F.col("groups").alias("pivot_groups")))
         if pivots.isEmpty():
             return links
         turn += 1
-        now = pivots.select("group", F.col("pivot").alias("node"))
+        now = pivots.select(F.col("pivot").alias("node"))
         used = now if used is None else saved(used.union(now))
-        pairs = unsettled.join(pivots, "group").where("root <> pivot_root").select(
+        pairs = unsettled.join(pivots, "cluster").where(
+            (F.col("root") != F.col("pivot_root")) & F.arrays_overlap("groups", "pivot_groups")).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         links = saved(links.union(verified(pairs)).distinct())
