@@ -30,19 +30,23 @@ from tidewater.llm.substring_dedup import sliding_minimum
 
 LENGTH, GRAM = 50, 16
 #: Different contexts of one suffix array; bytes of text in a block of documents; parts the anchors' hashes are dealt to.
-PAGE, BLOCK_BYTES, PARTS = 64, 12_000_000, 64
+PAGE, BLOCK_BYTES, PARTS = 64, 4_000_000, 64
+RUN_BYTES = 200_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the ``GRAM`` = 16 bytes from each place on."""
-    two = data[:-1].astype(np.uint64) | data[1:].astype(np.uint64) << np.uint64(8)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    eight = four[:-4] | four[4:] << np.uint64(32)
-    return mixed(mixed(eight[:-8]) + eight[8:] * np.uint64(0x9E3779B97F4A7C15))
-
-
-def contexts(data: np.ndarray, text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """``hash, low, high``: each run of strings ``low..high`` (starts) with one anchor; ``text`` says which text a byte is of."""
+    """A hash of four bytes of the ``GRAM`` = 16 bytes from each place on; it only picks anchors."""
+    two = data[:-1].astype(np.uint32) | data[1:].astype(np.uint32) << np.uint32(8)
+    four, n = two[:-2] | two[2:] << np.uint32(16), len(data) - GRAM + 1
+    out = four[:n] * np.uint32(0x9E3779B1)
+    for k, factor in ((4, 0x85EBCA77), (8, 0xC2B2AE3D), (12, 0x27D4EB2F)):
+        out ^= four[k: k + n] * np.uint32(factor)
+        out ^= out >> np.uint32(15)
+    out *= np.uint32(0x165667B1)
+    return out ^ out >> np.uint32(16)
+
+
+def _contexts_of(data: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none.astype(np.uint64), none, none
@@ -51,21 +55,39 @@ def contexts(data: np.ndarray, text: np.ndarray, length: int = LENGTH) -> tuple[
     least = sliding_minimum(hashes, width)
     inside = text[: len(least)] == text[length - 1:]
     # A place is an anchor if it equals the greatest minimum of the runs that hold it.
-    edge = np.zeros(width - 1, np.uint64)
-    greatest = ~sliding_minimum(~np.concatenate([edge, np.where(inside, least, np.uint64(0)), edge]), width)
-    places = np.flatnonzero(greatest == hashes)
-    starts = np.flatnonzero(inside)
+    edge = np.zeros(width - 1, np.uint32)
+    greatest = ~sliding_minimum(~np.concatenate([edge, np.where(inside, least, np.uint32(0)), edge]), width)
+    is_anchor = greatest == hashes
+    places, starts = np.flatnonzero(is_anchor), np.flatnonzero(inside)
     if not len(starts):
         return none.astype(np.uint64), none, none
-    own = np.searchsorted(places, starts)
+    own = (np.cumsum(is_anchor) - is_anchor)[starts]  # the first anchor from a start on
     while True:
-        other = hashes[places[own]] != least[starts]
-        if not other.any():
+        other = np.flatnonzero(hashes[places[own]] != least[starts])
+        if not len(other):
             break
         own[other] += 1
     first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1)))
     last = np.append(first[1:], len(starts)) - 1
-    return hashes[places[own[first]]], starts[first], starts[last]
+    grams = np.lib.stride_tricks.sliding_window_view(data, GRAM)[places[own[first]]].copy().view(np.uint64)
+    names = mixed(mixed(grams[:, 0]) + grams[:, 1] * np.uint64(0x9E3779B97F4A7C15))
+    return names, starts[first], starts[last]
+
+
+def contexts(data: np.ndarray, text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """``anchor, low, high``: each run of strings ``low..high`` (starts) with one anchor, named by a hash of its bytes.
+
+    ``text`` says which text a byte is of. Texts are taken together up to ``RUN_BYTES``, which stay in a core's cache.
+    """
+    begins = np.flatnonzero(np.append(True, text[1:] != text[:-1])) if len(text) else np.zeros(0, np.int64)
+    cuts = begins[np.flatnonzero(np.append(True, np.diff(begins // RUN_BYTES) > 0))] if len(begins) else begins
+    names, lows, highs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low, high in zip(cuts, [*cuts[1:], len(data)], strict=True):
+        name, a, b = _contexts_of(data[low:high], text[low:high], length)
+        names.append(name)
+        lows.append(a + low)
+        highs.append(b + low)
+    return np.concatenate(names), np.concatenate(lows), np.concatenate(highs)
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
