@@ -116,17 +116,20 @@ def host_messages(lines: DataFrame, form: str = "text", partitions: int = HOST_P
 
 
 def index_batches(index: str, identity: Column, connect: Callable[[], documents.Send],
-                  dead_letter: Callable[[DataFrame, int], None], **options: object) -> Callable[[DataFrame, int], None]:
+                  dead_letter: Callable[[DataFrame, int], None], order: list[str] | None = None,
+                  **options: object) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler: send JSON objects to a search index, keep what it refuses.
 
     ``identity`` is computed from the column ``value``. The member ``eventType`` becomes the
-    index name. Of several documents with one id in a batch, the greatest text is sent.
+    index name. Of several documents with one id in a batch, the last one is sent by the
+    columns ``order``, such as a topic's partition and offset; without them, the greatest text.
     """
 
     def handle(lines: DataFrame, batch_id: int) -> None:
         objects = parsing.parse_dynamic_json(lines).kept
-        docs = documents.documents(objects, identity, F.col("value"), F.lit(index))
-        dead_letter(documents.index_documents(documents.last_per_id(docs, "source"), index, connect, **options), batch_id)
+        place = F.struct(*order) if order else F.col("value")
+        docs = documents.documents(objects.withColumn("place", place), identity, F.col("value"), F.lit(index), keep=("place",))
+        dead_letter(documents.index_documents(documents.last_per_id(docs, "place"), index, connect, **options), batch_id)
 
     return handle
 

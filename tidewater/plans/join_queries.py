@@ -112,13 +112,15 @@ def cogroup_window(spark, sf_dir):
 
 
 @query("""
-    SELECT e.event_id, e.user_id, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS event_time, e.event_type,
+    SELECT e.event_id, e.user_id * 11 AS user_id, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS event_time, e.event_type,
            (e.props->>'k')::BIGINT AS product_id, c.c_name AS user_name, c.c_nationkey AS user_age
-    FROM events e JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_acctbal > 0
+    FROM events e JOIN customer c ON c.c_custkey = e.user_id * 11
 """)
 def enrich_broadcast(spark, sf_dir):
-    people = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+    """User numbers are spread, so that some have no entry."""
+    people = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), F.col("c_nationkey").alias("user_age"))
-    found = joins.enrich(numbered_events(spark, sf_dir), people, "user_id")
+    events = numbered_events(spark, sf_dir).withColumn("user_id", F.col("user_id") * 11)
+    found = joins.enrich(events, people, "user_id")
     return found.select("event_id", "user_id", event_time_text(F.col("ts")).alias("event_time"), "event_type",
                         F.col("k").alias("product_id"), "user_name", "user_age")

@@ -22,20 +22,20 @@ _ACTIONS = """
 
 @query(_ACTIONS + """
     SELECT * FROM actions WHERE action = 'click' UNION ALL SELECT * FROM actions WHERE action = 'view'
-    UNION ALL SELECT * FROM actions WHERE action <> 'error'
+    UNION ALL SELECT * FROM actions
 """)
 def union_all(spark, sf_dir):
     actions = _actions(spark, sf_dir)
-    return routing.union(actions.where("action = 'click'"), actions.where("action = 'view'"), actions.where("action <> 'error'"))
+    return routing.union(actions.where("action = 'click'"), actions.where("action = 'view'"), actions)
 
 
 @query(_ACTIONS + """
-    SELECT product || ',' || action || ',' || "user" AS value FROM actions WHERE action = 'click'
+    SELECT product || ',' || action || ',' || "user" AS value FROM actions WHERE action <> 'view'
     UNION ALL SELECT product || '>>' || action FROM actions WHERE action = 'view'
 """)
 def connect_reformat(spark, sf_dir):
     actions = _actions(spark, sf_dir)
-    tuples = actions.where("action = 'click'")
+    tuples = actions.where("action <> 'view'")
     texts = actions.where("action = 'view'").select(F.concat_ws(":", "product", "action", "user").alias("text"))
     return routing.connect(tuples, texts, join_fields(",", F.col("product"), F.col("action"), F.col("user")),
                            rejoin_first_two(F.col("text")))

@@ -198,18 +198,18 @@ def stream_buy_total(spark, sf_dir):
 
 
 @query("""
-    SELECT e.event_id, e.user_id, e.event_type, c.c_name AS user_name, c.c_nationkey AS user_age
-    FROM events e JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_acctbal > 0
+    SELECT e.event_id, e.user_id * 11 AS user_id, e.event_type, c.c_name AS user_name, c.c_nationkey AS user_age
+    FROM events e JOIN customer c ON c.c_custkey = e.user_id * 11
 """)
 def stream_enrich(spark, sf_dir):
     def people():
-        return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+        return table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"),
             F.col("c_nationkey").alias("user_age"))
 
     place = _place(spark)
     snapshot = Snapshot(spark, people, people().schema, f"{place}/dimension")
-    events = _events(spark, sf_dir).select("event_id", "user_id", "event_type")
+    events = _events(spark, sf_dir).select("event_id", (F.col("user_id") * 11).alias("user_id"), "event_type")
     handle = enrich_batches(snapshot, "user_id", sinks.append_batch(f"{place}/out"))
     _run(spark, lambda: to_batches(events, handle, f"{place}/checkpoint"))
     return sinks.read_batches(spark, f"{place}/out").drop(sinks.BATCH)

@@ -21,12 +21,18 @@ def word_count(spark, sf_dir):
 
 @query(r"""
     SELECT w AS word, count(*)::BIGINT AS frequency
-    FROM (SELECT unnest(string_split(regexp_replace(text, ',+\z', ''), ',')) AS w
-          FROM documents WHERE length(text) > 0 AND NOT regexp_full_match(text, ',+'))
+    FROM (SELECT unnest(string_split(regexp_replace(line, ',+\z', ''), ',')) AS w
+          FROM (SELECT CASE WHEN doc_id % 5 = 0 THEN repeat(',', (doc_id % 3)::INTEGER)
+                       ELSE ',' || replace(text, '. ', ',,') || ',,' END AS line FROM documents)
+          WHERE length(line) > 0 AND NOT regexp_full_match(line, ',+'))
     GROUP BY 1
 """)
 def tokenize_keep_empty(spark, sf_dir):
-    lines = tables.non_empty(table(spark, sf_dir, "documents"), "text")
+    """Lines that start, go on and end with empty elements, or have nothing else."""
+    made = table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 5 == 0, F.repeat(F.lit(","), (F.col("doc_id") % 3).cast("int"))).otherwise(
+            F.concat(F.lit(","), F.replace("text", F.lit(". "), F.lit(",,")), F.lit(",,"))).alias("text"))
+    lines = tables.non_empty(made, "text")
     return tables.count_words(lines, text.split_on(F.col("text"), ","), keep_empty=True)
 
 
@@ -44,9 +50,12 @@ def sql_word_count(spark, sf_dir):
     return tables.as_records(counted, schemas.WORD_COUNT)
 
 
-@query("SELECT conv_id, turn, role FROM conversations WHERE text IS NOT NULL AND length(text) > 0")
+@query("SELECT conv_id, turn, role FROM conversations WHERE turn % 3 <> 0 AND turn % 4 <> 0 AND length(text) > 0")
 def filter_non_empty(spark, sf_dir):
-    return tables.non_empty(table(spark, sf_dir, "conversations"), "text").select("conv_id", "turn", "role")
+    """Every third turn is made empty, every fourth null."""
+    turns = table(spark, sf_dir, "conversations").withColumn("text", F.when(F.col("turn") % 3 == 0, "").when(
+        F.col("turn") % 4 != 0, F.col("text")))
+    return tables.non_empty(turns, "text").select("conv_id", "turn", "role")
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_type = 'purchase'")

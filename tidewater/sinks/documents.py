@@ -27,10 +27,11 @@ OK = "ok"
 WORTH_RETRY = ("rejected", "timeout")
 
 
-def documents(df: DataFrame, identity: Column, source: Column, kind: Column | None = None) -> DataFrame:
-    """``id, source`` rows; ``kind`` overrides the member ``eventType`` of the source."""
+def documents(df: DataFrame, identity: Column, source: Column, kind: Column | None = None,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, source`` rows and the columns ``keep``; ``kind`` overrides the member ``eventType`` of the source."""
     body = source if kind is None else json_put(source, "eventType", kind)
-    return df.select(identity.cast("string").alias("id"), body.alias("source"))
+    return df.select(identity.cast("string").alias("id"), body.alias("source"), *keep)
 
 
 def last_per_id(df: DataFrame, order: str) -> DataFrame:
