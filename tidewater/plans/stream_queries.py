@@ -132,15 +132,22 @@ def stream_join_right(spark, sf_dir):
     return _stream_join(spark, sf_dir, "right")
 
 
+def _carried(spark, sf_dir, batches, keys):
+    """Micro-batches through the sliced operators: a hot key is spread over tasks."""
+    place = _place(spark)
+    handle = batches(f"{place}/totals", keys, ORDER, sinks.append_batch(f"{place}/out"))
+    events = _events(spark, sf_dir).select(*dict.fromkeys([*ORDER, "user_id", *keys]))
+    _run(spark, lambda: to_batches(events, handle, f"{place}/checkpoint"))
+    return sinks.read_batches(spark, f"{place}/out")
+
+
 @query("""
     SELECT user_id, 'user_' || user_id || ' : ' || row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS line
     FROM events
 """)
 def stream_running_count_by_user(spark, sf_dir):
-    ones = _events(spark, sf_dir).select("user_id", F.lit(1).cast("bigint").alias("one"))
-    counted = processors.running_sum(ones, ["user_id"], "one")
-    line = F.concat_ws(" : ", F.concat(F.lit("user_"), "user_id"), "total")
-    return _files(spark, counted.select("user_id", line.alias("line")))
+    counted = _carried(spark, sf_dir, carried.running_count_batches, ["user_id"])
+    return counted.select("user_id", F.concat_ws(" : ", F.concat(F.lit("user_"), "user_id"), "n").alias("line"))
 
 
 @query("""
@@ -174,8 +181,7 @@ def stream_pair_average(spark, sf_dir):
     SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events
 """)
 def stream_behavior_count(spark, sf_dir):
-    rows = _events(spark, sf_dir).select("user_id", "event_type")
-    return _files(spark, processors.count_per_item(rows, ["user_id"], "event_type"))
+    return _carried(spark, sf_dir, carried.running_count_batches, ["user_id", "event_type"]).select("user_id", "event_type", "n")
 
 
 @query("""
@@ -184,7 +190,7 @@ def stream_behavior_count(spark, sf_dir):
     UNION ALL SELECT user_id, false AS is_add, n - 1 AS n FROM counted WHERE n > 1
 """)
 def stream_retract_running_count(spark, sf_dir):
-    return _files(spark, processors.count_changes(_events(spark, sf_dir), "user_id"))
+    return _carried(spark, sf_dir, carried.count_changes_batches, ["user_id"]).select("user_id", "is_add", "n")
 
 
 @query("SELECT count(*)::BIGINT AS n FROM events WHERE event_type = 'purchase'")

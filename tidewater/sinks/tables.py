@@ -27,12 +27,23 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def _remove_before(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove the folders of the batches before ``batch_id``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        name, _, number = entry.getPath().getName().partition("=")
+        if name == BATCH and int(number) < batch_id:
+            files.delete(entry.getPath(), True)
+
+
 class LatestTable:
     """The newest row per key, kept as one row per key and micro-batch.
 
     ``order`` decides between rows of a key; the later batch wins a tie. A batch writes
     only the keys it holds, but every ``fold_every``-th one writes the whole table, so a
-    reader never needs more than that many batches.
+    reader never needs more than that many batches. What is older than the fold before the
+    last is removed; a reader that began before the last fold still finds all it needs.
     """
 
     def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], fold_every: int = 50):
@@ -46,14 +57,22 @@ class LatestTable:
         else:
             newest = latest(rows, self.keys, self.order or self.keys)
         append_batch(self.path)(newest, batch_id)
+        if batch_id % self.fold_every == 0:
+            _remove_before(rows.sparkSession, self.path, batch_id - self.fold_every)
+
+    def read(self, spark: SparkSession, before: int | None = None, among: DataFrame | None = None) -> DataFrame:
+        """The table as it is, or as it was before a batch (which must not be the first).
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The table as it is, or as it was before a batch (which must not be the first)."""
+        ``among`` has the keys to read, other rows are left out before the newest are looked for.
+        """
         batches = read_batches(spark, self.path)
         if before is None:
             before = (batches.agg(F.max(BATCH)).first()[0] or 0) + 1
         folded = (before - 1) // self.fold_every * self.fold_every
         recent = batches.where((F.col(BATCH) >= folded) & (F.col(BATCH) < before))
+        if among is not None:
+            wanted = among.select(*[F.col(k).alias(f"_wanted_{k}") for k in self.keys]).distinct()
+            recent = recent.join(wanted, [F.col(k).eqNullSafe(F.col(f"_wanted_{k}")) for k in self.keys], "left_semi")
         return latest(recent, self.keys, [*self.order, BATCH]).drop(BATCH)
 
 

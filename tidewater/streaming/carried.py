@@ -30,28 +30,33 @@ def _with_carried(rows: DataFrame, table: LatestTable, batch_id: int) -> DataFra
     fresh = rows.withColumn(CARRIED, F.lit(False))
     if batch_id == 0:
         return fresh
-    before = table.read(rows.sparkSession, before=batch_id)
-    present = rows.select(*[F.col(k).alias(f"_present_{k}") for k in table.keys]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_present_{k}")) for k in table.keys]
-    before = before.join(present, same, "left_semi")
+    before = table.read(rows.sparkSession, before=batch_id, among=rows)
     if "open" in before.columns:
         before = before.where("open").drop("open")
     return fresh.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
 
 
+def _kept(joined: DataFrame, work: Handler, batch_id: int) -> None:
+    """``work`` reads its rows several times: they are kept until it ends, also when it fails."""
+    joined.persist()
+    try:
+        work(joined, batch_id)
+    finally:
+        joined.unpersist()
+
+
 def running_sum_batches(state_path: str, keys: Sequence[str], order: Sequence[str], value: str, write: Handler,
                         name: str = "total", fold_every: int = 50, slices: int | None = None) -> Handler:
     """``write`` gets each batch's rows with the sum of ``value`` up to each of them."""
     table = LatestTable(state_path, keys, [], fold_every)
 
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        amounts = rows.withColumn(value, F.col(value).cast("bigint"))
-        joined = _with_carried(amounts, table, batch_id)
+    def work(joined: DataFrame, batch_id: int) -> None:
         summed = running.running_sum(joined, keys, order, value, name, slices)
         write(summed.where(~F.col(CARRIED)).drop(CARRIED), batch_id)
         table.write_batch(joined.groupBy(*keys).agg(F.sum(value).alias(value)), batch_id)
-        rows.unpersist()
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        _kept(_with_carried(rows.withColumn(value, F.col(value).cast("bigint")), table, batch_id), work, batch_id)
 
     return handle
 
@@ -77,15 +82,15 @@ def pair_average_batches(state_path: str, keys: Sequence[str], order: Sequence[s
     """``write`` gets the keys and whole-number means of the pairs each batch closes."""
     table = LatestTable(state_path, keys, [], fold_every)
 
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        amounts = rows.select(*keys, *order, F.col(value).cast("bigint").alias(value))
-        joined = _with_carried(amounts, table, batch_id)
+    def work(joined: DataFrame, batch_id: int) -> None:
         means = running.pair_average(joined, keys, order, value, slices)
         write(means.select(*keys, "average"), batch_id)
         ends = joined.groupBy(*keys).agg(
             (F.count(F.lit(1)) % 2 == 1).alias("open"), F.max_by(value, F.struct(*order)).alias(value))
         table.write_batch(ends, batch_id)
-        rows.unpersist()
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        amounts = rows.select(*keys, *order, F.col(value).cast("bigint").alias(value))
+        _kept(_with_carried(amounts, table, batch_id), work, batch_id)
 
     return handle
