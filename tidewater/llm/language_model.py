@@ -92,6 +92,13 @@ class Vocabulary:
         self.within = np.log10(np.maximum(1, tails.sum(axis=1) + 1).astype(np.float64))  # of a tail: counts, words, unknown
         self.tail = [TOP + t for t in range(TAILS)]
 
+    @classmethod
+    def restored(cls, state: dict) -> Vocabulary:
+        """The vocabulary with these attributes: broadcasts carry plain values only."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def classes(self, own: list[bytes]) -> np.ndarray:
         top, crc = self.top, zlib.crc32
         return np.fromiter([top[w] if w in top else TOP + crc(w[-2:]) % TAILS for w in own], np.int64, len(own))
@@ -152,7 +159,8 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarr
 
 def _trained(shared, epoch: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, start = shared.value
+        state, start = shared.value
+        vocabulary = Vocabulary.restored(state)
         p = {k: v.copy() for k, v in start.items()}
         noise = (vocabulary.totals + 1.0) / (vocabulary.totals + 1.0).sum()
         ends, seen = vocabulary.top.get(END), 0
@@ -175,7 +183,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, epochs: int = EPOCHS) -> dic
     context = texts.sparkSession.sparkContext
     p = start_parameters(vocabulary)
     for epoch in range(epochs):
-        learned = texts.mapInPandas(_trained(context.broadcast((vocabulary, p)), epoch), "weight double, values array<double>")
+        learned = texts.mapInPandas(_trained(context.broadcast((vars(vocabulary), p)), epoch), "weight double, values array<double>")
         mean = learned.select("weight", F.posexplode("values").alias("i", "x")).groupBy("i").agg(
             (F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x")).toArrow()
         if not mean.num_rows:
@@ -189,7 +197,8 @@ def train(texts: DataFrame, vocabulary: Vocabulary, epochs: int = EPOCHS) -> dic
 
 def _scored(shared):
     def run(key: tuple, block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        vocabulary, p = shared.value
+        state, p = shared.value
+        vocabulary = Vocabulary.restored(state)
         counts: dict[bytes, int] = {}
         for r in replies.itertuples():
             counts.update(zip(r.words.split(b"\n"), np.frombuffer(r.counts, np.int64).tolist(), strict=True))
@@ -242,4 +251,4 @@ def score_texts(docs: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     p = train(rows.where(~F.col("held_out")).select("text"), vocabulary, epochs)
     replies = summed.where("block >= 0").select("block", "words", "counts")
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
-        _scored(context.broadcast((vocabulary, p))), RESULT)
+        _scored(context.broadcast((vars(vocabulary), p))), RESULT)
