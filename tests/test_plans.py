@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.conftest import SMALL
+from tidewater.plans import catalogue
 
-BATCH = sorted(n for n in driver.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in catalogue.load() if not n.startswith("stream_"))
 
 
 def plan(spark, name):
@@ -41,7 +42,7 @@ def test_no_plan_bottlenecks(spark, name):
     ("format_ratio", {"l_orderkey", "l_linenumber", "l_discount"}),
     ("running_count_by_user", {"ts", "event_id", "user_id"}),
     ("join_inner", {"event_id", "ts", "user_id", "event_type"}),
-    ("enrich_broadcast", {"event_id", "ts", "user_id", "event_type", "props", "c_custkey", "c_name", "c_nationkey", "c_acctbal"}),
+    ("enrich_broadcast", {"event_id", "ts", "user_id", "event_type", "props", "c_custkey", "c_name", "c_nationkey"}),
 ])
 def test_columns_read(spark, name, columns):
     assert read_columns(plan(spark, name)) == columns
@@ -52,7 +53,6 @@ def test_columns_read(spark, name, columns):
     ("buy_running_count", "EqualTo(event_type,purchase)"),
     ("state_lookup", "In(event_type, [absent,click,purchase,view])"),
     ("join_left", "EqualTo(event_type,view)"),
-    ("enrich_broadcast", "GreaterThan(c_acctbal,0.0)"),
 ])
 def test_filters_reach_the_scan(spark, name, pushed):
     formatted = driver.queries()[name](spark, SMALL)._jdf.queryExecution().explainString(
