@@ -15,7 +15,7 @@ from tidewater.llm.common import saved
 
 PAGE = 24
 #: Pivots of a group in one round.
-MANY = 64
+MANY = 512
 
 
 def components(links: DataFrame) -> DataFrame:
