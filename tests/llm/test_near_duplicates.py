@@ -106,3 +106,17 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(300, 200)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(101)}, 200: 200, 300: 200}
+
+
+def test_crowded_bands_lose_no_link(spark):
+    """Copies just above the limit, linked to the original only, in bands of more than a page of texts."""
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(185)]
+    docs = [(5000, " ".join(base), "x", 1)]
+    for i in range(800):
+        w = list(base)
+        for k in range(4):
+            w[5 + 35 * k + r.randrange(30)] = f"e{i}_{k}"
+        docs.append((i, " ".join(w), "x", 1))
+    got = classes(spark, docs)
+    assert len(got) == 801 and set(got.values()) == {0}

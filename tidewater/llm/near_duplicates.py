@@ -5,9 +5,9 @@ BAND_ROWS`` registers. Every distinct shingle of a text is a Poisson process who
 random registers, a register keeps the earliest, and a shingle's process ends as soon as it is later than all registers.
 Two texts agree in a register with a probability equal to their similarity.
 
-Texts that agree in a whole band are candidates; at a similarity of 0.8 the 25 bands of 5 find 99.995 % of pairs. In a
-band's group of more than ``PAGE`` texts, candidates are those that agree in one of the next ``NEXT`` bands too (99.4 % at 0.8, 99.98 % at 0.85). Groups
-of up to ``PAGE`` texts give all their pairs, larger ones are compared with pivots in rounds.
+Texts that agree in a whole band are candidates, whatever the size of the band's group; at a similarity of 0.8 the 25 bands
+of 5 find 99.995 % of pairs. Groups of up to ``PAGE`` texts give all their pairs, larger ones are compared with pivots in
+rounds.
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import distinct_texts, saved, small_side, word_hashes
-from tidewater.llm.components import PAGE, components, pivot_links, sized, small_pairs
+from tidewater.llm.components import components, pivot_links, sized, small_pairs
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, BAND_ROWS, NEXT = 25, 5, 5
+BANDS, BAND_ROWS = 25, 5
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -156,10 +156,6 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return saved(pairs.join(left, "a").join(right, "b").mapInPandas(_similar, "a long, b long"))
 
 
-def _band(key: Column) -> Column:
-    return F.shiftright(key, 56)
-
-
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between texts ``(node, text)`` that connect all similar ones."""
     bands = saved(word_hashes(texts).mapInArrow(_band_keys, "node long, bands array<long>"))
@@ -167,15 +163,8 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     candidates = small_side(saved(members.select("node").distinct()))
     near = saved(word_hashes(texts.join(candidates, "node", "left_semi")).mapInArrow(
         _bags, "node long, s array<long>, k array<int>").dropDuplicates(["node"]))
-    crowded = members.where(F.col("size") > PAGE).groupBy("node").agg(
-        F.sort_array(F.collect_set("group")).alias("groups"))
-    # Keys hold their band in the upper bits, so the order is that of the bands; each meets the next ``NEXT`` of its row.
-    twice = F.explode(F.flatten(F.transform("groups", lambda x, i: F.transform(
-        F.filter(F.slice("groups", i + 2, BANDS), lambda y: _band(y) - _band(x) <= NEXT),
-        lambda y: F.xxhash64(x, y)))))
-    finer = sized(crowded.select(twice.alias("group"), "node"))
-    links = _verified(small_pairs(members).union(small_pairs(finer)).distinct(), near)
-    return pivot_links(finer, links, lambda pairs: _verified(pairs, near))
+    links = _verified(small_pairs(members), near)
+    return pivot_links(members, links, lambda pairs: _verified(pairs, near))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
