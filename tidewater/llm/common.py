@@ -19,10 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The path of a folder that is not there yet, in the shared folder."""
+    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and kept when an executor is lost."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

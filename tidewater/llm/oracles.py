@@ -84,3 +84,29 @@ SELECT page_id, host, path,
         suffix(p.host, '.' || r.host)) AND prefix(p.path, r.path)),
         CASE WHEN p.host || p.path IN (SELECT key FROM keys) THEN 'block' ELSE 'allow' END) AS verdict
 FROM parsed p"""
+
+
+def _clusters(k: int = 40, rounds: int = 5, seed: int = 2) -> str:
+    """k-means rounds in whole numbers: ``c0`` to ``c5`` are the centroids, ``a0`` to ``a5`` the vectors' nearest ones."""
+    steps = [f"""c0 AS (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), x) - 1 AS cluster, x AS c
+    FROM kept WHERE vec_id IS NOT NULL QUALIFY cluster < {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS (SELECT r, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT r, cluster, list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+    FROM kept, c{n}) GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n
+    FROM kept JOIN a{n} USING (r), range(1, 65) AS p(i) GROUP BY cluster, i),
+c{n + 1} AS (SELECT cluster, coalesce(moved, c) AS c FROM c{n} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM s{n} GROUP BY cluster) USING (cluster))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+{", ".join(steps)}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} USING (r) JOIN c{rounds} USING (cluster)"""
+
+
+CLUSTERS = _clusters()

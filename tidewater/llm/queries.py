@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewater.llm import oracles
-from tidewater.llm.common import table
+from tidewater.llm.centroid_clustering import cluster, whole_vectors, with_inertia
+from tidewater.llm.common import new_folder, table
 from tidewater.llm.language_model import score_texts
 from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
@@ -21,6 +22,8 @@ from tidewater.llm.substring_dedup import duplicate_passages
 from tidewater.llm.suffix_dedup import remove_repeats
 from tidewater.llm.topk_search import top_k, whole_numbers
 from tidewater.llm.url_filters import repeated_page_keys, url_filter
+from tidewater.llm.wavelet_shards import read_documents, write_shards
+from tidewater.llm.whitening import whiten
 
 Build = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Build, str | None]] = {}
@@ -103,3 +106,22 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     encoded = encode(table(spark, sf_dir, "documents"), path)
     return decode(encoded, path).select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@registered(oracles.CLUSTERS)
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_inertia(*cluster(whole_vectors(table(spark, sf_dir, "embeddings"), 256, size=64)))
+
+
+@registered()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten(whole_vectors(table(spark, sf_dir, "embeddings"), 64, 1_000_000))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@registered()
+def op13_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_documents(spark, folder).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
