@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from tests.conftest import SMALL
 from tidewater.llm import queries
-from tidewater.llm.wavelet_shards import WaveletMatrix, occurrences, read_documents, read_shards, token_counts, write_shards
+from tidewater.llm.wavelet_shards import WaveletMatrix, WordEncoder, occurrences, read_documents, read_shards, token_counts, write_shards
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -74,6 +74,16 @@ def test_files(spark, tmp_path):
     assert found == [(n, i, k) for n, (i, k, t) in enumerate(flat) if t == common]
 
 
+def test_words_are_cut_as_the_tokenizer_cuts_them():
+    r = random.Random(4)
+    encoder, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    signs = "abzAZ09'sdtmrevl.,!<|>#-_é\u00c9ßÿ×÷ª²\u0130\u03a3Σς\u00a0\u0085\x1c\t\x0b\r漢\u0301 \n"
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(4000)]
+    texts += ["it's we'll you've don't I'm they're he'd 'salut '' '! !'s", "ÀÖØÞ àöøþ", "x<|endoftext|>y <|startoftext|>"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.batch(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_null_ids_and_no_rows(spark, tmp_path):
     df = spark.createDataFrame([(None, "b c"), (None, "b c"), (7, None), (-2, "d")], "doc_id long, text string")
     write_shards(df, str(tmp_path / "a"), PATH)

@@ -18,9 +18,12 @@ their ids, so shards are ascending; a task cuts its range into shards and holds
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +36,14 @@ from tidewater.llm.common import small_side
 MAGIC = b"WMX1"
 #: Bits between two counts of ones.
 STEP = 512
+#: Ids below it are numbered by a table, others by sorting.
+SMALL_IDS = 2**20
 #: Tokens of a shard; a longer document is a shard of its own.
 SHARD_TOKENS = 4_000_000
 #: Characters dealt to a task, on average.
 TASK_CHARS = 10_000_000
-#: Characters encoded at a time; words a worker remembers.
-CHUNK_CHARS, CACHED_WORDS = 2_000_000, 500_000
+#: Characters encoded at a time; words and pieces of words a worker remembers.
+CHUNK_CHARS, CACHED_WORDS, CACHED_PIECES = 2_000_000, 300_000, 800_000
 
 SHARDS = "part int, nth int, n_tokens long, doc_ids array<long>, lengths array<long>, file binary"
 
@@ -92,7 +97,11 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        known, codes = np.unique(ids, return_inverse=True) if len(ids) else (np.zeros(0, np.uint32), ids)
+        if len(ids) and int(ids.max()) < SMALL_IDS:
+            met = np.bincount(ids) > 0
+            known, codes = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.uint32)[ids]
+        else:
+            known, codes = np.unique(ids, return_inverse=True)
         depth = max(0, int(len(known) - 1).bit_length())
         codes = codes.astype(np.uint16 if depth <= 16 else np.uint32)
         planes = []
@@ -188,25 +197,42 @@ class WaveletMatrix:
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose words never cross a space or line end, with a cache of encoded words."""
+    """Ids of texts by a lower-casing tokenizer whose words never cross a space or line end.
+
+    Words are cut at spaces and remembered. A new word of plain Latin letters, digits and signs is cut as the tokenizer cuts
+    it, so its pieces can be looked up as well; any other word is encoded as it is.
+    """
+
+    #: Fixed values of the tokenizer: how it cuts lower-cased words, here for ``PLAIN`` ones.
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+    SPECIAL = "<|"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {}
+        plans = {w: self.PIECES.findall(w.lower()) if self.PLAIN.fullmatch(w) and self.SPECIAL not in w else [w]
+                 for w in words}
+        pieces = self.pieces
+        fresh = list(set(chain.from_iterable(plans.values())).difference(pieces))
+        for piece, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            pieces[piece] = array("I", e.ids).tobytes()
+        self.words.update((w, b"".join(map(pieces.__getitem__, plan))) for w, plan in plans.items())
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids."""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+        if len(self.words) > CACHED_WORDS:
+            self.words = {}
         cut = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.known
-        known[""] = b""
-        fresh = [w for w in dict.fromkeys(w for ws in cut for w in ws) if w not in known]
-        for word, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in cut]
+        self._learn(set(chain.from_iterable(cut)).difference(self.words))
+        return [b"".join(map(self.words.__getitem__, ws)) for ws in cut]
 
 
 _encoders: dict[str, WordEncoder] = {}
