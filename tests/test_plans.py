@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tests.conftest import SMALL
+from tidewater.operators import parsing
 from tidewater.plans import catalogue
+from tidewater.sinks import documents
 
 BATCH = sorted(n for n in catalogue.load() if not n.startswith("stream_"))
 
@@ -65,3 +68,18 @@ def test_filters_reach_the_scan(spark, name, pushed):
     ("upsert_last_by_id", 1), ("latest_window_max", 2)])
 def test_shuffles(spark, name, shuffles):
     assert plan(spark, name).count("Exchange hashpartitioning") == shuffles
+
+
+@pytest.mark.parametrize("name", ["json_extract", "json_rejected"])
+def test_text_is_parsed_once(spark, name):
+    optimized = driver.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json") == 1
+
+
+def test_schemaless_text_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"a":1}', 1), ("{", 2)], "value string, k int")
+    parsed = parsing.parse_dynamic_json(df)
+    sent = documents.documents(parsed.kept, F.col("k"), F.col("value"), F.lit("x"), members=F.col("members"))
+    for frame in (parsed.kept, parsed.rejected, sent):
+        assert str(frame._jdf.queryExecution().optimizedPlan().toString()).count("VariantExpressionEvalUtils") == 1
+    assert [r["source"] for r in sent.collect()] == ['{"a":1,"eventType":"x"}']

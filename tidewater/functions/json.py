@@ -22,12 +22,22 @@ def _sealed(value: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("["), value, F.lit(f',{{"{SEAL}":"'), seal, F.lit('"}]')), seal
 
 
-def json_fields(value: Column, names: list[str]) -> Column:
-    """Struct of the named members as text; null when the text is not one JSON object."""
+def sealed_fields(value: Column, names: list[str]) -> Column:
+    """Struct of the named members as text, and of the seal; null when the text is not one JSON object.
+
+    Take the members from it by name, inside ``once``: a copy of the struct without the seal would be unfolded to a parse
+    for each member.
+    """
     inner = T.StructType([T.StructField(n, T.StringType()) for n in [*names, SEAL]])
     text, seal = _sealed(value)
     return once(F.from_json(text, T.ArrayType(inner)), lambda parts: F.when(
-        (F.size(parts) == 2) & (F.get(parts, F.lit(1))[SEAL] == seal), F.get(parts, F.lit(0)))).dropFields(f"`{SEAL}`")
+        (F.size(parts) == 2) & (F.get(parts, F.lit(1))[SEAL] == seal), F.get(parts, F.lit(0))))
+
+
+def json_fields(value: Column, names: list[str]) -> Column:
+    """Struct of the named members as text; null when the text is not one JSON object."""
+    return once(sealed_fields(value, names), lambda found: F.when(
+        found.isNotNull(), F.struct(*[found[n].alias(n) for n in names])))
 
 
 def json_members(value: Column) -> Column:
@@ -39,12 +49,17 @@ def json_members(value: Column) -> Column:
         F.get(parts, F.lit(0))))
 
 
-def json_put(value: Column, name: str, replacement: Column) -> Column:
-    """Set one member and write the object back; other members keep their types."""
-    kept = F.map_filter(json_members(value), lambda key, _: key != name)
+def members_put(members: Column, name: str, replacement: Column) -> Column:
+    """The object of parsed ``members`` with one set, as text; other members keep their types."""
+    kept = F.map_filter(members, lambda key, _: key != name)
     return F.to_json(F.map_concat(kept, F.create_map(F.lit(name), replacement.cast("variant"))))
 
 
+def json_put(value: Column, name: str, replacement: Column) -> Column:
+    """Set one member of an object's text and write it back."""
+    return members_put(json_members(value), name, replacement)
+
+
 def to_record(*columns: Column | str) -> Column:
     """One JSON object with every member present, nulls included."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

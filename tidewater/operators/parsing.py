@@ -67,7 +67,7 @@ def parse_json_records(
                 ok = ok & (raw[n].isNull() | tx.parse_int(raw[n]).isNotNull())
         return ok
 
-    return _divide(df, js.json_fields(F.col(value), schema.names), record, good, keep)
+    return _divide(df, js.sealed_fields(F.col(value), schema.names), record, good, keep)
 
 
 def _int_member(member: Column, missing: int | None) -> Column:
@@ -81,9 +81,10 @@ def parse_event_json(df: DataFrame, value: str = "value", **options: object) ->
 
 def parse_dynamic_json(df: DataFrame, value: str = "value", member_column: str = "members") -> Parsed:
     """Schemaless objects: one ``map<string,variant>`` column next to the text."""
-    staged = df.withColumn(member_column, F.when(tx.has_text(F.col(value)), js.json_members(F.col(value))))
-    parsed = F.col(member_column).isNotNull()
-    return Parsed(staged.where(parsed), staged.where(~parsed).drop(member_column))
+    members = F.when(tx.has_text(F.col(value)), js.json_members(F.col(value)))
+    found = F.filter(F.array(F.struct(members.alias(member_column))), lambda m: m[member_column].isNotNull())
+    others = [c for c in df.columns if c != member_column]
+    return Parsed(df.select(*others, F.inline(found)), df.where(F.size(found) == 0))
 
 
 def parse_csv_pair(df: DataFrame, value: str = "value", names: tuple[str, str] = ("event", "pv"),

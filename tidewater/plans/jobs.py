@@ -128,7 +128,8 @@ def index_batches(index: str, identity: Column, connect: Callable[[], documents.
     def handle(lines: DataFrame, batch_id: int) -> None:
         objects = parsing.parse_dynamic_json(lines).kept
         place = F.struct(*order) if order else F.col("value")
-        docs = documents.documents(objects.withColumn("place", place), identity, F.col("value"), F.lit(index), keep=("place",))
+        docs = documents.documents(objects.withColumn("place", place), identity, F.col("value"), F.lit(index), keep=("place",),
+                                   members=F.col("members"))
         dead_letter(documents.index_documents(documents.last_per_id(docs, "place"), index, connect, **options), batch_id)
 
     return handle

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 
-from tidewater.functions.json import json_put
+from tidewater.functions.json import json_put, members_put
 from tidewater.operators.latest import latest
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,9 +28,14 @@ WORTH_RETRY = ("rejected", "timeout")
 
 
 def documents(df: DataFrame, identity: Column, source: Column, kind: Column | None = None,
-              keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id, source`` rows and the columns ``keep``; ``kind`` overrides the member ``eventType`` of the source."""
-    body = source if kind is None else json_put(source, "eventType", kind)
+              keep: tuple[str, ...] = (), members: Column | None = None) -> DataFrame:
+    """``id, source`` rows and the columns ``keep``; ``kind`` overrides the member ``eventType`` of the source.
+
+    ``members`` are the source's members if it has been parsed already.
+    """
+    body = source
+    if kind is not None:
+        body = json_put(source, "eventType", kind) if members is None else members_put(members, "eventType", kind)
     return df.select(identity.cast("string").alias("id"), body.alias("source"), *keep)
 
 
