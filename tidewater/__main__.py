@@ -5,7 +5,7 @@ Runs one of the streaming jobs on message topics, watched folders or a text sock
 ``page_views``    topics matching ``--topics``, results to topic ``--to`` and the console
 ``user_counts``   topic ``topic_name`` of the properties, results to topic ``--to``
 ``join_logs``     topics ``--browse`` and ``--click``, ``--how`` inner, left or right, to files in ``--out``
-``group_logs``    the same topics, every event with its window and user, to files in ``--out``
+``group_logs``    the same topics, groups of a window and user when the window has closed, to files in ``--out``
 ``enrich``        topic ``topic_name`` and the user table of the properties, to files in ``--out``
 ``host_metrics``  lines of files added to ``--folder``, as messages to topic ``--to``
 ``word_count``    lines of a socket (``--host``, ``--port``), counts to files in ``--out``
@@ -93,7 +93,7 @@ def start(spark: SparkSession, job: str, args: dict[str, str], properties: dict[
         return queries.to_batches(jobs.join_logs(*sides, args.get("how", "inner")), show_and_write(args["out"]), **place)
     if job == "group_logs":
         sides = [_topic(spark, properties, topic=args[side]) for side in ("browse", "click")]
-        return queries.to_batches(jobs.group_logs(*sides), show_and_write(args["out"]), **place)
+        return queries.to_batches(jobs.delivered_logs(*sides), show_and_write(args["out"]), **place)
     if job == "enrich":
         lines = topics.message_values(spark, topics.options_from_properties(properties))
         read = jdbc.reader(spark, jdbc.options_from_properties(properties))

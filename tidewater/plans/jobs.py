@@ -16,7 +16,7 @@ from tidewater import schemas
 from tidewater.functions import display, json, text, times
 from tidewater.operators import joins, parsing, tables, windows
 from tidewater.sinks import documents, messages
-from tidewater.streaming import processors
+from tidewater.streaming import cogroups, processors
 
 # Window widths and the delay allowed to late rows.
 PV_WIDTH, PV_DELAY = "20 seconds", "3 seconds"
@@ -78,6 +78,11 @@ def group_logs(browse_lines: DataFrame, click_lines: DataFrame) -> DataFrame:
         ["userID", "eventTime"], display.browse_text(), display.click_text())
 
 
+def delivered_logs(browse_lines: DataFrame, click_lines: DataFrame) -> DataFrame:
+    """The groups of ``group_logs`` of two streams, each delivered when its window has closed."""
+    return cogroups.delivered_groups(group_logs(browse_lines, click_lines), ["userID", "eventTime"])
+
+
 def events_to_enrich(lines: DataFrame) -> DataFrame:
     """Events for ``streaming.dimension.enrich_batches``."""
     return _events(lines, missing_int=0)

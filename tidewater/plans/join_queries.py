@@ -11,7 +11,7 @@ from tidewater.operators import joins
 from tidewater.plans.catalogue import query
 from tidewater.plans.inputs import numbered_events, table
 
-_SIDES = """
+SIDES = """
     WITH logs AS (
         SELECT event_id, user_id, event_type, (props->>'k')::BIGINT AS k, date_trunc('hour', ts) AS hour,
                strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS event_time FROM events),
@@ -45,30 +45,30 @@ def _ids(spark, sf_dir, how):
         F.coalesce("left_eventTime", "right_eventTime").alias("event_time"))
 
 
-def _join_oracle(how: str) -> str:
-    return _SIDES + f"""
+def join_oracle(how: str) -> str:
+    return SIDES + f"""
         SELECT b.event_id AS left_event_id, c.event_id AS right_event_id,
                'user_' || coalesce(b.user_id, c.user_id) AS "user", coalesce(b.event_time, c.event_time) AS event_time
         FROM browse b {how} JOIN click c ON b.user_id = c.user_id AND b.event_time = c.event_time
     """
 
 
-@query(_join_oracle("INNER"))
+@query(join_oracle("INNER"))
 def join_inner(spark, sf_dir):
     return _ids(spark, sf_dir, "inner")
 
 
-@query(_join_oracle("LEFT"))
+@query(join_oracle("LEFT"))
 def join_left(spark, sf_dir):
     return _ids(spark, sf_dir, "left")
 
 
-@query(_join_oracle("RIGHT"))
+@query(join_oracle("RIGHT"))
 def join_right(spark, sf_dir):
     return _ids(spark, sf_dir, "right")
 
 
-@query(_SIDES + """
+@query(SIDES + """
     SELECT 'UserBrowseLog{userID=''user_' || b.user_id || ''', eventTime=''' || b.event_time || ''', eventType=''view'', productID=''product_'
            || b.k || ''', productPrice=' || b.k || '} ==Left Join=> '
            || CASE WHEN c.event_id IS NULL THEN 'null' ELSE
@@ -85,7 +85,7 @@ def _members(spark, sf_dir):
     return joins.cogroup_rows(browse, click, "hour", WIDTH, KEYS, F.col("event_id"), F.col("event_id"))
 
 
-@query(_SIDES + """
+@query(SIDES + """
     SELECT 'user_' || user_id AS "user", event_time, event_time AS window_start,
            strftime(hour + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
            CASE WHEN event_type = 'view' THEN 'left' ELSE 'right' END AS side, event_id
@@ -99,7 +99,7 @@ def cogroup_rows(spark, sf_dir):
         "side", F.col("payload").alias("event_id"))
 
 
-@query(_SIDES + """
+@query(SIDES + """
     SELECT 'user_' || user_id AS "user", event_time,
            count(*) FILTER (event_type = 'view') AS n_left, count(*) FILTER (event_type = 'click') AS n_right,
            min(event_id) FILTER (event_type = 'view') AS first_left, max(event_id) FILTER (event_type = 'view') AS last_left,

@@ -1,7 +1,7 @@
 """The streaming forms, run over the driver's tables as streams of files.
 
 Each query starts a stream, lets it read what is there, waits for its end and returns
-what the sink holds. Results that wait for a window to close cover closed windows only.
+what the sink holds. Inputs with windows are ended, so that open windows and rows without a match come out too.
 Counts come without event ids: the order of arrival says which event got which count.
 """
 
@@ -13,14 +13,15 @@ from tidewater.functions.times import event_time_text
 from tidewater.operators import joins, latest, routing, windows
 from tidewater.plans.catalogue import query
 from tidewater.plans.inputs import ORDER, table
-from tidewater.plans.join_queries import KEYS, WIDTH, _SIDES
+from tidewater.plans.join_queries import KEYS, SIDES, WIDTH, join_oracle
 from tidewater.plans.running_queries import _HOURLY
 from tidewater.plans.window_queries import pv_oracle
 from tidewater.session import shared_dir, use_rocksdb
 from tidewater.sinks import tables as sinks
 from tidewater.sources.rows import watch_table
-from tidewater.streaming import carried, processors
+from tidewater.streaming import carried, cogroups, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
+from tidewater.streaming.ending import Ending
 from tidewater.streaming.queries import finish, state_partitions, to_batches, to_files
 
 DELAY = "3 seconds"
@@ -41,97 +42,113 @@ def _events(spark, sf_dir):
     return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", number.alias("k"))
 
 
-def _run(spark, start):
+def _run(spark, start, ending=None):
     """Run a stream to its end; ``spark.tidewater.stateStores`` says in how many parts it keeps its state."""
     with state_partitions(spark, int(spark.conf.get("spark.tidewater.stateStores", STATE_STORES))):
-        query = start()
-    finish(query)
+        if ending is None:
+            finish(start())
+        else:
+            ending.run(start)
 
 
-def _files(spark, stream, **options):
+def _files(spark, stream, ending=None, **options):
     """Run a stream into files and read them back."""
     place = _place(spark)
-    _run(spark, lambda: to_files(stream, f"{place}/out", f"{place}/checkpoint", **options))
+    _run(spark, lambda: to_files(stream, f"{place}/out", f"{place}/checkpoint", **options), ending)
     return spark.read.schema(stream.schema).parquet(f"{place}/out")
 
 
-# Windows the watermark has passed once all events are read.
-_CLOSED = "WHERE window_end <= (SELECT strftime(max(ts) - INTERVAL 3 SECOND, '%Y-%m-%d %H:%M:%S') FROM events)"
+def _ending(spark):
+    return Ending(spark, f"{_place(spark)}/end")
 
 
-@query(pv_oracle("1 HOUR", _CLOSED))
+@query(pv_oracle("1 HOUR"))
 def stream_pv_tumbling(spark, sf_dir):
-    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
-    return _files(spark, windows.page_views(timed, "ts", "1 hour", "event_type"))
+    ending = _ending(spark)
+    timed = ending.timed(_events(spark, sf_dir), "ts", DELAY)
+    return _files(spark, windows.page_views(timed, "ts", "1 hour", "event_type"), ending)
 
 
-@query(_HOURLY + f"""
+@query(_HOURLY + """
     SELECT event_type, arg_max(window_start, window_end) AS window_start, max(window_end) AS window_end,
-           arg_max("count", window_end) AS "count", arg_max("sum", window_end) AS "sum" FROM hourly {_CLOSED} GROUP BY 1
+           arg_max("count", window_end) AS "count", arg_max("sum", window_end) AS "sum" FROM hourly GROUP BY 1
 """)
 def stream_latest_window_count_sum(spark, sf_dir):
     """Published window state: closed windows go to a latest-value table."""
-    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
+    ending = _ending(spark)
+    timed = ending.timed(_events(spark, sf_dir), "ts", DELAY)
     hourly = windows.window_count_sum(timed, "ts", "1 hour", "event_type", F.col("k"))
     place = _place(spark)
     newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
-    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"), ending)
     return newest.read(spark)
 
 
-@query(_HOURLY + f"""
+@query(_HOURLY + """
     SELECT event_type, max(window_end) AS window_end, arg_max(max_value, window_end) AS max_value
-    FROM hourly {_CLOSED} AND event_type IN ('view', 'click') GROUP BY 1
+    FROM hourly WHERE event_type IN ('view', 'click') GROUP BY 1
 """)
 def stream_state_lookup(spark, sf_dir):
-    timed = windows.with_event_time(_events(spark, sf_dir), "ts", DELAY)
+    ending = _ending(spark)
+    timed = ending.timed(_events(spark, sf_dir), "ts", DELAY)
     hourly = windows.window_max(timed, "ts", "1 hour", "event_type", F.col("k"))
     place = _place(spark)
     newest = sinks.LatestTable(f"{place}/latest", ["event_type"], ["window_end"])
-    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"))
+    _run(spark, lambda: to_batches(hourly, newest.write_batch, f"{place}/checkpoint"), ending)
     found = latest.look_up(newest.read(spark), "event_type", ["view", "click", "absent"])
     return found.select("event_type", "window_end", "max_value")
 
 
-def _stream_join(spark, sf_dir, how):
+def _stream_sides(spark, sf_dir, ending):
     logs = _events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
     logs = logs.select("event_id", F.concat(F.lit("user_"), "user_id").alias("userID"),
                        event_time_text(F.col("hour")).alias("eventTime"), "hour", "event_type")
-    browse = windows.with_event_time(logs.where("event_type = 'view'").drop("event_type"), "hour", "0 seconds")
-    click = windows.with_event_time(logs.where("event_type = 'click'").drop("event_type"), "hour", "0 seconds")
-    joined = joins.window_join(browse, click, how, "hour", WIDTH, KEYS)
-    return _files(spark, joined.select(
-        "left_event_id", "right_event_id", F.coalesce("left_userID", "right_userID").alias("user"),
-        F.coalesce("left_eventTime", "right_eventTime").alias("event_time")))
+    return [ending.timed(logs.where(F.col("event_type") == side).drop("event_type"), "hour", "0 seconds")
+            for side in ("view", "click")]
 
 
-def _stream_join_oracle(how: str) -> str:
-    """Matches, and rows without one whose window both watermarks have passed."""
-    return _SIDES + f"""
-        SELECT b.event_id AS left_event_id, c.event_id AS right_event_id,
-               'user_' || coalesce(b.user_id, c.user_id) AS "user", coalesce(b.event_time, c.event_time) AS event_time
-        FROM browse b {how} JOIN click c ON b.user_id = c.user_id AND b.event_time = c.event_time
-        WHERE (b.event_id IS NOT NULL AND c.event_id IS NOT NULL)
-           OR coalesce(b.hour, c.hour) + INTERVAL 10 SECOND
-              <= least((SELECT max(hour) FROM browse), (SELECT max(hour) FROM click))
-    """
+def _stream_join(spark, sf_dir, how):
+    ending = _ending(spark)
+    joined = joins.window_join(*_stream_sides(spark, sf_dir, ending), how, "hour", WIDTH, KEYS)
+    return _files(spark, joined.select(
+        "left_event_id", "right_event_id", F.coalesce("left_userID", "right_userID").alias("user"),
+        F.coalesce("left_eventTime", "right_eventTime").alias("event_time")), ending)
 
 
-@query(_stream_join_oracle("INNER"))
+@query(join_oracle("INNER"))
 def stream_join_inner(spark, sf_dir):
     return _stream_join(spark, sf_dir, "inner")
 
 
-@query(_stream_join_oracle("LEFT"))
+@query(join_oracle("LEFT"))
 def stream_join_left(spark, sf_dir):
     return _stream_join(spark, sf_dir, "left")
 
 
-@query(_stream_join_oracle("RIGHT"))
+@query(join_oracle("RIGHT"))
 def stream_join_right(spark, sf_dir):
     return _stream_join(spark, sf_dir, "right")
 
 
+@query(SIDES + """
+    SELECT 'user_' || user_id AS "user", event_time, event_time AS window_start,
+           strftime(hour + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
+           CASE WHEN event_type = 'view' THEN 'left' ELSE 'right' END AS side, event_id,
+           count(*) FILTER (event_type = 'view') OVER (PARTITION BY user_id, hour) AS n_left,
+           count(*) FILTER (event_type = 'click') OVER (PARTITION BY user_id, hour) AS n_right
+    FROM logs WHERE event_type IN ('view', 'click')
+""")
+def stream_cogroup(spark, sf_dir):
+    """Groups delivered once their windows have closed."""
+    ending = _ending(spark)
+    members = joins.cogroup_rows(*_stream_sides(spark, sf_dir, ending), "hour", WIDTH, KEYS, F.col("event_id"), F.col("event_id"))
+    groups = _files(spark, cogroups.delivered_groups(members, KEYS), ending)
+    return groups.select(
+        F.col("userID").alias("user"), F.col("eventTime").alias("event_time"),
+        event_time_text(F.col("window_start")).alias("window_start"), event_time_text(F.col("window_end")).alias("window_end"),
+        "side", F.col("payload").alias("event_id"), "n_left", "n_right")
+
+
 def _carried(spark, sf_dir, batches, keys):
     """Micro-batches through the sliced operators: a hot key is spread over tasks."""
     place = _place(spark)
