@@ -229,3 +229,28 @@ def test_changes(spark):
     frame = ordered(spark, [("a",), ("b",), ("a",), ("a",)], "key string")
     assert rows(changelog.count_changes(frame, ["key"], ["i"])) == sorted([
         ("a", True, 1), ("a", False, 1), ("a", True, 2), ("a", False, 2), ("a", True, 3), ("b", True, 1)], key=repr)
+
+
+def test_default_slices_of_a_large_key(spark, skewed, monkeypatch):
+    """Cuts come from one row in ``CANDIDATE``; without any, the table is one slice."""
+    monkeypatch.setattr(slices, "CANDIDATE", 20)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        cut = slices.slice_rows(skewed, ["key"], ["at", "id"])
+        largest = cut.rows.groupBy("key", slices.SLICE).count().agg(F.max("count")).first()[0]
+        assert largest < 15_000 / 8
+        skewed.createOrReplaceTempView("skewed")
+        got = running.running_count(skewed, ["key"], ["at", "id"]).select("id", "n")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    wanted = spark.sql("select id, row_number() over (partition by key order by at, id) n from skewed")
+    assert got.exceptAll(wanted).count() == 0 and got.count() == 30_000
+    monkeypatch.setattr(slices, "CANDIDATE", 10**9)
+    one = running.running_count(skewed, ["key"], ["at", "id"]).select("id", "n")
+    assert one.exceptAll(wanted).count() == 0
+
+
+def test_rows_with_columns_that_have_no_hash(spark):
+    rows = spark.sql("select id, id % 3 as k, map('a', id) as m, parse_json('{}') as v from range(50)")
+    got = running.running_count(rows, ["k"], ["id"], slices=7).orderBy("id").select("n", "m").collect()
+    assert [r["n"] for r in got] == [i // 3 + 1 for i in range(50)] and got[9]["m"] == {"a": 9}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tests.conftest import SMALL
-from tidewater.operators import parsing
+from tidewater.operators import parsing, slices
 from tidewater.plans import catalogue
 from tidewater.sinks import documents
 
@@ -83,3 +83,26 @@ def test_schemaless_text_is_parsed_once(spark):
     for frame in (parsed.kept, parsed.rejected, sent):
         assert str(frame._jdf.queryExecution().optimizedPlan().toString()).count("VariantExpressionEvalUtils") == 1
     assert [r["source"] for r in sent.collect()] == ['{"a":1,"eventType":"x"}']
+
+
+def finished_stages(spark):
+    store, sums = spark.sparkContext._jsc.sc().statusStore(), {}
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None).iterator()
+    while stages.hasNext():
+        s = stages.next()
+        if str(s.status()) == "COMPLETE":
+            sums[s.stageId()] = (s.inputRecords(), s.shuffleWriteRecords())
+    return sums
+
+
+@pytest.mark.parametrize("name", ["running_count_by_user", "running_sum_by_user", "behavior_running_count",
+                                  "behavior_count_ttl", "buy_running_count", "retract_running_count"])
+def test_row_order_reads_twice_and_shuffles_once(spark, monkeypatch, name):
+    monkeypatch.setattr(slices, "CANDIDATE", 16)
+    rows = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    before = set(finished_stages(spark))
+    driver.queries()[name](spark, SMALL).write.format("noop").mode("overwrite").save()
+    found = [s for stage, s in finished_stages(spark).items() if stage not in before]
+    assert sum(read for read, _ in found) == 2 * rows
+    # The rows, a sixteenth of them as candidates, and what slices and cuts add up to.
+    assert sum(written for _, written in found) < 1.4 * rows

@@ -5,10 +5,16 @@ task, so a key with a third of the rows stops the job. Here each key's rows are
 into consecutive slices, the window runs per ``(key, slice)``, and what a slice needs
 from the slices before it comes from a small table of per-slice aggregates.
 
-The cuts are rows of the table itself: those whose key and order hash to zero modulo
-``rows / slices``. They depend on the data only, so a task that is run again places
-its rows in the same slices, and about ``slices`` distinct cuts exist however many
-rows or keys there are. That bounds both tables that are broadcast.
+The cuts are rows of the table itself: of the rows whose key and order hash to zero
+modulo ``CANDIDATE``, as many as make about ``slices`` slices, again by a hash. They
+depend on the data only, so a task that is run again places its rows in the same slices,
+and there are about ``slices`` of them however many rows or keys there are. That bounds
+the tables that are broadcast.
+
+The input is read twice: for the candidates, of which only key and order columns are
+needed, and for the one exchange that deals the rows out by key and slice. Window and
+slice aggregates both work on what that exchange has written. Give only columns that the
+result keeps: if later columns go unused, the plan may read the input once more.
 
 The order columns together must be unique per key, as in any running calculation.
 """
@@ -19,11 +25,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "_slice"
-IS_CUT = "_is_cut"
 
 SLICES_PER_SHUFFLE_PARTITION = 4
+#: One row in so many may be a cut; fewer rows than that need no slices.
+CANDIDATE = 1024
 
 
 def default_slices(df: DataFrame) -> int:
@@ -31,15 +39,23 @@ def default_slices(df: DataFrame) -> int:
     return SLICES_PER_SHUFFLE_PARTITION * partitions
 
 
+def _kept(df: DataFrame) -> Column:
+    """Something of every column, so that an aggregate reads the same exchange as the rows themselves."""
+    hashable = (T.AtomicType, T.NullType)
+    plain = [F.col(f.name) if isinstance(f.dataType, hashable) and not isinstance(f.dataType, T.VariantType)
+             else F.col(f.name).isNull() for f in df.schema.fields]
+    return F.first(F.xxhash64(*plain))
+
+
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with their slice number; ``window`` covers one slice of one key in order.
+    """Rows dealt out by key and slice; ``window`` covers one slice of one key in order.
 
-    ``basis`` holds the same rows, sliced alike but cheaper to compute than ``rows``.
+    ``cut_keys`` are the keys of more than one slice.
     """
 
     rows: DataFrame
-    basis: DataFrame
+    cut_keys: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
 
@@ -56,27 +72,31 @@ class Sliced:
         rows = self.rows
         for name, column in columns.items():
             rows = rows.withColumn(name, column)
-        return Sliced(rows, rows, self.keys, self.order)
+        return Sliced(rows, self.cut_keys, self.keys, self.order)
 
     def carry(self, **merges: tuple[Column, str]) -> Sliced:
         """Add columns holding an aggregate over all earlier slices of the key.
 
         Each merge is ``(per-slice aggregate, combine)`` with combine ``sum`` or ``max``.
         A first slice gets null. Only keys that were cut take part, so the table has at
-        most one row per cut.
+        most one row per cut. Rows of a slice are in one task, so nothing is shuffled for it.
         """
         parts = [agg.alias(name) for name, (agg, _) in merges.items()]
-        per_slice = self.basis.where(IS_CUT).groupBy(*self.keys, SLICE).agg(*parts)
+        per_slice = self.rows.groupBy(*self.keys, SLICE).agg(*parts, _kept(self.rows).alias("_kept"))
+        if self.keys:
+            same = [per_slice[k].eqNullSafe(F.col(f"_key_{k}")) for k in self.keys]
+            named = self.cut_keys.withColumnsRenamed({k: f"_key_{k}" for k in self.keys})
+            per_slice = per_slice.join(F.broadcast(named), same)  # not a semi join: that would be moved below the exchange
         earlier = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         combine = {"sum": F.sum, "max": F.max}
         before = per_slice.select(
-            *self.keys, SLICE, *[combine[how](name).over(earlier).alias(name) for name, (_, how) in merges.items()]
-        ).where(F.col(SLICE) > 0)
+            *self.keys, SLICE, "_kept", *[combine[how](name).over(earlier).alias(name) for name, (_, how) in merges.items()]
+        ).where((F.col(SLICE) > 0) & F.col("_kept").isNotNull()).drop("_kept")
         rows = _attach(self.rows, before, [*self.keys, SLICE])
-        return Sliced(rows, self.basis, self.keys, self.order)
+        return Sliced(rows, self.cut_keys, self.keys, self.order)
 
     def result(self, *drop: str) -> DataFrame:
-        return self.rows.drop(SLICE, IS_CUT, *drop)
+        return self.rows.drop(SLICE, *drop)
 
 
 def _cuts_upto(cuts: Column, position: Column) -> Column:
@@ -122,25 +142,25 @@ def _place(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column) ->
         *df.columns, "_width", (_cuts_upto(F.col("_heads"), position) - 1).alias("_page"))
     found = _attach(found, pages, [*keys, "_page"])
     number = F.col("_page") * F.col("_width") + _cuts_upto(F.col("_cuts"), position)
-    return found.select(*df.columns, F.when(F.col("_page") >= 0, number).otherwise(F.lit(0)).alias(SLICE),
-                        F.col("_width").isNotNull().alias(IS_CUT))
+    return found.select(*df.columns, F.when(F.col("_page") >= 0, number).otherwise(F.lit(0)).alias(SLICE))
 
 
 def slice_rows(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None,
                same_rows: DataFrame | None = None) -> Sliced:
     """Cut the rows of every key (or of the whole table when ``keys`` is empty).
 
-    The rows are read for their number, for the cuts and for the result. When ``df`` is
-    costly, ``same_rows`` may name a frame with the same rows to read for the first two.
+    The rows are read for the cuts and for the result. When ``df`` is costly, ``same_rows`` may name a frame with the same
+    rows to read for the first. With ``slices`` given, every row may be a cut, also of small tables.
     """
-    wanted = slices or default_slices(df)
-    basis = df if same_rows is None else same_rows
-    rows = basis.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    every = F.ceil(rows / F.lit(wanted)).cast("bigint")
-    chosen = basis.where(F.pmod(F.xxhash64(*keys, *order), every) == 0)
-    position = F.struct(*order)
-    sorted_cuts = F.sort_array(F.collect_set(position)).alias("_cuts")
-    cuts = chosen.groupBy(*keys).agg(sorted_cuts).where(F.size("_cuts") > 0)
-    placed = _place(df, cuts, keys, position)
-    placed_basis = placed if same_rows is None else _place(same_rows, cuts, keys, position)
-    return Sliced(placed, placed_basis, tuple(keys), tuple(order))
+    wanted, rate = slices or default_slices(df), CANDIDATE if slices is None else 1
+    place, position = list(dict.fromkeys([*keys, *order])), F.struct(*order)
+    basis = (df if same_rows is None else same_rows).select(*place)
+    # Counted and chosen from one exchange: conditions on the count of equal rows are not moved below it.
+    candidates = basis.where(F.pmod(F.xxhash64(*place), F.lit(rate)) == 0).groupBy(*place).agg(
+        F.count(F.lit(1)).alias("_equal"))
+    there = F.col("_equal") > 0
+    every = F.ceil(candidates.agg(F.greatest(F.count_if(there), F.lit(1))).scalar() / F.lit(wanted)).cast("bigint")
+    chosen = candidates.where(F.when(there, F.pmod(F.xxhash64(F.lit("cut"), *place), every)) == 0)
+    cuts = chosen.groupBy(*keys).agg(F.sort_array(F.collect_set(position)).alias("_cuts")).where(F.size("_cuts") > 0)
+    placed = _place(df, cuts, keys, position).repartition(*keys, SLICE)
+    return Sliced(placed, cuts.select(*keys), tuple(keys), tuple(order))
