@@ -18,6 +18,7 @@ from tidewater.plans.running_queries import _HOURLY
 from tidewater.plans.window_queries import pv_oracle
 from tidewater.session import shared_dir, use_rocksdb
 from tidewater.sinks import tables as sinks
+from tidewater.sinks import two_phase
 from tidewater.sources.rows import watch_table
 from tidewater.streaming import carried, cogroups, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
@@ -245,3 +246,12 @@ def stream_split_select(spark, sf_dir):
     tagged = routing.tag(rows, {"clicks": F.col("event_type") == "click", "buys": F.col("event_type") == "purchase"})
     routed = tagged.select("event_id", "user_id", "event_type", F.explode(routing.OUTPUTS).alias("output"))
     return _files(spark, routed, partition_by=["output"]).where("output = 'clicks'").drop("output")
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_type = 'click'")
+def stream_delivered_once(spark, sf_dir):
+    """Staged by tasks, committed by batch."""
+    place = _place(spark)
+    clicks = _events(spark, sf_dir).where("event_type = 'click'").select("event_id", "user_id", "event_type")
+    _run(spark, lambda: two_phase.deliver(clicks, f"{place}/out", f"{place}/checkpoint"))
+    return two_phase.delivered(spark, f"{place}/out", clicks.schema)
