@@ -7,7 +7,7 @@ seconds would hardly ever meet.
 from pyspark.sql import functions as F
 
 from tidewater.functions.times import event_time_text
-from tidewater.operators import joins
+from tidewater.operators import history, joins
 from tidewater.plans.catalogue import query
 from tidewater.plans.inputs import numbered_events, table
 
@@ -124,3 +124,24 @@ def enrich_broadcast(spark, sf_dir):
     found = joins.enrich(events, people, "user_id")
     return found.select("event_id", "user_id", event_time_text(F.col("ts")).alias("event_time"), "event_type",
                         F.col("k").alias("product_id"), "user_name", "user_age")
+
+
+@query("""
+    WITH change AS (SELECT date_trunc('second', min(ts) + (max(ts) - min(ts)) / 2) AS at FROM events)
+    SELECT e.event_id, e.user_id * 11 AS user_id,
+           CASE WHEN e.ts >= change.at AND c_custkey % 5 = 0 THEN c.c_name || ' (moved)' ELSE c.c_name END AS user_name
+    FROM events e JOIN customer c ON c.c_custkey = e.user_id * 11, change
+    WHERE (e.ts < change.at AND c_custkey % 4 <> 1) OR (e.ts >= change.at AND c_custkey % 3 <> 0)
+""")
+def enrich_as_of(spark, sf_dir):
+    """Two reads of the user table: in between some users are added, some deleted and some renamed."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("user_id") * 11).alias("user_id"))
+    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    change = bounds.select(F.date_trunc("second", F.col("a") + (F.col("b") - F.col("a")) / 2)).scalar()
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
+    moved = F.when(F.col("user_id") % 5 == 0, F.concat("user_name", F.lit(" (moved)"))).otherwise(F.col("user_name"))
+    first = users.where("user_id % 4 <> 1").withColumn(history.FROM, F.lit("1970-01-01 00:00:00").cast("timestamp"))
+    second = users.where("user_id % 3 <> 0").withColumn("user_name", moved).withColumn(history.FROM, change.cast("timestamp"))
+    past = history.intervals(first.union(second), ["user_id"])
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return history.enrich_as_of(timed, past, ["user_id"], "ts").drop("ts")
