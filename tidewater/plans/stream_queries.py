@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.times import event_time_text
 from tidewater.operators import joins, latest, routing, windows
-from tidewater.plans.catalogue import query
+from tidewater.plans.catalogue import QUERIES, query
 from tidewater.plans.inputs import ORDER, table
 from tidewater.plans.join_queries import KEYS, SIDES, WIDTH, join_oracle
 from tidewater.plans.running_queries import _HOURLY
@@ -20,7 +20,7 @@ from tidewater.session import shared_dir, use_rocksdb
 from tidewater.sinks import tables as sinks
 from tidewater.sinks import two_phase
 from tidewater.sources.rows import watch_table
-from tidewater.streaming import carried, cogroups, processors
+from tidewater.streaming import carried, cogroups, expiry, processors
 from tidewater.streaming.dimension import Snapshot, enrich_batches
 from tidewater.streaming.ending import Ending
 from tidewater.streaming.queries import finish, state_partitions, to_batches, to_files
@@ -255,3 +255,12 @@ def stream_delivered_once(spark, sf_dir):
     clicks = _events(spark, sf_dir).where("event_type = 'click'").select("event_id", "user_id", "event_type")
     _run(spark, lambda: two_phase.deliver(clicks, f"{place}/out", f"{place}/checkpoint"))
     return two_phase.delivered(spark, f"{place}/out", clicks.schema)
+
+
+@query(QUERIES["behavior_count_ttl"].oracle)
+def stream_behavior_count_ttl(spark, sf_dir):
+    """Counts in event order that expire by timers."""
+    ending = _ending(spark)
+    timed = ending.timed(_events(spark, sf_dir), "ts", DELAY)
+    counted = expiry.count_with_expiry(timed, ["user_id", "event_type"], "ts", "event_id", 24 * 3600)
+    return _files(spark, counted, ending).select("event_id", "user_id", "event_type", "n")
