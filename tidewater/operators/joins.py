@@ -4,7 +4,8 @@ Two rows belong together when they carry the same user and the same event time,
 they also fall in the same window; the window only bounds what a stream remembers.
 
 No hint forces a strategy on the log joins: the sides have no size bound. Adaptive
-execution splits a shuffle partition that one key has made too large.
+execution splits a shuffle partition that one key has made too large. A stream has no
+such help, as its partitions are fixed: there hot keys are salted.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tidewater.functions.times import parse_event_time
 
 WINDOW = "window"
 LEFT, RIGHT = "left_", "right_"
+SALT = "salt_of_join"
 NULL_TEXT = "null"
 
 
@@ -35,22 +37,74 @@ def _side(df: DataFrame, prefix: str, time: str, width: str, keys: Sequence[str]
                            *[F.col(c).alias(prefix + c) for c in df.columns if c != time])
 
 
+def _is_hot(prefix: str, keys: Sequence[str], hot: Sequence[tuple] | None) -> Column:
+    if hot is None:
+        return F.lit(True)
+    if any(len(values) != len(keys) for values in hot):
+        raise ValueError(f"a hot key has a value for each of {list(keys)}")
+    found = F.lit(False)
+    for values in hot:
+        same = F.lit(True)
+        for key, value in zip(keys, values, strict=True):
+            same = same & F.col(prefix + key).eqNullSafe(F.lit(value))
+        found = found | same
+    return found
+
+
+def _salted(ours: DataFrame, theirs: DataFrame, salted: str, salts: int, keys: Sequence[str],
+            hot: Sequence[tuple] | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: a row of the salted side has one, by its hash; the other side has a copy for each."""
+    def dealt(df: DataFrame, prefix: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+        return df.withColumn(prefix + SALT, F.when(_is_hot(prefix, keys, hot), own).otherwise(F.lit(0)))
+
+    def copied(df: DataFrame, prefix: str) -> DataFrame:
+        each = F.when(_is_hot(prefix, keys, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        return df.withColumn(prefix + SALT, F.explode(each))
+
+    if salted == "left":
+        return dealt(ours, LEFT), copied(theirs, RIGHT)
+    return copied(ours, LEFT), dealt(theirs, RIGHT)
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[tuple]:
+    """The keys that more than ``share`` of all ``rows`` have; at most ``1 / share``, whatever the size of the table."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return [tuple(r)[:-1] for r in counts.join(rows.agg(F.count(F.lit(1)).alias("all")), F.col("n") > F.col("all") * share)
+            .select(*keys, "n").collect()]
+
+
 def window_join(left: DataFrame, right: DataFrame, how: str, time: str, width: str, keys: Sequence[str],
-                null_keys: str = "reject") -> DataFrame:
+                null_keys: str = "reject", salts: int = 1, salted: str | None = None,
+                hot: Sequence[tuple] | None = None) -> DataFrame:
     """``inner``, ``left`` or ``right`` join per window and keys.
 
     Columns come back prefixed ``left_`` and ``right_``, without ``time``. On streams both inputs need a
     watermark on ``time``; unmatched rows appear once their window has closed. Rows with
     a null key match nothing and are left out, or match each other with ``as_text``.
+
+    With ``salts`` above 1, the rows of a key on the ``salted`` side (``left`` or ``right``) are dealt to so many parts and
+    the key's rows on the other side copied to each, so the state and work of a hot key spread over tasks. The result
+    is the same. In an outer join the side that is kept whole is the salted one: its rows are there once, so
+    one without a match comes out once. ``hot`` names the keys to salt, as ``hot_keys`` finds them; without it all are, and the
+    other side is copied whole.
     """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join {how!r}")
     ours = _side(left, LEFT, time, width, keys, null_keys)
     theirs = _side(right, RIGHT, time, width, keys, null_keys)
-    same = F.col(LEFT + WINDOW) == F.col(RIGHT + WINDOW)
+    same, added = F.col(LEFT + WINDOW) == F.col(RIGHT + WINDOW), [WINDOW]
     for key in keys:
         same = same & (F.col(LEFT + key) == F.col(RIGHT + key))
-    return ours.join(theirs, same, how).drop(LEFT + WINDOW, RIGHT + WINDOW)
+    if salts > 1:
+        whole = how if how != "inner" else salted or "left"
+        if salted not in (None, whole):
+            raise ValueError(f"a {how} join salts its {how} side")
+        ours, theirs = _salted(ours, theirs, whole, salts, keys, hot)
+        same, added = same & (F.col(LEFT + SALT) == F.col(RIGHT + SALT)), [WINDOW, SALT]
+    return ours.join(theirs, same, how).drop(*[side + c for side in (LEFT, RIGHT) for c in added])
 
 
 def render_join(joined: DataFrame, how: str) -> DataFrame:

@@ -3,6 +3,10 @@
 Rows arrive in Arrow chunks and are handled chunk by chunk, so a key's rows are never
 held together; the state of a key is one small value or one map. As in any such
 stream, the order is the order of arrival.
+
+A query's number of state stores is fixed for the life of its checkpoint. ``initial`` is what
+another query has kept, as ``rescaling.kept_state`` reads it: a query begins with it under a checkpoint of
+its own, in as many stores as it likes.
 """
 
 from __future__ import annotations
@@ -43,6 +47,9 @@ class RunningTotal(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getValueState("total", "total bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((int(initialState["total"].iloc[0]),))
+
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         (total,) = _stored(self.state, (0,))
         for chunk in rows:
@@ -61,6 +68,9 @@ class PairMean(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getValueState("open_pair", "rows bigint, total bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((int(initialState["rows"].iloc[0]), int(initialState["total"].iloc[0])))
+
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         count, total = _stored(self.state, (0, 0))
         for chunk in rows:
@@ -91,6 +101,10 @@ class CountPerItem(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getMapState("counts", "item string", "n bigint", self.ttl_millis)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for item, n in zip(initialState["item"], initialState["n"], strict=True):
+            self.state.updateValue((None if pd.isna(item) else item,), (int(n),))
+
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         counts: dict[str, int] = {}
         for chunk in rows:
@@ -119,6 +133,9 @@ class CountChanges(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getValueState("n", "n bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((int(initialState["n"].iloc[0]),))
+
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
         (n,) = _stored(self.state, (0,))
         for chunk in rows:
@@ -132,17 +149,18 @@ class CountChanges(StatefulProcessor):
 
 
 def _apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: T.StructType,
-           time_mode: str = "none") -> DataFrame:
+           time_mode: str = "none", initial: DataFrame | None = None) -> DataFrame:
     unfit = [c for c in df.columns if c.startswith("_")]
     if unfit:
         raise ValueError(f"rename columns that start with an underscore: {unfit}")
     use_rocksdb(df.sparkSession)
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time_mode)
+        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time_mode,
+        initialState=None if initial is None else initial.groupBy(*keys))
 
 
 def _pass_through(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, name: str, computed: str | None = None,
-                  time_mode: str = "none") -> DataFrame:
+                  time_mode: str = "none", initial: DataFrame | None = None) -> DataFrame:
     """Rows go through a processor and come back with ``name`` added.
 
     pandas turns whole numbers with nulls among them into floats, so those that are only
@@ -151,34 +169,43 @@ def _pass_through(df: DataFrame, keys: Sequence[str], processor: StatefulProcess
     whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)} - {*keys, computed}
     sent = df.select(*[F.col(c).cast("string").alias(c) if c in whole else F.col(c) for c in df.columns])
     schema = T.StructType([*sent.schema.fields, T.StructField(name, T.LongType())])
-    back = _apply(sent, keys, processor, schema, time_mode)
+    back = _apply(sent, keys, processor, schema, time_mode, _as_sent(initial, sent, keys))
     kept = [F.col(c).cast("bigint").alias(c) if c in whole else F.col(c) for c in df.columns if c != computed]
     return back.select(*kept, name)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], value: str, name: str = "total") -> DataFrame:
+def _as_sent(initial: DataFrame | None, sent: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Kept state with keys of the types the rows have."""
+    if initial is None:
+        return None
+    return initial.select(*[F.col(c).cast(sent.schema[c].dataType) if c in keys else F.col(c) for c in initial.columns])
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], value: str, name: str = "total",
+                initial: DataFrame | None = None) -> DataFrame:
     amounts = df.withColumn(AMOUNT, F.coalesce(F.col(value).cast("bigint"), F.lit(0)))
-    return _pass_through(amounts, keys, RunningTotal(AMOUNT, name), name, computed=AMOUNT)
+    return _pass_through(amounts, keys, RunningTotal(AMOUNT, name), name, computed=AMOUNT, initial=initial)
 
 
-def pair_average(df: DataFrame, key: str, value: str, padded: bool = False) -> DataFrame:
+def pair_average(df: DataFrame, key: str, value: str, padded: bool = False, initial: DataFrame | None = None) -> DataFrame:
     """``key, average`` of every two rows of a whole-number key."""
     schema = T.StructType([T.StructField(key, T.LongType()), T.StructField("average", T.LongType())])
     rows = df.select(F.col(key).cast("bigint"), F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias(value))
-    return _apply(rows, [key], PairMean(key, value, padded), schema)
+    return _apply(rows, [key], PairMean(key, value, padded), schema, initial=_as_sent(initial, rows, [key]))
 
 
 def count_per_item(df: DataFrame, keys: Sequence[str], item: str, name: str = "n",
-                   ttl_millis: int | None = None) -> DataFrame:
+                   ttl_millis: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """With ``ttl_millis`` the query runs on processing time: give it an interval trigger."""
     mode = "none" if ttl_millis is None else "processingTime"
-    return _pass_through(df, keys, CountPerItem(item, name, ttl_millis), name, time_mode=mode)
+    return _pass_through(df, keys, CountPerItem(item, name, ttl_millis), name, time_mode=mode, initial=initial)
 
 
-def count_changes(df: DataFrame, key: str) -> DataFrame:
+def count_changes(df: DataFrame, key: str, initial: DataFrame | None = None) -> DataFrame:
     schema = T.StructType([
         df.schema[key], T.StructField("is_add", T.BooleanType()), T.StructField("n", T.LongType())])
-    return _apply(df.select(key), [key], CountChanges(key), schema)
+    rows = df.select(key)
+    return _apply(rows, [key], CountChanges(key), schema, initial=_as_sent(initial, rows, [key]))
 
 
 def totals(df: DataFrame, keys: Sequence[str], value: str, name: str = "total") -> DataFrame:
