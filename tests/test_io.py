@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewater import __main__ as command
 from tidewater import session
+from tidewater.plans import jobs
 from tidewater.sinks import documents, messages
 from tidewater.sinks import tables as sinks
 from tidewater.sources import jdbc
@@ -130,3 +131,29 @@ def test_command_line(spark, tmp_path):
     for job in ("page_views", "user_counts", "join_logs", "enrich"):
         with pytest.raises(Exception, match="kafka"):
             command.start(spark, job, args, properties)
+
+
+@pytest.mark.parametrize("job", ["count_words", "count_words_sql"])
+def test_batch_jobs(spark, tmp_path, job):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("hello,world\nhello,,\n")
+    command.run_once(spark, job, {"folder": f"{tmp_path}/in", "out": f"{tmp_path}/out"})
+    assert rows(spark.read.schema("word string, n bigint").csv(f"{tmp_path}/out")) == [("hello", 2), ("world", 1)]
+
+
+def test_sliced_user_counts(spark, tmp_path):
+    """Every line is counted or rejected, a repeated batch changes nothing, and a hot user is in several slices."""
+    def lines(first, *users):
+        text = [f'{{"userID": "{u}", "eventTime": "2024-01-01 10:00:00", "eventType": "x", "productID": 1}}' if u else "broken"
+                for u in users]
+        return spark.createDataFrame([(v, first + i) for i, v in enumerate(text)], "value string, offset bigint")
+
+    handle = jobs.user_counts_batches(f"{tmp_path}/totals", ["offset"], sinks.append_batch(f"{tmp_path}/out"),
+                                      sinks.append_batch(f"{tmp_path}/rejected"), slices=4)
+    batches = [lines(0, *["hot"] * 40, None, "cold"), lines(42, "hot", None, "cold", "new")]
+    for number, part in [(0, batches[0]), (1, batches[1]), (1, batches[1])]:
+        handle(part, number)
+    expected = [f"hot : {i}" for i in range(1, 42)] + ["cold : 1", "cold : 2", "new : 1"]
+    assert sorted(r["value"] for r in sinks.read_batches(spark, f"{tmp_path}/out").collect()) == sorted(expected)
+    lost = sinks.read_batches(spark, f"{tmp_path}/rejected")
+    assert rows(lost.select("value", "offset")) == [("broken", 40), ("broken", 43)]

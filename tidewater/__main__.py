@@ -3,13 +3,15 @@
 Runs one of the streaming jobs on message topics, watched folders or a text socket:
 
 ``page_views``    topics matching ``--topics``, results to topic ``--to`` and the console
-``user_counts``   topic ``topic_name`` of the properties, results to topic ``--to``
+``user_counts``   topic ``topic_name`` of the properties, results to topic ``--to``; sums and unreadable lines in ``--out``
 ``join_logs``     topics ``--browse`` and ``--click``, ``--how`` inner, left or right, to files in ``--out``
 ``group_logs``    the same topics, groups of a window and user when the window has closed, to files in ``--out``
 ``enrich``        topic ``topic_name`` and the user table of the properties, to files in ``--out``
 ``host_metrics``  lines of files added to ``--folder``, as messages to topic ``--to``
 ``word_count``    lines of a socket (``--host``, ``--port``), counts to files in ``--out``
 ``window_peaks`` / ``window_counts``  ``event,pv`` lines of a socket, to a latest-value table in ``--out``
+``count_words``   words of the lines there are in ``--folder``, counted once to files in ``--out``
+``count_words_sql``  the same by SQL
 
 Jobs that write files or send messages also print the first rows of each micro-batch.
 """
@@ -27,7 +29,7 @@ from tidewater.sinks import messages as producers
 from tidewater.sinks.tables import LatestTable, append_batch
 from tidewater.sources import jdbc
 from tidewater.sources import messages as topics
-from tidewater.sources.rows import SOCKET_HOST, SOCKET_PORT, socket_lines, watch_lines
+from tidewater.sources.rows import SOCKET_HOST, SOCKET_PORT, socket_lines, text_lines, watch_lines
 from tidewater.streaming import queries
 from tidewater.streaming.dimension import Snapshot, enrich_batches
 
@@ -73,6 +75,16 @@ def show_and_write(path: str):
     return handle
 
 
+#: Jobs that read the files there are and end.
+BATCH_JOBS = {"count_words": jobs.word_count, "count_words_sql": jobs.word_count_sql}
+
+
+def run_once(spark: SparkSession, job: str, args: dict[str, str]) -> None:
+    counted = BATCH_JOBS[job](text_lines(spark, args["folder"]))
+    counted.write.csv(args["out"])
+    spark.read.schema(counted.schema).csv(args["out"]).show(truncate=False)
+
+
 def start(spark: SparkSession, job: str, args: dict[str, str], properties: dict[str, str]):
     """Start a job; the returned query runs until it is stopped."""
     place = {"checkpoint": args["checkpoint"], "every": args.get("interval", INTERVAL), "name": job}
@@ -86,8 +98,11 @@ def start(spark: SparkSession, job: str, args: dict[str, str], properties: dict[
         views = jobs.page_views(_topic(spark, properties, pattern=args["topics"]), width, delay)
         return queries.to_batches(views.selectExpr("line AS value"), _show_and_send(producer()), **place)
     if job == "user_counts":
-        lines = topics.message_values(spark, topics.options_from_properties(properties))
-        return producers.send_stream(jobs.user_counts(lines), producer(), **place)
+        lines, to = topics.message_rows(spark, topics.options_from_properties(properties)), producer()
+        handle = jobs.user_counts_batches(
+            f"{args['out']}/totals", topics.PLACE, lambda rows, _: producers.send_batch(rows, to),
+            append_batch(f"{args['out']}/rejected"))
+        return queries.to_batches(lines, handle, **place)
     if job == "join_logs":
         sides = [_topic(spark, properties, topic=args[side]) for side in ("browse", "click")]
         return queries.to_batches(jobs.join_logs(*sides, args.get("how", "inner")), show_and_write(args["out"]), **place)
@@ -117,6 +132,9 @@ def main(argv: list[str]) -> None:
         raise SystemExit(__doc__)
     args = read_arguments(argv[1:])
     spark = build_session(argv[0])
+    if argv[0] in BATCH_JOBS:
+        run_once(spark, argv[0], args)
+        return
     properties: dict[str, str] = {}
     if "application.properties" in args:
         whole = spark.read.text(args["application.properties"], wholetext=True)

@@ -24,7 +24,9 @@ SALT = "salt_of_join"
 NULL_TEXT = "null"
 
 
-def _side(df: DataFrame, prefix: str, time: str, width: str, keys: Sequence[str], null_keys: str) -> DataFrame:
+def _side(df: DataFrame, prefix: str, time: str, width: str, keys: Sequence[str], null_keys: str,
+          salt: Column | None = None) -> DataFrame:
+    """Rows of a side with prefixed columns, and with a ``salt`` as another."""
     if null_keys == "reject":
         for key in keys:
             df = df.where(F.col(key).isNotNull())
@@ -33,38 +35,33 @@ def _side(df: DataFrame, prefix: str, time: str, width: str, keys: Sequence[str]
     else:
         raise ValueError("null_keys must be 'reject' or 'as_text'")
     windowed = df.withColumn(WINDOW, F.window(F.col(time), width))
-    return windowed.select(F.col(WINDOW).alias(prefix + WINDOW),
+    return windowed.select(F.col(WINDOW).alias(prefix + WINDOW), *([] if salt is None else [salt.alias(prefix + SALT)]),
                            *[F.col(c).alias(prefix + c) for c in df.columns if c != time])
 
 
-def _is_hot(prefix: str, keys: Sequence[str], hot: Sequence[tuple] | None) -> Column:
+def _is_hot(keys: Sequence[str], hot: Column | Sequence[tuple] | None) -> Column:
     if hot is None:
         return F.lit(True)
+    if isinstance(hot, Column):
+        return F.coalesce(hot, F.lit(False))
     if any(len(values) != len(keys) for values in hot):
         raise ValueError(f"a hot key has a value for each of {list(keys)}")
     found = F.lit(False)
     for values in hot:
         same = F.lit(True)
         for key, value in zip(keys, values, strict=True):
-            same = same & F.col(prefix + key).eqNullSafe(F.lit(value))
+            same = same & F.col(key).eqNullSafe(F.lit(value))
         found = found | same
     return found
 
 
-def _salted(ours: DataFrame, theirs: DataFrame, salted: str, salts: int, keys: Sequence[str],
-            hot: Sequence[tuple] | None) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a salt: a row of the salted side has one, by its hash; the other side has a copy for each."""
-    def dealt(df: DataFrame, prefix: str) -> DataFrame:
+def _salt(df: DataFrame, dealt: bool, salts: int, keys: Sequence[str], hot: Column | Sequence[tuple] | None) -> Column:
+    """A row that is ``dealt`` has one salt, by its hash; any other a copy for each."""
+    if dealt:
         own = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-        return df.withColumn(prefix + SALT, F.when(_is_hot(prefix, keys, hot), own).otherwise(F.lit(0)))
-
-    def copied(df: DataFrame, prefix: str) -> DataFrame:
-        each = F.when(_is_hot(prefix, keys, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        return df.withColumn(prefix + SALT, F.explode(each))
-
-    if salted == "left":
-        return dealt(ours, LEFT), copied(theirs, RIGHT)
-    return copied(ours, LEFT), dealt(theirs, RIGHT)
+        return F.when(_is_hot(keys, hot), own).otherwise(F.lit(0))
+    each = F.sequence(F.lit(0), F.lit(salts - 1))
+    return F.explode(F.when(_is_hot(keys, hot), each).otherwise(F.array(F.lit(0))))
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[tuple]:
@@ -78,7 +75,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[
 
 def window_join(left: DataFrame, right: DataFrame, how: str, time: str, width: str, keys: Sequence[str],
                 null_keys: str = "reject", salts: int = 1, salted: str | None = None,
-                hot: Sequence[tuple] | None = None) -> DataFrame:
+                hot: Column | Sequence[tuple] | None = None) -> DataFrame:
     """``inner``, ``left`` or ``right`` join per window and keys.
 
     Columns come back prefixed ``left_`` and ``right_``, without ``time``. On streams both inputs need a
@@ -88,22 +85,23 @@ def window_join(left: DataFrame, right: DataFrame, how: str, time: str, width: s
     With ``salts`` above 1, the rows of a key on the ``salted`` side (``left`` or ``right``) are dealt to so many parts and
     the key's rows on the other side copied to each, so the state and work of a hot key spread over tasks. The result
     is the same. In an outer join the side that is kept whole is the salted one: its rows are there once, so
-    one without a match comes out once. ``hot`` names the keys to salt, as ``hot_keys`` finds them; without it all are, and the
-    other side is copied whole.
+    one without a match comes out once. ``hot`` names the keys to salt, as ``hot_keys`` finds them, or is a condition
+    on the keys; without it all are, and the other side is copied whole.
     """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join {how!r}")
-    ours = _side(left, LEFT, time, width, keys, null_keys)
-    theirs = _side(right, RIGHT, time, width, keys, null_keys)
-    same, added = F.col(LEFT + WINDOW) == F.col(RIGHT + WINDOW), [WINDOW]
-    for key in keys:
-        same = same & (F.col(LEFT + key) == F.col(RIGHT + key))
+    salt, added = {"left": None, "right": None}, [WINDOW]
     if salts > 1:
         whole = how if how != "inner" else salted or "left"
         if salted not in (None, whole):
             raise ValueError(f"a {how} join salts its {how} side")
-        ours, theirs = _salted(ours, theirs, whole, salts, keys, hot)
-        same, added = same & (F.col(LEFT + SALT) == F.col(RIGHT + SALT)), [WINDOW, SALT]
+        salt = {s: _salt(df, s == whole, salts, keys, hot) for s, df in (("left", left), ("right", right))}
+        added = [WINDOW, SALT]
+    ours = _side(left, LEFT, time, width, keys, null_keys, salt["left"])
+    theirs = _side(right, RIGHT, time, width, keys, null_keys, salt["right"])
+    same = F.lit(True)
+    for column in [*added, *keys]:
+        same = same & (F.col(LEFT + column) == F.col(RIGHT + column))
     return ours.join(theirs, same, how).drop(*[side + c for side in (LEFT, RIGHT) for c in added])
 
 

@@ -7,7 +7,7 @@ runs on files, sockets and message topics, in batch where it needs no state of a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from tidewater import schemas
 from tidewater.functions import display, json, text, times
 from tidewater.operators import joins, parsing, tables, windows
 from tidewater.sinks import documents, messages
-from tidewater.streaming import cogroups, processors
+from tidewater.streaming import carried, cogroups, processors
 
 # Window widths and the delay allowed to late rows.
 PV_WIDTH, PV_DELAY = "20 seconds", "3 seconds"
@@ -30,6 +30,12 @@ def word_count(lines: DataFrame) -> DataFrame:
     return tables.count_words(lines, text.split_on(F.col("value"), ","))
 
 
+def word_count_sql(lines: DataFrame) -> DataFrame:
+    """``word_count`` by SQL over a view of the words."""
+    words = tables.words(lines, text.split_on(F.col("value"), ",")).withColumn("frequency", F.lit(1))
+    return lines.sparkSession.sql("SELECT word, sum(frequency) AS frequency FROM {words} GROUP BY word", words=words)
+
+
 def window_word_count(lines: DataFrame, arrival: str | None = None) -> DataFrame:
     """Words per five seconds of arrival; ``arrival`` names a time column to use instead of the clock."""
     if arrival is None:
@@ -52,6 +58,25 @@ def user_counts(lines: DataFrame) -> DataFrame:
     return counted.select(F.concat_ws(" : ", "userID", "total").alias("value"))
 
 
+def user_counts_batches(state_path: str, order: Sequence[str], write: Callable[[DataFrame, int], None],
+                        rejected: Callable[[DataFrame, int], None], slices: int | None = None,
+                        ) -> Callable[[DataFrame, int], None]:
+    """``user_counts`` a micro-batch at a time, for lines that carry their ``order``: a hot user is cut into slices.
+
+    ``write`` gets the counts as ``value``; ``rejected`` the lines no event could be read from. Every line is in one of both.
+    """
+    counts = carried.running_count_batches(
+        state_path, ["userID"], order,
+        lambda rows, batch_id: write(rows.select(F.concat_ws(" : ", "userID", "n").alias("value")), batch_id), slices=slices)
+
+    def handle(lines: DataFrame, batch_id: int) -> None:
+        parsed = parsing.parse_event_json(lines, missing_int=0, keep=tuple(order))
+        counts(parsed.kept.select("userID", *order), batch_id)
+        rejected(parsed.rejected.withColumn("rejected_at", times.load_time()), batch_id)
+
+    return handle
+
+
 def page_views(lines: DataFrame, width: str = PV_WIDTH, delay: str = PV_DELAY) -> DataFrame:
     """Events per window and type. An unreadable product number does not stop an event from counting."""
     timed = joins.log_times(_events(lines, bad_int="null"))

@@ -1,5 +1,7 @@
 """Row-order queries: running counts and sums, pairs, expiry, changes, ranks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import changelog, latest, running
@@ -7,6 +9,8 @@ from tidewater.operators.tables import equal_to
 from tidewater.operators.windows import window_count_sum, window_max
 from tidewater.plans.catalogue import query
 from tidewater.plans.inputs import ORDER, numbered_events, table
+from tidewater.session import shared_dir
+from tidewater.sinks.lookups import LookupTable
 
 
 def _events(spark, sf_dir):
@@ -161,6 +165,20 @@ def state_lookup(spark, sf_dir):
     return found.select("event_type", "window_end", "max_value")
 
 
+@query("""
+    SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type
+    FROM events WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY 1
+""")
+def lookup_by_bucket(spark, sf_dir):
+    """Every user's newest event, written in batches; of the customers only, whose buckets alone are opened."""
+    events = numbered_events(spark, sf_dir).select("user_id", *ORDER, "event_type")
+    newest = LookupTable(spark, f"{shared_dir(spark)}/tidewater/{uuid.uuid4().hex}", ["user_id"], ORDER, buckets=16)
+    for number, part in enumerate(("event_type = 'view'", "event_type = 'click'", "event_type NOT IN ('view', 'click')")):
+        newest.write_batch(events.where(part), number)
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("user_id"))
+    return newest.look_up_rows(customers).select("user_id", *ORDER, "event_type")
+
+
 @query("SELECT true AS is_add, c_name AS name, c_nationkey AS age FROM customer")
 def retract_insert_only(spark, sf_dir):
     people = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("age"))

@@ -20,7 +20,7 @@ from tidewater.session import shared_dir, use_rocksdb
 from tidewater.sinks import tables as sinks
 from tidewater.sinks import two_phase
 from tidewater.sources.rows import watch_table
-from tidewater.streaming import carried, cogroups, expiry, processors
+from tidewater.streaming import carried, cogroups, expiry, processors, rescaling
 from tidewater.streaming.dimension import Snapshot, enrich_batches
 from tidewater.streaming.ending import Ending
 from tidewater.streaming.queries import finish, state_partitions, to_batches, to_files
@@ -150,6 +150,20 @@ def stream_cogroup(spark, sf_dir):
         "side", F.col("payload").alias("event_id"), "n_left", "n_right")
 
 
+@query(join_oracle("LEFT"))
+def stream_join_salted(spark, sf_dir):
+    """The users with more than a hundredth of all views are salted."""
+    ending = _ending(spark)
+    sides = _stream_sides(spark, sf_dir, ending)
+    views = table(spark, sf_dir, "events").where("event_type = 'view'")
+    users = joins.hot_keys(views.select(F.concat(F.lit("user_"), "user_id").alias("userID")), ["userID"])
+    hot = F.col("userID").isin([user for (user,) in users])
+    joined = joins.window_join(*sides, "left", "hour", WIDTH, KEYS, salts=8, hot=hot)
+    return _files(spark, joined.select(
+        "left_event_id", "right_event_id", F.coalesce("left_userID", "right_userID").alias("user"),
+        F.coalesce("left_eventTime", "right_eventTime").alias("event_time")), ending)
+
+
 def _carried(spark, sf_dir, batches, keys):
     """Micro-batches through the sliced operators: a hot key is spread over tasks."""
     place = _place(spark)
@@ -257,6 +271,24 @@ def stream_delivered_once(spark, sf_dir):
     return two_phase.delivered(spark, f"{place}/out", clicks.schema)
 
 
+@query("SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events")
+def stream_rescaled_count(spark, sf_dir):
+    """Counts of the events of one kind go on, with all others, in a query that has half as many stores."""
+    ones = _events(spark, sf_dir).select("user_id", "event_type", F.lit(1).alias("one"))
+    place, stores = _place(spark), int(spark.conf.get("spark.tidewater.stateStores", STATE_STORES))
+    views, others = (ones.where(c).drop("event_type") for c in ("event_type = 'view'", "event_type <> 'view'"))
+
+    def run(stream, number, folder, initial=None):
+        counted = processors.running_sum(stream, ["user_id"], "one", "n", initial).select("user_id", "n")
+        with state_partitions(spark, number):
+            finish(to_files(counted, f"{place}/{folder}/out", f"{place}/{folder}/checkpoint"))
+        return spark.read.schema(counted.schema).parquet(f"{place}/{folder}/out")
+
+    before = run(views, stores, "before")
+    kept = rescaling.kept_state(spark, f"{place}/before/checkpoint", "total")
+    return before.union(run(others, max(1, stores // 2), "after", kept))
+
+
 @query(QUERIES["behavior_count_ttl"].oracle)
 def stream_behavior_count_ttl(spark, sf_dir):
     """Counts in event order that expire by timers."""

@@ -213,3 +213,21 @@ def format_ratio(spark, sf_dir):
     hundredths = F.round(F.col("l_discount") * 100).cast("bigint")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", display.used_share(F.lit(100), 100 - hundredths).alias("used"))
+
+
+@query("""
+    WITH cents AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+    shares AS (SELECT o_orderkey, cents % 10000 AS q, cents % 64 * 10000 // 64 AS low, cents % 64 * 10000 % 64 AS rest FROM cents),
+    rounded AS (SELECT o_orderkey, q, low + CASE WHEN rest * 2 > 64 OR (rest * 2 = 64 AND low % 2 = 1) THEN 1 ELSE 0 END AS r
+                FROM shares)
+    SELECT o_orderkey,
+           (q // 100) || CASE WHEN q % 100 = 0 THEN '' ELSE '.' || rtrim(lpad((q % 100)::VARCHAR, 2, '0'), '0') END || '%' AS used,
+           (r // 100) || CASE WHEN r % 100 = 0 THEN '' ELSE '.' || rtrim(lpad((r % 100)::VARCHAR, 2, '0'), '0') END || '%' AS rounded
+    FROM rounded
+""")
+def format_ratio_decimals(spark, sf_dir):
+    """Shares in ten-thousandths, and in sixty-fourths, which have more decimals than are shown, ties among them."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", display.used_share(F.lit(10000), 10000 - cents % 10000).alias("used"),
+        display.used_share(F.lit(64), 64 - cents % 64).alias("rounded"))

@@ -38,3 +38,12 @@ def options_from_properties(properties: dict[str, str], topic_key: str = "topic_
 def message_values(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """``value``: message bodies as text."""
     return spark.readStream.format("kafka").options(**options).load().selectExpr("CAST(value AS STRING) AS value")
+
+
+#: Where a message is in its topic: an order that stays as it is when a micro-batch is repeated.
+PLACE = ("topic", "partition", "offset")
+
+
+def message_rows(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """``value`` and the message's place."""
+    return spark.readStream.format("kafka").options(**options).load().selectExpr("CAST(value AS STRING) AS value", *PLACE)
