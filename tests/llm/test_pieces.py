@@ -1,5 +1,7 @@
 """Encoding against a plain Viterbi over whole texts, decoding against the text and the library."""
 
+import random
+
 import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 
@@ -31,7 +33,7 @@ def test_texts(spark):
     table = {r["piece"]: (r["id"], r["score"]) for r in pc.piece_table(spark, PATH).collect()}
     assert not any("\n" in p or pc.SPACE in p.lstrip(pc.SPACE) for p in table)
     longest, lowest = max(map(len, table)), min(s for _, s in table.values())
-    docs = [(i, r["text"][:400]) for i, r in enumerate(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(12).collect())]
+    docs = [(i, r["text"]) for i, r in enumerate(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect())]
     docs += [(100, None), (101, ""), (102, " "), (103, "  two  spaces\n\nand lines \n"), (104, "\x00 漢字 🎉🎉 ÿ\tx"), (None, "null id"),
              (105, "a" * 300), (105, "a" * 300), (106, "\n")]
     df = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, unit string, block int")
@@ -41,3 +43,41 @@ def test_texts(spark):
     for _, ids, text in got:
         assert model.decode(ids) == text or not text
     assert pc.encode(df.limit(0), PATH).collect() == []
+
+
+def test_long_units(spark):
+    """Slices: units longer than a slice, with pieces over the cuts, and a whole text without a space."""
+    model = SentencePieceProcessor(model_file=PATH)
+    table = {r["piece"]: (r["id"], r["score"]) for r in pc.piece_table(spark, PATH).collect()}
+    longest, lowest = max(map(len, table)), min(s for _, s in table.values())
+    r = random.Random(3)
+    words = ["information", "the", "é", "漢", "ing", "a", "international", "zq"]
+    docs = [(n, "".join(r.choice(words) for _ in range(n // 4))[:n]) for n in (255, 256, 257, 511, 512, 513, 1500, 20_000)]
+    docs += [(-1, "a" * 3000), (-2, "x" * 255 + " " + "-" * 256), (-3, "".join(r.choice(words) for _ in range(30_000))[:100_000])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {row["doc_id"]: list(row["ids"]) for row in pc.encode(df, PATH).collect()}
+    for n, text in docs:
+        assert got[n] == brute_slices(text, model, table, longest, lowest), n
+
+
+def brute_slices(text, model, table, longest, lowest):
+    """``brute`` with back pointers, for long texts."""
+    t = pc.SPACE + text.replace(" ", pc.SPACE)
+    best = [(0.0, 0, [])] + [None] * len(t)
+    for end in range(1, len(t) + 1):
+        for low in range(max(0, end - longest), end):
+            part = t[low:end]
+            if part in table:
+                ids, score = [table[part][0]], table[part][1]
+            elif end - low == 1:
+                ids, score = [model.piece_to_id(f"<0x{b:02X}>") for b in part.encode()], lowest - pc.PENALTY
+            else:
+                continue
+            option = (best[low][0] + score, -low, ids)
+            if best[end] is None or option[:2] > best[end][:2]:
+                best[end] = option
+    at, out = len(t), []
+    while at:
+        out.append(best[at][2])
+        at = -best[at][1]
+    return [i for ids in reversed(out) for i in ids]

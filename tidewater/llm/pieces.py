@@ -2,8 +2,8 @@
 
 A space is ``▁`` and a text starts with one. No piece goes over the start of a run of ``▁`` or over a line end, so a text is
 encoded unit by unit, and each distinct unit once for the corpus: its substrings of at most the longest piece's length are
-joined with the piece table, the edges found are grouped by unit, and a fold over the ends of the edges keeps the best
-score and its last edge for each place (Viterbi). A character that is no piece is an edge with a score below all others
+joined with the piece table, the edges found are grouped by unit, and a fold over the edges in the order of their ends keeps
+the best score and its last edge for each place (Viterbi). A character that is no piece is an edge with a score below all others
 and becomes the pieces of its UTF-8 bytes. Of equal scores the one whose last piece is longer wins.
 
 The best path is the one with the greatest sum of the model's scores, whatever the model was trained for: for a model of
@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import saved
+from tidewater.llm.common import saved, wide_key
 
 SPACE = "▁"
 #: Below the lowest score by so much is the score of a character that is no piece.
 PENALTY = 10.0
 UNIT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 4_000_000
+#: Places of a unit that are worked on at once.
+SLICE = 256
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
@@ -47,37 +49,70 @@ def _byte_ids(path: str) -> list[int]:
     return [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def best_paths(units: DataFrame, pieces: DataFrame, longest: int, lowest: float) -> DataFrame:
-    """``unit, path`` for distinct ``units``: ids of the best path, a character that is no piece as -1 minus its code."""
-    cut = units.repartition("unit").select("unit", F.inline(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.char_length("unit")), lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("unit") - i + 1)), lambda n: F.struct(
-                (i - 1).alias("low"), n.alias("n"), F.substring("unit", i, n).alias("piece")))))))
+def best_paths(units: DataFrame, pieces: DataFrame, longest: int, lowest: float, size: int = SLICE) -> DataFrame:
+    """``h1, h2, path`` for distinct ``units`` (``unit`` and its key ``h1, h2``): ids of the best path, a character that is no
+    piece as -1 minus its code.
+
+    A unit of any length is cut into slices of ``size`` places: substrings are taken from a slice and what follows it,
+    and the fold hands the scores of the last ``longest`` places from slice to slice, so its arrays stay short.
+    """
+    number = F.sequence(F.lit(0), F.floor((F.char_length("unit") - 1) / size).cast("int"))
+    parts = units.select("unit", "h1", "h2", F.explode(number).alias("k")).select(
+        "h1", "h2", (F.col("k") * size).alias("at"), F.substring("unit", F.col("k") * size + 1, F.lit(size + longest - 1)).alias("part"))
+    cut = parts.select("h1", "h2", F.inline(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(size), F.char_length("part"))), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("part") - i + 1)), lambda n: F.struct(
+                (F.col("at") + i - 1).alias("low"), n.alias("n"), F.substring("part", i, n).alias("piece")))))))
     # The piece table has the model's size, which doesn't grow with the corpus.
     known = cut.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
     code = F.conv(F.hex(F.encode("piece", "UTF-32")), 16, 10).cast("int")
-    edges = known.select("unit", "low", (F.col("low") + F.col("n")).alias("high"), F.coalesce(F.col("id"), -1 - code).alias("id"),
-                         F.coalesce("score", F.lit(lowest - PENALTY)).alias("score"))
-    lattice = edges.groupBy("unit").agg(F.collect_list(F.struct("high", "low", "id", "score")).alias("edges"))
-    by_end = F.transform(F.sequence(F.lit(1), F.char_length("unit")), lambda p: F.filter("edges", lambda e: e["high"] == p))
-    lattice = lattice.withColumn("ends", by_end)
-
-    def step(acc, own):
-        best = F.array_max(F.transform(own, lambda e: F.struct(
-            (F.get(acc["score"], e["low"]) + e["score"]).alias("score"), (-e["low"]).alias("back"), e["id"].alias("id"))))
-        return F.struct(F.array_append(acc["score"], best["score"]).alias("score"),
-                        F.array_append(acc["back"], -best["back"]).alias("back"), F.array_append(acc["id"], best["id"]).alias("id"))
-
-    start = F.struct(F.array(F.lit(0.0)).alias("score"), F.array().cast("array<int>").alias("back"), F.array().cast("array<int>").alias("id"))
-    folded = lattice.select("unit", F.aggregate("ends", start, step).alias("v"))
-
-    def back(acc, _):
-        at = acc["at"] - 1
-        return F.when(acc["at"] > 0, F.struct(F.get(F.col("v.back"), at).alias("at"), F.array_append(
-            acc["ids"], F.get(F.col("v.id"), at)).alias("ids"))).otherwise(acc)
-
-    last = F.struct(F.size("v.id").alias("at"), F.array().cast("array<int>").alias("ids"))
-    return folded.select("unit", F.reverse(F.aggregate(F.sequence(F.lit(1), F.size("v.id")), last, back)["ids"]).alias("path"))
+    high = F.col("low") + F.col("n")
+    edge = F.struct(high.alias("high"), "low", F.coalesce("score", F.lit(lowest - PENALTY)).alias("score"),
+                    F.coalesce(F.col("id"), -1 - code).alias("id"))
+    slices = known.groupBy("h1", "h2", F.floor((high - 1) / size).cast("int").alias("k")).agg(
+        F.sort_array(F.collect_list(edge)).alias("edges"))
+    lattice = slices.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("k", "edges"))).alias("slices"))
+
+    # Edges come in the order of their ends. ``best`` is the best way to the place ``at``; ``done`` those to places before it.
+    def way(score, back, own):
+        return F.struct(score.alias("score"), back.alias("back"), own.alias("id"))
+
+    def over_slice(acc, own):
+        base = acc["at"] - F.size(acc["done"])
+
+        def over_edge(a, e):
+            before = F.when(e["low"] == a["at"], a["best"]["score"]).otherwise(F.get(a["done"], e["low"] - base)["score"])
+            new = way(before + e["score"], -e["low"], e["id"])
+            return F.when(e["high"] > a["at"], F.struct(
+                e["high"].alias("at"), new.alias("best"), F.array_append(a["done"], a["best"]).alias("done"))).otherwise(
+                F.struct(a["at"].alias("at"), F.greatest(a["best"], new).alias("best"), a["done"].alias("done")))
+
+        start = F.struct(acc["at"].alias("at"), acc["best"].alias("best"), acc["done"].alias("done"))
+        return F.aggregate(own["edges"], start, over_edge, lambda a: F.struct(
+            a["at"].alias("at"), a["best"].alias("best"), F.slice(
+                a["done"], F.greatest(F.size(a["done"]) - longest + 1, F.lit(1)), F.lit(longest)).alias("done"),
+            F.array_append(acc["ways"], F.slice(a["done"], F.size(acc["done"]) + 1, F.lit(size))).alias("ways")))
+
+    none = way(F.lit(0.0), F.lit(0), F.lit(0))
+    empty = F.array().cast("array<struct<score:double,back:int,id:int>>")
+    first = F.struct(F.lit(0).alias("at"), none.alias("best"), empty.alias("done"),
+                     F.array().cast("array<array<struct<score:double,back:int,id:int>>>").alias("ways"))
+    folded = lattice.select("h1", "h2", F.aggregate("slices", first, over_slice).alias("v"))
+
+    # Back from the end, slice by slice.
+    def back_over(acc, k):
+        def step(a, _):
+            own = F.get(F.get(F.col("v.ways"), k), a["at"] - k * size)
+            return F.when((a["at"] > 0) & (a["at"] >= k * size), F.struct(
+                (-own["back"]).alias("at"), F.array_append(a["ids"], own["id"]).alias("ids"))).otherwise(a)
+
+        start = F.struct(acc["at"].alias("at"), F.array().cast("array<int>").alias("ids"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(F.get(F.col("v.ways"), k))), start, step, lambda a: F.struct(
+            a["at"].alias("at"), F.array_append(acc["ids"], a["ids"]).alias("ids")))
+
+    last = F.struct((-F.col("v.best.back")).alias("at"), F.array(F.array("v.best.id")).alias("ids"))
+    numbers = F.sequence(F.size("v.ways") - 1, F.lit(0), F.lit(-1))
+    return folded.select("h1", "h2", F.reverse(F.flatten(F.aggregate(numbers, last, back_over)["ids"])).alias("path"))
 
 
 def units_of(text: str) -> list[str]:
@@ -110,7 +145,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, ids`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Nulls: a null text is empty and has no ids; a null ``doc_id`` stays null. Repeated rows give repeated results, an empty
-    table none; other columns are left out.
+    table none; other columns are left out. A very long text, and a text without any space, is encoded whole.
     """
     spark = docs.sparkSession
     pieces = piece_table(spark, model_path)
@@ -118,15 +153,20 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    asked = saved(dealt.groupBy("block").applyInPandas(_units, "block int, unit string"))
-    paths = saved(best_paths(asked.select("unit").distinct(), pieces, longest, lowest))
-    answers = asked.join(paths, "unit")
+    asked = saved(dealt.groupBy("block").applyInPandas(_units, "block int, unit string").select(
+        "block", "unit", *wide_key(F.col("unit"))))
+    units = asked.select("unit", "h1", "h2").repartition("h1", "h2").distinct()
+    paths = saved(best_paths(units, pieces, longest, lowest))
+    answers = asked.join(paths, ["h1", "h2"]).select("block", "unit", "path")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _encoded(_byte_ids(model_path)), "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """``rows`` with the text of their ``ids`` in a new column; of null, null. ``▁`` comes back as a space."""
+    """``rows`` with the text of their ``ids`` in the column ``text``; of null, null. ``▁`` comes back as a space.
+
+    A column of that name that ``rows`` already has is replaced.
+    """
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=model_path)
@@ -139,5 +179,6 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text
                 None if own is None else b"".join([spelled[i] for i in own]).decode(errors="replace").removeprefix(" ")
                 for own in batch[ids]]})
 
-    schema = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
+    rows = rows.drop(text) if text != ids else rows
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != text], T.StructField(text, T.StringType())])
     return rows.mapInPandas(run, schema)

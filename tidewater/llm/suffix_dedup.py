@@ -165,6 +165,16 @@ def _contexts(key: tuple, block: pd.DataFrame, anchors: pd.DataFrame) -> pd.Data
         "context": [raw[a: b + LENGTH] for a, b in zip(low.tolist(), high.tolist(), strict=True)]})
 
 
+def _fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of the contexts that are looked for in each text."""
+    for batch in batches:
+        rows = []
+        for node, text, own in zip(batch["node"], batch["text"], batch["own"], strict=True):
+            raw = text.encode()
+            rows += [(o["anchor"], o["key"], o["n"], node, raw[o["start"]: o["start"] + o["size"]]) for o in own]
+        yield pd.DataFrame(rows, columns=["anchor", "key", "n", "node", "context"])
+
+
 def _scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each context the pieces that a context of an earlier document has; rows come in the order of their anchors."""
     def solved(rows: list) -> list:
@@ -200,13 +210,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     long_enough = dealt.where(F.octet_length("text") >= LENGTH)
     packed = long_enough.groupBy("block").applyInPandas(_packed_anchors, "part int, block int, once binary, more binary")
     shared = saved(packed.groupBy("part").applyInPandas(_shared, "block int, anchors binary"))
-    found = saved(long_enough.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(_contexts, CONTEXT).withColumn(
-        "key", F.xxhash64("context")))
-    firsts = saved(found.groupBy("anchor", "key").agg(F.min("node").alias("first")))
+    # Places and hashes only: bytes are fetched where they are compared.
+    found = saved(long_enough.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(_contexts, CONTEXT).select(
+        "anchor", F.xxhash64("context").alias("key"), "node", "start", F.octet_length("context").alias("size")))
+    firsts = saved(found.groupBy("anchor", "key").agg(F.min(F.struct("node", "start", "size")).alias("at")).select(
+        "anchor", "key", F.col("at.node").alias("first"), F.col("at.start").alias("first_start"), F.col("at.size").alias("size")))
     crowds = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    mixed_ones = found.join(crowds, "anchor").groupBy("anchor", "key", "n").agg(
-        F.first("context").alias("context"), F.min("node").alias("node"))
-    mixed_ones = saved(mixed_ones)
+    asked = firsts.join(crowds, "anchor").groupBy(F.col("first").alias("node")).agg(F.collect_list(F.struct(
+        "anchor", "key", "n", F.col("first_start").alias("start"), "size")).alias("own"))
+    mixed_ones = saved(texts.select("node", "text").join(asked, "node").mapInPandas(
+        _fetched, "anchor long, key long, n long, node long, context binary"))
     small = mixed_ones.where(F.col("n") <= PAGE).select("anchor", "key", "node", "context").repartition(
         "anchor").sortWithinPartitions("anchor").mapInPandas(
         _scanned, "anchor long, key long, pieces array<struct<low:int,high:int>>")
@@ -219,8 +232,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     large = strings.join(earliest, ["h1", "h2"]).where("node > earliest").groupBy("anchor", "key").agg(
         F.collect_set(F.struct("low", (F.col("low") + LENGTH).alias("high"))).alias("pieces"))
     pieces = small.union(large)
-    placed = found.select("anchor", "key", "node", "start", F.octet_length("context").alias("size")).join(
-        firsts, ["anchor", "key"])
+    placed = found.join(firsts.select("anchor", "key", "first"), ["anchor", "key"])
     whole = placed.where("node > first").select("node", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high"))
     part = placed.where("node = first").join(pieces, ["anchor", "key"]).select("node", "start", F.inline("pieces")).select(
         "node", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
