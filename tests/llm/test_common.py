@@ -1,0 +1,20 @@
+"""Tables in the shared folder."""
+
+from pyspark.sql import functions as F
+
+from tidewater.llm.common import CLEANUP, saved
+
+
+def shuffles(spark):
+    """How many shuffles have output that is still tracked."""
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    return tracker.shuffleStatuses().size()
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    before, setting = shuffles(spark), spark.conf.get(CLEANUP)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = saved(counted.join(spark.range(7).withColumnRenamed("id", "k").distinct(), "k"))
+    assert kept.count() == 7 and spark.conf.get(CLEANUP) == setting
+    assert shuffles(spark) <= before + 1  # that of the count just taken
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, counted.collect()))

@@ -24,11 +24,24 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
 
 
+#: Spark removes the shuffle files of a statement when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and kept when an executor is lost."""
+    """``df`` as a table in the shared folder: computed once, and kept when an executor is lost.
+
+    The shuffle files of the computation go when the table is written: nothing reads them any more, and the executors'
+    disks hold those of one computation at a time. The session's own setting is put back.
+    """
     spark = df.sparkSession
     path = new_folder(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
