@@ -79,5 +79,14 @@ def test_against_brute_force(spark, tmp_path, monkeypatch):
     assert run(spark, docs, tmp_path) == brute(docs)
 
 
+def test_a_context_several_times_in_its_first_document(spark, tmp_path):
+    """An earlier document has a part of it, so it goes from all its places."""
+    r = random.Random(4)
+    old, new = ("".join(r.choice("abcdefgh") for _ in range(n)) for n in (60, 300))
+    twice = new + old + "-" + new + old + "+" + new[:200]
+    docs = [(1, "x" * 20 + old + "y" * 20), (2, twice), (3, "z" + new), (4, twice + "!")]
+    assert run(spark, docs, tmp_path) == brute(docs)
+
+
 def test_empty(spark, tmp_path):
     assert run(spark, [], tmp_path) == []

@@ -42,7 +42,17 @@ def saved(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.saved_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove ``saved`` tables. All that was computed from them must have been written."""
+    for t in tables:
+        spark = t.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(t.saved_at)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def words(text: Column) -> Column:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import distinct_texts, saved, small_side, wide_key
+from tidewater.llm.common import distinct_texts, dropped, saved, small_side, wide_key
 from tidewater.llm.near_duplicates import mixed
 from tidewater.llm.substring_dedup import sliding_minimum
 
@@ -213,6 +213,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     # Places and hashes only: bytes are fetched where they are compared.
     found = saved(long_enough.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(_contexts, CONTEXT).select(
         "anchor", F.xxhash64("context").alias("key"), "node", "start", F.octet_length("context").alias("size")))
+    dropped(shared)
     firsts = saved(found.groupBy("anchor", "key").agg(F.min(F.struct("node", "start", "size")).alias("at")).select(
         "anchor", "key", F.col("at.node").alias("first"), F.col("at.start").alias("first_start"), F.col("at.size").alias("size")))
     crowds = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
@@ -228,12 +229,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
             i.alias("low"), F.xxhash64(F.substring("context", i + 1, F.lit(LENGTH))).alias("h1"),
             F.xxhash64(F.lit("second"), F.substring("context", i + 1, F.lit(LENGTH))).alias("h2")))).alias("s"))
     strings = strings.select("anchor", "key", "node", "s.*")
-    earliest = strings.groupBy("h1", "h2").agg(F.min("node").alias("earliest"))
+    # Each step is written before the next, so that the disks hold the shuffle of one at a time.
+    earliest = saved(strings.groupBy("h1", "h2").agg(F.min("node").alias("earliest"), F.max("node").alias("latest")).where(
+        "earliest < latest").select("h1", "h2", "earliest"))
     large = strings.join(earliest, ["h1", "h2"]).where("node > earliest").groupBy("anchor", "key").agg(
         F.collect_set(F.struct("low", (F.col("low") + LENGTH).alias("high"))).alias("pieces"))
-    pieces = small.union(large)
+    pieces = saved(small.union(large))
+    dropped(mixed_ones, earliest)
     placed = found.join(firsts.select("anchor", "key", "first"), ["anchor", "key"])
     whole = placed.where("node > first").select("node", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high"))
+    # The first document of a context may have it at several places.
     part = placed.where("node = first").join(pieces, ["anchor", "key"]).select("node", "start", F.inline("pieces")).select(
         "node", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
     return whole.union(part)
