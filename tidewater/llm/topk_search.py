@@ -138,7 +138,12 @@ def top_k(
     rows = vectors.where(usable).select("vec_id", "v").distinct()
     asked = queries.where(usable).select("vec_id", "v").distinct()
     v_blocks, q_blocks = saved(_packed(rows, block_vectors, "v_")), saved(_packed(asked, block_queries, "q_"))
-    pairs = v_blocks.join(q_blocks, "dim")
+    # Which blocks meet is a list of numbers; rows are dealt out by the pair of blocks, a number of tasks that Spark keeps.
+    key = ["dim", "v_block", "q_block"]
+    which = saved(v_blocks.select("dim", "v_block").join(q_blocks.select("dim", "q_block"), "dim"))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = v_blocks.join(which, ["dim", "v_block"]).repartition(tasks, *key).join(
+        q_blocks.join(which, ["dim", "q_block"]), key)
     schema = "query_id long, vec_id long, score long"
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # An id may stand for several vectors, so the cutoff counts ids, not rows.
