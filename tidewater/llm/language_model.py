@@ -6,7 +6,8 @@ the sum of their vectors, each times the matrix of its place, gives a vector who
 plus their biases, are normalised over all classes. Within a class a token has its share of the class by counts, add-one,
 with a share for unknown words. So the probabilities of all known tokens and the unknown one add up to 1.
 
-Training passes over all training texts: each partition starts from the same parameters, learns from its own tokens with
+Texts are cut into tokens once: a block of documents is written as one row, its tokens as places in its own words, which
+training and scoring read. Training passes over all training texts: each partition starts from the same parameters, learns from its own tokens with
 noise drawn from the class counts, and the parameters are averaged by tokens. Counts are summed by parts of the
 vocabulary and sent back to the blocks of documents that need them, so nothing holds the whole vocabulary.
 """
@@ -42,20 +43,28 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def _counted(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-    """The block's words by part of the vocabulary, with their counts in training texts."""
-    counts: Counter = Counter()
-    for text, held in zip(block["text"], block["held_out"], strict=True):
-        if held:
-            for w in set(tokens(text)):
-                counts.setdefault(w, 0)
-        else:
-            counts.update(tokens(text))
-    parts: list[list] = [[] for _ in range(PARTS)]
-    for w in counts:
-        parts[zlib.crc32(w) % PARTS].append(w)
-    return pd.DataFrame([(p, key[0], b"\n".join(own), np.array([counts[w] for w in own], np.int64).tobytes())
-                         for p, own in enumerate(parts) if own], columns=["part", "block", "words", "counts"])
+def _coded(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+    """The block in one row: its documents, its words in order, and its tokens as places in the words."""
+    place: dict[bytes, int] = {}
+    docs = [np.fromiter([place.setdefault(w, len(place)) for w in own], np.int32, len(own)) for own in map(tokens, block["text"])]
+    flat, lengths = np.concatenate(docs), np.array([len(d) for d in docs], np.int32)
+    counts = np.bincount(flat[np.repeat(~block["held_out"].to_numpy(), lengths)], minlength=len(place))
+    return pd.DataFrame([{
+        "block": key[0], "ids": block["doc_id"].astype(object).where(block["doc_id"].notna(), None).tolist(),
+        "held_out": block["held_out"].tolist(), "lengths": lengths.tobytes(), "places": flat.tobytes(),
+        "words": b"\n".join(place), "counts": counts.astype(np.int64).tobytes()}])
+
+
+def _dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words of blocks by part of the vocabulary, with their places and their counts in the block's training texts."""
+    for batch in batches:
+        for r in batch.itertuples():
+            own, counts = r.words.split(b"\n"), np.frombuffer(r.counts, np.int64)
+            part = np.fromiter((zlib.crc32(w) % PARTS for w in own), np.int64, len(own))
+            order = np.argsort(part, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                yield pd.DataFrame([(part[at[0]], r.block, b"\n".join(own[i] for i in at), at.astype(np.int32).tobytes(),
+                                     counts[at].tobytes())], columns=["part", "block", "words", "places", "counts"])
 
 
 def _summed(rows: pd.DataFrame) -> pd.DataFrame:
@@ -66,14 +75,15 @@ def _summed(rows: pd.DataFrame) -> pd.DataFrame:
         for w, n in zip(own, np.frombuffer(r.counts, np.int64).tolist(), strict=True):
             total[w] += n
     known = {w: n for w, n in total.items() if n}
-    out = [(b, p, np.array([total[w] for w in own], np.int64).tobytes(), None, 0)
-           for b, p, own in zip(rows["block"], rows["words"], split, strict=True)]
+    out = [(b, None, p, np.array([total[w] for w in own], np.int64).tobytes(), None, 0)
+           for b, p, own in zip(rows["block"], rows["places"], split, strict=True)]
     best = sorted(known.items(), key=lambda x: (-x[1], x[0]))[:TOP]
     tails = np.zeros((TAILS, 2), np.int64)
     for w, n in known.items():
         tails[zlib.crc32(w[-2:]) % TAILS] += (n, 1)
-    out.append((-1, b"\n".join(w for w, _ in best), np.array([n for _, n in best], np.int64).tobytes(), tails.tobytes(), len(known)))
-    return pd.DataFrame(out, columns=["block", "words", "counts", "tails", "known"])
+    out.append((-1, b"\n".join(w for w, _ in best), None, np.array([n for _, n in best], np.int64).tobytes(),
+                tails.tobytes(), len(known)))
+    return pd.DataFrame(out, columns=["block", "words", "places", "counts", "tails", "known"])
 
 
 class Vocabulary:
@@ -157,6 +167,12 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarr
     return (scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))) / np.log(10)
 
 
+def _documents(r, vocabulary: Vocabulary) -> list[np.ndarray]:
+    """The classes of the tokens of each document of a block."""
+    own = vocabulary.classes(r.words.split(b"\n"))[np.frombuffer(r.places, np.int32)]
+    return np.split(own, np.cumsum(np.frombuffer(r.lengths, np.int32))[:-1])
+
+
 def _trained(shared, epoch: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state, start = shared.value
@@ -164,26 +180,28 @@ def _trained(shared, epoch: int):
         p = {k: v.copy() for k, v in start.items()}
         noise = (vocabulary.totals + 1.0) / (vocabulary.totals + 1.0).sum()
         ends, seen = vocabulary.top.get(END), 0
-        for n, batch in enumerate(batches):
-            codes = []
-            for text in batch["text"]:
-                own = vocabulary.classes(tokens(text))
-                codes.append(contexts_of(own, ends) * CLASSES + own)
-                seen += len(own)
+        for n, r in enumerate(r for batch in batches for r in batch.itertuples()):
+            codes = [np.zeros(0, np.int64)]
+            for own, held in zip(_documents(r, vocabulary), r.held_out, strict=True):
+                if not held:
+                    codes.append(contexts_of(own, ends) * CLASSES + own)
+                    seen += len(own)
             code, times = np.unique(np.concatenate(codes), return_counts=True)
-            learn(p, code // CLASSES, code % CLASSES, times.astype(np.float64), noise, 1000 * epoch + n)
+            if len(code):
+                learn(p, code // CLASSES, code % CLASSES, times.astype(np.float64), noise, 1000 * epoch + n)
         if seen:
             yield pd.DataFrame({"weight": [float(seen)], "values": [np.concatenate([p[k].ravel() for k in SHAPES])]})
 
     return run
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
-    """Parameters learned from ``texts`` (a column ``text``)."""
-    context = texts.sparkSession.sparkContext
+def train(blocks: DataFrame, vocabulary: Vocabulary, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
+    """Parameters learned from the documents of ``blocks`` that are not held out."""
+    context = blocks.sparkSession.sparkContext
+    own = blocks.select("held_out", "lengths", "places", "words")
     p = start_parameters(vocabulary)
     for epoch in range(epochs):
-        learned = texts.mapInPandas(_trained(context.broadcast((vars(vocabulary), p)), epoch), "weight double, values array<double>")
+        learned = own.mapInPandas(_trained(context.broadcast((vars(vocabulary), p)), epoch), "weight double, values array<double>")
         mean = learned.select("weight", F.posexplode("values").alias("i", "x")).groupBy("i").agg(
             (F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x")).toArrow()
         if not mean.num_rows:
@@ -197,16 +215,18 @@ def train(texts: DataFrame, vocabulary: Vocabulary, epochs: int = EPOCHS) -> dic
 
 def _scored(shared):
     def run(key: tuple, block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
+            return pd.DataFrame(columns=[x.split()[0] for x in RESULT.split(", ")])
         state, p = shared.value
         vocabulary = Vocabulary.restored(state)
-        counts: dict[bytes, int] = {}
-        for r in replies.itertuples():
-            counts.update(zip(r.words.split(b"\n"), np.frombuffer(r.counts, np.int64).tolist(), strict=True))
+        r = next(block.itertuples())
+        known = np.zeros(r.words.count(b"\n") + 1, np.int64)
+        for x in replies.itertuples():
+            known[np.frombuffer(x.places, np.int32)] = np.frombuffer(x.counts, np.int64)
         ends, denominator = vocabulary.top.get(END), np.log10(vocabulary.n + vocabulary.words + 1)
-        docs = [tokens(t) for t in block["text"]]
-        classes = [vocabulary.classes(d) for d in docs]
-        contexts = np.concatenate([contexts_of(c, ends) for c in classes]) if docs else np.zeros(0, np.int64)
-        flat = np.concatenate(classes) if docs else contexts
+        classes = _documents(r, vocabulary)
+        contexts = np.concatenate([contexts_of(c, ends) for c in classes])
+        flat = np.concatenate(classes)
         by_class = np.empty(len(flat))
         different, which = np.unique(contexts, return_inverse=True)
         order = np.argsort(which, kind="stable")
@@ -214,20 +234,21 @@ def _scored(shared):
         for n, low in enumerate(range(0, len(different), 4096)):
             own = order[edges[n]: edges[n + 1]]
             by_class[own] = log_probabilities(p, different[low: low + 4096])[which[own] - low, flat[own]]
-        c = np.fromiter([counts[w] for d in docs for w in d], np.int64, len(flat))
+        c = known[np.frombuffer(r.places, np.int32)]
         gain = np.log10(c + 1.0)
         tail = flat >= TOP
         by_class[tail] += gain[tail] - vocabulary.within[flat[tail] - TOP]
-        at = np.cumsum([0, *map(len, docs)])[:-1]
+        at = np.cumsum([0, *map(len, classes)])[:-1]
         return pd.DataFrame({
-            "doc_id": block["doc_id"], "held_out": block["held_out"], "n_tokens": [len(d) for d in docs],
-            "n_known": np.add.reduceat((c > 0).astype(np.int64), at) if docs else [],
-            "train_tokens": vocabulary.n, "base_score": np.add.reduceat(gain - denominator, at) if docs else [],
-            "score": np.add.reduceat(by_class, at) if docs else []})
+            "doc_id": pd.array(r.ids, dtype="Int64"), "held_out": r.held_out, "n_tokens": [len(d) for d in classes],
+            "n_known": np.add.reduceat((c > 0).astype(np.int64), at),
+            "train_tokens": vocabulary.n, "base_score": np.add.reduceat(gain - denominator, at),
+            "score": np.add.reduceat(by_class, at)})
 
     return run
 
 
+BLOCK = "block int, ids array<long>, held_out array<boolean>, lengths binary, places binary, words binary, counts binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -243,12 +264,13 @@ def score_texts(docs: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     rows = rows.withColumn("held_out", is_held_out(F.col("doc_id")))
     blocks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    counted = dealt.groupBy("block").applyInPandas(_counted, "part int, block int, words binary, counts binary")
-    summed = saved(counted.groupBy("part").applyInPandas(
-        _summed, "block int, words binary, counts binary, tails binary, known long"))
+    coded = saved(dealt.groupBy("block").applyInPandas(_coded, BLOCK))
+    summed = saved(coded.select("block", "words", "counts").mapInPandas(
+        _dealt, "part int, block int, words binary, places binary, counts binary").groupBy("part").applyInPandas(
+        _summed, "block int, words binary, places binary, counts binary, tails binary, known long"))
     context = docs.sparkSession.sparkContext
     vocabulary = Vocabulary(summed.where("block = -1").collect())  # a row for each part, with its most frequent words
-    p = train(rows.where(~F.col("held_out")).select("text"), vocabulary, epochs)
-    replies = summed.where("block >= 0").select("block", "words", "counts")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
+    p = train(coded, vocabulary, epochs)
+    replies = summed.where("block >= 0").select("block", "places", "counts")
+    return coded.drop("counts").groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         _scored(context.broadcast((vars(vocabulary), p))), RESULT)
