@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,17 +142,26 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(offsets, pa.array(weight.astype(np.int32)))], ["node", "s", "k"])
 
 
-def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pairs in batches:
-        keep = [probability_jaccard(np.asarray(sa).view(np.uint64), np.asarray(ka), np.asarray(sb).view(np.uint64),
-                                    np.asarray(kb)) >= SIMILARITY
-                for sa, ka, sb, kb in zip(pairs["sa"], pairs["ka"], pairs["sb"], pairs["kb"], strict=True)]
-        yield pairs.loc[keep, ["a", "b"]]
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that are alike, read from the batch in place: a batch is bounded in bytes, and nothing of it is copied."""
+    for batch in batches:
+        s, k, cuts = {}, {}, {}
+        for x in "ab":
+            shingles, counts = batch.column(f"s{x}"), batch.column(f"k{x}")
+            cuts[x] = shingles.offsets.to_numpy()
+            s[x] = shingles.values.to_numpy().view(np.uint64)
+            k[x] = counts.values.to_numpy()
+        keep = np.zeros(batch.num_rows, bool)
+        for i in range(batch.num_rows):
+            (la, ha), (lb, hb) = cuts["a"][i:i + 2], cuts["b"][i:i + 2]
+            keep[i] = probability_jaccard(s["a"][la:ha], k["a"][la:ha], s["b"][lb:hb], k["b"][lb:hb]) >= SIMILARITY
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     left, right = (bags.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"), F.col("k").alias(f"k{x}")) for x in "ab")
-    return saved(pairs.join(left, "a").join(right, "b").mapInPandas(_similar, "a long, b long"))
+    return saved(pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "sa", "ka", "sb", "kb").mapInArrow(_similar, "a long, b long"))
 
 
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
