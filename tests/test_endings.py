@@ -9,7 +9,7 @@ from tests.conftest import rows
 from tidewater.operators import joins, windows
 from tidewater.streaming import cogroups
 from tidewater.streaming.ending import END_OF_TIME, Ending
-from tidewater.streaming.queries import finish, to_files
+from tidewater.streaming.queries import finish, published_state, to_files
 
 ROW = "ts timestamp, user string, id bigint"
 
@@ -141,3 +141,38 @@ def test_hot_groups_in_parts(spark, tmp_path):
     for shard in range(4):
         part = [r for r in got if r["shard"] == shard]
         assert sorted(r["place"] for r in part) == list(range(1, len(part) + 1))
+
+
+def test_many_small_groups_are_few_parts(spark, tmp_path):
+    """A call handles a part of a window, not a group: so many states wait as there are parts, however many groups."""
+    left, right, ending, groups = group_stream(spark, tmp_path, parts=4, chunk=50)
+    left.add(*[(at(1), f"u{i % 300}", i) for i in range(600)], (at(1), None, 600))
+    right.add(*[(at(2), f"u{i}", i) for i in range(150)])
+    begin = start(groups, tmp_path)
+    finish(begin())
+    assert published_state(spark, f"{tmp_path}/checkpoint", "sizes").count() == 4
+    ending.run(begin)
+    got = result(groups, tmp_path)
+    assert got.count() == 751 and got.where("place > n_left + n_right OR (side = 'left') <> (place <= n_left)").isEmpty()
+    assert rows(got.groupBy("user", "n_left", "n_right").count().groupBy("n_left", "n_right", "count").agg(F.count("*"))) == [
+        (1, 0, 1, 1), (2, 0, 2, 150), (2, 1, 3, 150)]
+    assert got.select("user", "place").distinct().count() == 751
+    assert published_state(spark, f"{tmp_path}/checkpoint", "sizes").count() == 0
+
+
+def test_keys_of_other_types_come_back(spark, tmp_path):
+    left, right = Folder(spark, tmp_path / "l"), Folder(spark, tmp_path / "r")
+    keys = {"big": F.col("id") + F.lit(2**60), "day": F.to_date("ts"), "moment": F.expr("ts + INTERVAL 7 MICROSECOND"),
+            "part": F.when(F.col("id") == 1, F.lit(0.1).cast("float")), "raw": F.encode("user", "utf-8")}
+    ending = Ending(spark, f"{tmp_path}/end")
+    sides = [ending.timed(f.read().withColumns(keys), "ts", "0 seconds") for f in (left, right)]
+    members = joins.cogroup_rows(*sides, "ts", "10 seconds", [*keys], F.col("id"), F.col("id"))
+    groups = cogroups.delivered_groups(members, [*keys], parts=1)
+    some = [(at(1), "a", 1), (at(1), None, None)]
+    left.add(*some)
+    right.add(*some)
+    ending.run(start(groups, tmp_path))
+    wanted = spark.createDataFrame(some, ROW).select(*[c.alias(n) for n, c in keys.items()])
+    got = result(groups, tmp_path)
+    assert got.select(*keys).schema.simpleString() == wanted.schema.simpleString()
+    assert rows(got.where("n_left = 1 AND n_right = 1 AND side = 'left'").select(*keys)) == rows(wanted)

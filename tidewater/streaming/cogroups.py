@@ -1,14 +1,15 @@
 """Co-groups of a stream: the members of both sides, delivered together when their window has closed.
 
-A group's members wait in the state store, one list for each side, so neither a task nor a row holds a group: members come
-in by chunks, and go out by chunks when the timer at the window's end fires. The state goes with them.
+Groups of a window are dealt to parts. A part's members wait in the state store, one list for each side, so neither a task
+nor a row holds a group: members come in by chunks, and go out by chunks when the timer at the window's end fires. What a
+task holds is two numbers for each group of one part. The state goes with them.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from tidewater.operators.joins import WINDOW
 from tidewater.session import use_rocksdb
+from tidewater.streaming.parts import PART, dealt, from_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -26,32 +28,39 @@ Chunks = Iterator[pd.DataFrame]
 
 #: Members delivered at a time.
 CHUNK = 10_000
+#: Parts of a window.
+PARTS = 16
 SIDES = ("left", "right")
 #: A group's window in milliseconds; it is delivered at ``CLOSES_AT``.
 CLOSES_AT, OPENS_AT = "closes_at", "opens_at"
 
 
 class CoGroup(StatefulProcessor):
-    """Collects ``side`` and ``payload`` of a key and gives them out at the key's ``closes_at``."""
+    """Collects ``side`` and ``payload`` of the groups of a window's part and gives them out at its ``closes_at``.
 
-    def __init__(self, keys: Sequence[str], chunk: int):
-        self.keys, self.chunk = list(keys), chunk
+    ``groups`` names the columns, all text, that make a group; ``window`` those that make a part.
+    """
+
+    def __init__(self, window: Sequence[str], groups: Sequence[str], chunk: int):
+        self.window, self.groups, self.chunk = list(window), list(groups), chunk
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.members = {side: handle.getListState(side, "payload string") for side in SIDES}
+        member = ", ".join(f"`{c}` string" for c in [*self.groups, "payload"])
+        self.members = {side: handle.getListState(side, member) for side in SIDES}
         self.sizes = handle.getValueState("sizes", "n_left bigint, n_right bigint")
 
     def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
-        if timerValues.getCurrentWatermarkInMs() >= key[0]:  # late: the group is closed
+        if timerValues.getCurrentWatermarkInMs() >= key[0]:  # late: the window is closed
             return iter(())
         found = self.sizes.get()
         sizes = dict(zip(SIDES, (0, 0) if found is None else found, strict=True))
         for chunk in rows:
             for side in SIDES:
-                own = chunk.loc[chunk["side"] == side, "payload"]
+                own = chunk.loc[chunk["side"] == side, [*self.groups, "payload"]]
                 if len(own):
-                    self.members[side].appendList([(None if pd.isna(p) else p,) for p in own])
+                    texts = own.astype(object).where(own.notna(), None)
+                    self.members[side].appendList(list(zip(*[texts[c].tolist() for c in texts.columns], strict=True)))
                     sizes[side] += len(own)
         self.sizes.update(tuple(int(sizes[side]) for side in SIDES))
         if found is None:
@@ -59,24 +68,37 @@ class CoGroup(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Chunks:
-        n_left, n_right = self.sizes.get()
-        place = 0
-        for side in SIDES:
-            if not (n_left if side == "left" else n_right):
-                continue
-            waiting = iter(self.members[side].get())
-            while some := [row[0] for row in islice(waiting, self.chunk)]:
-                yield pd.DataFrame({
-                    **{name: [value] * len(some) for name, value in zip(self.keys, key, strict=True)},
-                    "side": side, "place": range(place + 1, place + len(some) + 1), "n_left": int(n_left),
-                    "n_right": int(n_right), "payload": some})
-                place += len(some)
+        numbers = dict(zip(SIDES, self.sizes.get(), strict=True))
+        full = [side for side in SIDES if numbers[side]]
+        read = {side: self.members[side].get for side in full}
+        if sum(numbers.values()) <= self.chunk:  # read once
+            held = {side: list(read[side]()) for side in full}
+            read = {side: (lambda side=side: held[side]) for side in full}
+        n: dict[tuple, list[int]] = {}
+        for side in full:
+            for row in read[side]():
+                n.setdefault(row[:-1], [0, 0])[SIDES.index(side)] += 1
+        given: dict[tuple, int] = {}
+        waiting = chain.from_iterable(((side, row) for row in read[side]()) for side in full)
+        while some := list(islice(waiting, self.chunk)):
+            places = []
+            for _, row in some:
+                given[row[:-1]] = given.get(row[:-1], 0) + 1
+                places.append(given[row[:-1]])
+            groups = [row[:-1] for _, row in some]
+            yield pd.DataFrame({
+                **{name: [value] * len(some) for name, value in zip(self.window, key, strict=True)},
+                **{name: [g[i] for g in groups] for i, name in enumerate(self.groups)},
+                "side": [side for side, _ in some], "place": places,
+                "n_left": [n[g][0] for g in groups], "n_right": [n[g][1] for g in groups],
+                "payload": [row[-1] for _, row in some]})
         for side in SIDES:
             self.members[side].clear()
         self.sizes.clear()
 
 
-def delivered_groups(members: DataFrame, keys: Sequence[str], shards: int = 1, chunk: int = CHUNK) -> DataFrame:
+def delivered_groups(members: DataFrame, keys: Sequence[str], shards: int = 1, chunk: int = CHUNK,
+                     parts: int = PARTS) -> DataFrame:
     """The groups of ``joins.cogroup_rows`` of two streams, each once its window has closed.
 
     A row for each member: ``window_start``, ``window_end``, the keys, ``side``, ``place`` (from 1 on, the left side first,
@@ -86,19 +108,24 @@ def delivered_groups(members: DataFrame, keys: Sequence[str], shards: int = 1, c
 
     A group is one task's work. Where one key may have a large part of all rows, ``shards`` delivers every group in so many
     parts, numbered ``shard``, by a hash of the payload; place and numbers are those of the part.
+
+    The groups of a window are dealt to ``parts``, each handled by one call: with many small groups, fewer parts are faster,
+    but no more tasks than that work on a window.
     """
-    key_columns = [CLOSES_AT, OPENS_AT, "shard", *keys]
+    groups, window = ["shard", *keys], [CLOSES_AT, OPENS_AT, PART]
     kept = members.select(
         F.unix_millis(F.col(WINDOW)["end"]).alias(CLOSES_AT), F.unix_millis(F.col(WINDOW)["start"]).alias(OPENS_AT),
         F.pmod(F.xxhash64("payload"), F.lit(shards)).cast("int").alias("shard"), *keys, "side",
         F.col("payload").cast("string").alias("payload"))
+    kinds = {c: kept.schema[c].dataType for c in groups}
+    kept = dealt(kept, groups, parts)
     use_rocksdb(members.sparkSession)
     rest = [("side", T.StringType()), ("place", T.LongType()), ("n_left", T.LongType()), ("n_right", T.LongType()),
             ("payload", T.StringType())]
-    schema = T.StructType([*[kept.schema[k] for k in key_columns], *[T.StructField(n, kind) for n, kind in rest]])
-    found = kept.groupBy(*key_columns).transformWithStateInPandas(
-        statefulProcessor=CoGroup(key_columns, chunk), outputStructType=schema, outputMode="append", timeMode="eventTime")
+    schema = T.StructType([*[kept.schema[c] for c in [*window, *groups]], *[T.StructField(n, kind) for n, kind in rest]])
+    found = kept.groupBy(*window).transformWithStateInPandas(
+        statefulProcessor=CoGroup(window, groups, chunk), outputStructType=schema, outputMode="append", timeMode="eventTime")
     return found.select(
-        F.timestamp_millis(OPENS_AT).alias("window_start"), F.timestamp_millis(CLOSES_AT).alias("window_end"), *keys,
-        *(["shard"] if shards > 1 else []), "side", "place", "n_left", "n_right",
+        F.timestamp_millis(OPENS_AT).alias("window_start"), F.timestamp_millis(CLOSES_AT).alias("window_end"),
+        *[from_text(c, kinds[c]) for c in (groups if shards > 1 else keys)], "side", "place", "n_left", "n_right",
         F.col("payload").cast(members.schema["payload"].dataType).alias("payload"))
