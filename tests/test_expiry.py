@@ -69,3 +69,32 @@ def test_equals_the_batch_form(spark, tmp_path):
     batch = running.running_count_with_expiry(table, ["user"], ["ts", "id"], "ts", "60 seconds", slices=20)
     wanted = {row["id"]: row["n"] for row in batch.collect()}
     assert got == wanted and len(wanted) == 300
+
+
+def test_keys_in_parts(spark, tmp_path):
+    """The same counts with a state for each part instead of each key, also with expired counts and null keys."""
+    r = random.Random(9)
+    some = []
+    for part in range(3):
+        own = [(100 * part + i, r.choice([f"u{k}" for k in range(40)] + [None]), at(700 * part + r.randint(0, 650))) for i in range(100)]
+        own += [(1000 + 100 * part + i, "hot", at(700 * part + 6 * i + i // 50 * 60)) for i in range(100)]
+        some += own
+        add(spark, tmp_path, *own)
+    watched = spark.readStream.schema(ROW).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    ending = Ending(spark, f"{tmp_path}/end")
+    counted = count_with_expiry(ending.timed(watched, "ts", "0 seconds"), ["user"], "ts", "id", 60, parts=3)
+
+    def start():
+        return to_files(counted, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+
+    finish(start())
+    kept = published_state(spark, f"{tmp_path}/checkpoint", "count")
+    assert kept.count() > 3 and kept.select("key").distinct().count() <= 3
+    ending.run(start)
+    got = {row["id"]: (row["user"], row["n"]) for row in result(spark, tmp_path).collect()}
+    table = spark.createDataFrame(some, ROW)
+    batch = running.running_count_with_expiry(table, ["user"], ["ts", "id"], "ts", "60 seconds", slices=20)
+    wanted = {row["id"]: (row["user"], row["n"]) for row in batch.collect()}
+    assert got == wanted and len(wanted) == 600
+    assert published_state(spark, f"{tmp_path}/checkpoint", "count").count() == 0
+    assert published_state(spark, f"{tmp_path}/checkpoint", "waiting").count() == 0
