@@ -66,6 +66,29 @@ def test_keys_without_new_rows_are_kept(spark, tmp_path):
     assert rows(kept) == sorted([("a", 8), ("b", 3), (None, 4), ("z", 1)], key=repr)
 
 
+def test_totals_in_parts_move(spark, tmp_path):
+    """A state for each part instead of each key; from keys to parts, to another number of parts, and back to keys."""
+    def build(parts):
+        def stream(df, initial):
+            numbered = df.withColumn("number", F.when(F.col("user").isNotNull(), F.ascii("user") + F.lit(2**60)))
+            return processors.running_sum(numbered, ["user", "number"], "amount", initial=initial, parts=parts).select(
+                "user", "number", "total")
+        return stream
+
+    big, kept, found = 2**60, None, {}
+    some = [FIRST, [*SECOND, *((f"u{i}", "x", i) for i in range(50)), ("u7", "x", 1)], FIRST, SECOND]
+    for n, (rows_in, parts) in enumerate(zip(some, (None, 2, 5, None), strict=True)):
+        found[n], checkpoint, _ = run(spark, tmp_path / str(n), rows_in, 2 + n, build(parts), kept)
+        kept = rescaling.kept_state(spark, checkpoint, "total")
+        if parts:
+            states = spark.read.format("statestore").option("stateVarName", "total").load(checkpoint)
+            assert states.select("key").distinct().count() <= parts < kept.count()
+    assert {("u7", 7, big + ord("u")), ("u7", 8, big + ord("u")), ("a", 18, big + 97), (None, 34, None)} <= {
+        (r["user"], r["total"], r["number"]) for r in found[1].collect()}
+    assert rows(found[3]) == sorted([("a", big + 97, 36), ("c", big + 99, 40), (None, None, 68), ("b", big + 98, 86)], key=repr)
+    assert kept.count() == 54
+
+
 def test_topic_goes_on_where_the_old_query_stopped():
     options = {"subscribe": "t", "startingOffsets": "earliest"}
     assert rescaling.topic_from(options, None) == options

@@ -281,7 +281,7 @@ def stream_rescaled_count(spark, sf_dir):
     views, others = (ones.where(c).drop("event_type") for c in ("event_type = 'view'", "event_type <> 'view'"))
 
     def run(stream, number, folder, initial=None):
-        counted = processors.running_sum(stream, ["user_id"], "one", "n", initial).select("user_id", "n")
+        counted = processors.running_sum(stream, ["user_id"], "one", "n", initial, KEY_PARTS).select("user_id", "n")
         with state_partitions(spark, number):
             finish(to_files(counted, f"{place}/{folder}/out", f"{place}/{folder}/checkpoint"))
         return spark.read.schema(counted.schema).parquet(f"{place}/{folder}/out")

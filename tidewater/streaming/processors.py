@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidewater.session import use_rocksdb
+from tidewater.streaming.parts import PART, dealt, from_text
 
 # Executors get the processors with the job, without this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,6 +60,41 @@ class RunningTotal(StatefulProcessor):
         self.state.update((total,))
 
 
+class PartTotals(StatefulProcessor):
+    """``RunningTotal`` for all keys of a part: what is kept is a list of keys, as text, and their totals."""
+
+    def __init__(self, keys: Sequence[str], value: str, name: str):
+        self.keys, self.value, self.name = list(keys), value, name
+
+    def init(self, handle) -> None:
+        self.state = handle.getListState("total", ", ".join([*(f"`{k}` string" for k in self.keys), "total bigint"]))
+
+    def _of(self, rows: pd.DataFrame) -> list[tuple]:
+        """The keys of rows; text compares as text, and nulls are alike."""
+        texts = rows[self.keys].astype(object)
+        return list(zip(*[texts[k].where(texts[k].notna(), None).tolist() for k in self.keys], strict=True))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        totals = initialState["total"].tolist()
+        self.state.appendList([(*k, int(total)) for k, total in zip(self._of(initialState), totals, strict=True)])
+
+    def handleInputRows(self, key, rows: Chunks, timerValues) -> Chunks:
+        numbers: dict[tuple, int] = {}
+        totals: list[int] = []
+        for row in self.state.get():
+            numbers[row[:-1]] = len(numbers)
+            totals.append(int(row[-1]))
+        for chunk in rows:
+            codes = np.array([numbers.setdefault(k, len(numbers)) for k in self._of(chunk)])
+            totals += [0] * (len(numbers) - len(totals))
+            before = np.array(totals, dtype="int64")
+            sums = chunk[self.value].groupby(codes, sort=False).cumsum().to_numpy() + before[codes]
+            before[codes] = sums  # of equal codes the last one stays
+            totals = before.tolist()
+            yield chunk.assign(**{self.name: sums})
+        self.state.put([(*k, total) for k, total in zip(numbers, totals, strict=True)])
+
+
 class PairMean(StatefulProcessor):
     """Whole-number mean of every two rows; ``padded`` also emits ``(0, 0)`` for a first row."""
 
@@ -178,13 +214,24 @@ def _as_sent(initial: DataFrame | None, sent: DataFrame, keys: Sequence[str]) ->
     """Kept state with keys of the types the rows have."""
     if initial is None:
         return None
-    return initial.select(*[F.col(c).cast(sent.schema[c].dataType) if c in keys else F.col(c) for c in initial.columns])
+    return initial.select(*[from_text(c, sent.schema[c].dataType) if c in keys and initial.schema[c].dataType == T.StringType()
+                            else F.col(c).cast(sent.schema[c].dataType) if c in keys else F.col(c) for c in initial.columns])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], value: str, name: str = "total",
-                initial: DataFrame | None = None) -> DataFrame:
+                initial: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """``df`` and ``name``, the sum of ``value`` up to each row of the keys.
+
+    With ``parts`` the keys are dealt to so many, each handled by one call and kept as one list, which is written anew when
+    a micro-batch has rows of it: for many keys with few rows. Some hundred keys in a part are a good number.
+    """
     amounts = df.withColumn(AMOUNT, F.coalesce(F.col(value).cast("bigint"), F.lit(0)))
-    return _pass_through(amounts, keys, RunningTotal(AMOUNT, name), name, computed=AMOUNT, initial=initial)
+    if parts is None:
+        return _pass_through(amounts, keys, RunningTotal(AMOUNT, name), name, computed=AMOUNT, initial=initial)
+    if initial is not None:
+        initial = dealt(_as_sent(initial, df, keys), keys, parts)
+    summed = _pass_through(dealt(amounts, keys, parts), [PART], PartTotals(keys, AMOUNT, name), name, AMOUNT, initial=initial)
+    return summed.select(*[from_text(c, df.schema[c].dataType) if c in keys else c for c in df.columns], name)
 
 
 def pair_average(df: DataFrame, key: str, value: str, padded: bool = False, initial: DataFrame | None = None) -> DataFrame:

@@ -19,9 +19,12 @@ from tidewater.streaming.queries import published_state
 def kept_state(spark: SparkSession, checkpoint: str, variable: str, items: str | None = None) -> DataFrame:
     """The keys and values of a processor's state ``variable`` as of the last finished micro-batch.
 
-    A map has a row for each of its items; ``items`` names the column of their keys.
+    A map has a row for each of its items; ``items`` names the column of their keys. Of a query that keeps its keys in
+    parts, the keys are text.
     """
     state = published_state(spark, checkpoint, variable)
+    if "list_element" in state.columns:
+        return state.select("list_element.*")
     if items is None:
         return state.select("key.*", "value.*")
     item = F.col("user_map_key").getField(state.schema["user_map_key"].dataType.names[0])
