@@ -28,7 +28,7 @@ from tidewater.streaming.queries import finish, state_partitions, to_batches, to
 DELAY = "3 seconds"
 # Parts of a query's state unless the session sets another number; fixed for the life of a checkpoint.
 STATE_STORES = "16"
-# Parts the keys of a query with many keys are dealt to: at 6 GB of tables some ten thousand rows or a thousand keys each.
+# Parts the keys of a query with many keys are dealt to: at 6 GB of tables some seventy thousand rows and a thousand users each.
 KEY_PARTS = 512
 
 
