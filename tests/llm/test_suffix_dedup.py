@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -90,3 +92,28 @@ def test_a_context_several_times_in_its_first_document(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert run(spark, [], tmp_path) == []
+
+
+def test_contexts_without_repeats_build_no_array(monkeypatch):
+    calls = []
+    real = sd.maximal_repeats
+    monkeypatch.setattr(sd, "maximal_repeats", lambda strings: calls.append(len(strings)) or real(strings))
+    middle = b"the same sixteen"
+    rows = [(1, 1, 1, b"a" * 30 + middle + b"b" * 30), (1, 2, 2, b"c" * 30 + middle + b"d" * 30),
+            (2, 3, 1, b"e" * 30 + middle + b"f" * 30), (2, 4, 5, b"g" * 5 + b"e" * 25 + middle + b"f" * 30)]
+    out = pd.concat(sd._scanned(iter([pd.DataFrame(rows, columns=["anchor", "key", "node", "context"])])))
+    assert calls == [2] and [(r.anchor, r.key, r.pieces) for r in out.itertuples()] == [(2, 4, [(5, 76)])]
+
+
+def test_shared_anchors_are_looked_up_block_by_block(monkeypatch):
+    """Work for a block grows with its own anchors, not with those of all blocks."""
+    sorted_values = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda a, *x, **k: sorted_values.append(len(a)) or unique(a, *x, **k))
+    monkeypatch.setattr(np, "intersect1d", lambda a, b, **k: sorted_values.append(len(a) + len(b)))
+    blocks = [(np.array([b, b + 1], np.uint32), np.array([1000 + b] if b % 2 else [], np.uint32)) for b in range(300)]
+    part = pd.DataFrame([(0, b, once.tobytes(), more.tobytes()) for b, (once, more) in enumerate(blocks)],
+                        columns=["part", "block", "once", "more"])
+    got = {r.block: sorted(np.frombuffer(r.anchors, np.uint32).tolist()) for r in sd._shared(part).itertuples()}
+    assert got == {b: [x for x in (b, b + 1) if 0 < x < 300] + ([1000 + b] if b % 2 else []) for b in range(300)}
+    assert sum(sorted_values) <= 2 * 900
