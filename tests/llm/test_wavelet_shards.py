@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.conftest import SMALL
-from tidewater.llm import queries
+from tidewater.llm import queries, wavelet_shards
 from tidewater.llm.wavelet_shards import WaveletMatrix, WordEncoder, occurrences, read_documents, read_shards, token_counts, write_shards
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -100,3 +100,13 @@ def test_query(spark):
     for doc_id, start, ids in want:
         g = got[doc_id]
         assert (g["start"], g["n_tokens"], g["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_a_full_cache_forgets_no_word_in_use(monkeypatch):
+    monkeypatch.setattr(wavelet_shards, "CACHED_WORDS", 2)
+    encoder, learned = WordEncoder(PATH), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
+    first = encoder.batch(["alpha beta 7th", "beta it's"])
+    assert encoder.batch(["alpha beta 7th", "beta it's"]) == first == encoder.batch(["alpha beta 7th", "beta it's"])
+    assert sorted(learned) == ["7th", "alpha", "beta", "it's"]

@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ SMALL_IDS = 2**20
 SHARD_TOKENS = 4_000_000
 #: Characters dealt to a task, on average.
 TASK_CHARS = 10_000_000
-#: Characters encoded at a time; words and pieces of words a worker remembers.
-CHUNK_CHARS, CACHED_WORDS, CACHED_PIECES = 2_000_000, 300_000, 800_000
+#: Characters encoded at a time; words, in each of two caches, and pieces of words a worker remembers.
+CHUNK_CHARS, CACHED_WORDS, CACHED_PIECES = 5_000_000, 400_000, 800_000
 
 SHARDS = "part int, nth int, n_tokens long, doc_ids array<long>, lengths array<long>, file binary"
 
@@ -213,26 +214,46 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
+    def _pieces_of(self, word: str) -> list[str]:
+        if word.isascii() and word.isalpha():
+            return [word.lower()]
+        return self.PIECES.findall(word.lower()) if self.PLAIN.fullmatch(word) and self.SPECIAL not in word else [word]
+
+    def _learn(self, words: list[str]) -> None:
         if len(self.pieces) > CACHED_PIECES:
             self.pieces = {}
-        plans = {w: self.PIECES.findall(w.lower()) if self.PLAIN.fullmatch(w) and self.SPECIAL not in w else [w]
-                 for w in words}
+        plans = list(map(self._pieces_of, words))
         pieces = self.pieces
-        fresh = list(set(chain.from_iterable(plans.values())).difference(pieces))
+        fresh = list(set(chain.from_iterable(plans)).difference(pieces))
         for piece, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
             pieces[piece] = array("I", e.ids).tobytes()
-        self.words.update((w, b"".join(map(pieces.__getitem__, plan))) for w, plan in plans.items())
+        self.words.update((w, pieces[plan[0]] if len(plan) == 1 else b"".join([pieces[p] for p in plan]))
+                          for w, plan in zip(words, plans, strict=True))
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Packed little-endian unsigned 32-bit ids."""
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of different ``words``. A full cache is kept until the next one is full: words met again move there."""
         if len(self.words) > CACHED_WORDS:
-            self.words = {}
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        self._learn(set(chain.from_iterable(cut)).difference(self.words))
-        return [b"".join(map(self.words.__getitem__, ws)) for ws in cut]
+            self.words, self.older = {}, self.words
+        new = [w for w in words if w not in self.words]
+        self.words.update((w, self.older[w]) for w in new if w in self.older)
+        self._learn([w for w in new if w not in self.words])
+        return list(map(self.words.__getitem__, words))
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Packed little-endian unsigned 32-bit ids. Arrow cuts the texts and numbers their words: each is looked up once."""
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = cut.values.dictionary_encode()
+        own = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        flat, codes = np.frombuffer(b"".join(own), "<u4"), coded.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.append(0, np.cumsum(counts))
+        ids = flat[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts)].tobytes()
+        places = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        return [ids[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
 
 
 _encoders: dict[str, WordEncoder] = {}
