@@ -1,7 +1,9 @@
 """Tables in the shared folder."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidewater.llm import common
 from tidewater.llm.common import CLEANUP, saved
 
 
@@ -18,3 +20,16 @@ def test_saved_tables_leave_no_shuffle_files(spark):
     assert kept.count() == 7 and spark.conf.get(CLEANUP) == setting
     assert shuffles(spark) <= before + 1  # that of the count just taken
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, counted.collect()))
+
+
+def test_batches_for_python_are_small(spark):
+    before = spark.conf.get(common.BATCH_BYTES)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    rows = spark.range(0, 48, 1, 1).select(F.expr("array_repeat(id, 131072)").alias("w"))
+    got = [r["n"] for r in common.saved(rows.mapInArrow(sizes, "n long")).collect()]
+    assert sum(got) >= 48 << 20 and max(got) <= 10 << 20
+    assert spark.conf.get(common.BATCH_BYTES) == before
