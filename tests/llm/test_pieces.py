@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from sentencepiece import SentencePieceProcessor
 
 from tidewater.llm import pieces as pc
@@ -81,3 +83,31 @@ def brute_slices(text, model, table, longest, lowest):
         out.append(best[at][2])
         at = -best[at][1]
     return [i for ids in reversed(out) for i in ids]
+
+
+def test_texts_are_not_shuffled(spark):
+    """Neither texts nor their units take room on the executors' disks."""
+    df = spark.createDataFrame([(1, "some words"), (2, "and some more")], "doc_id long, text string").repartition(2).localCheckpoint()
+    plan = pc.encode(df, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and "CoGroup" not in plan
+
+
+def test_blocks(monkeypatch):
+    """Rows in blocks of some bytes give what they give together; equal hashes of other characters are no pieces."""
+    rows = [("a", 0, -1.0), ("ab", 1, -1.5), ("b", 2, -0.5), ("abb", 3, -2.0)]
+    monkeypatch.setattr(pc.Lattice, "FACTOR", np.uint64(0))  # all hashes are 0
+    lattice = pc.Lattice(rows[:2] + rows[3:], -2.0)
+    ids, sizes = lattice.paths(["ab", "abb", "a", "xab"])
+    assert (ids.tolist(), sizes.tolist()) == ([1, 3, 0, -1 - ord("x"), 1], [1, 1, 1, 2])
+    monkeypatch.undo()
+    texts = ["a b", "", "abb ab\n\nb", "x" * 40, "abab " * 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], ["doc_id", "text"])
+
+    class Whole:
+        value = pc.Lattice(rows, -2.0)
+
+    def encoded(size):
+        monkeypatch.setattr(pc, "BLOCK_BYTES", size)
+        return [r for part in pc._encoder(Whole, [1000 + b for b in range(256)])(iter([batch])) for r in part.to_pylist()]
+
+    assert encoded(8) == encoded(1000) and len(encoded(8)) == 5

@@ -1,10 +1,10 @@
-"""Encoding texts in the pieces of a SentencePiece model, and decoding them, as a relational lattice.
+"""Encoding texts in the pieces of a SentencePiece model, and decoding them, by best paths through lattices.
 
 A space is ``▁`` and a text starts with one. No piece goes over the start of a run of ``▁`` or over a line end, so a text is
-encoded unit by unit, and each distinct unit once for the corpus: its substrings of at most the longest piece's length are
-joined with the piece table, the edges found are grouped by unit, and a fold over the edges in the order of their ends keeps
-the best score and its last edge for each place (Viterbi). A character that is no piece is an edge with a score below all others
-and becomes the pieces of its UTF-8 bytes. Of equal scores the one whose last piece is longer wins.
+encoded unit by unit, and each distinct unit once for a block of text. All units of a block share the steps of one Viterbi:
+the edges are the substrings that are pieces, found by their hashes; each step takes the edges that end at the next place of
+every unit and keeps the best score and its last edge. A character that is no piece is an edge with a score below all others
+and becomes the pieces of its UTF-8 bytes. Of equal scores the one whose last piece is longer wins. Texts are not shuffled.
 
 The best path is the one with the greatest sum of the model's scores, whatever the model was trained for: for a model of
 merges, the library's own encoder merges greedily and may cut a word in other places. Decoding gives the text back either way.
@@ -17,19 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import saved, wide_key
-
 SPACE = "▁"
 #: Below the lowest score by so much is the score of a character that is no piece.
 PENALTY = 10.0
 UNIT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
+#: Text whose distinct units are encoded at once.
 BLOCK_BYTES = 4_000_000
-#: Places of a unit that are worked on at once.
-SLICE = 256
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
@@ -49,98 +49,156 @@ def _byte_ids(path: str) -> list[int]:
     return [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def best_paths(units: DataFrame, pieces: DataFrame, longest: int, lowest: float, size: int = SLICE) -> DataFrame:
-    """``h1, h2, path`` for distinct ``units`` (``unit`` and its key ``h1, h2``): ids of the best path, a character that is no
-    piece as -1 minus its code.
+class Lattice:
+    """The pieces of a model by their hashes, and the best paths of many units at once.
 
-    A unit of any length is cut into slices of ``size`` places: substrings are taken from a slice and what follows it,
-    and the fold hands the scores of the last ``longest`` places from slice to slice, so its arrays stay short.
+    Each place of all units is a step's row: the substrings that end there are looked up longest first by a rolling hash and
+    compared with the piece's characters, so a chance equality of hashes changes nothing.
     """
-    number = F.sequence(F.lit(0), F.floor((F.char_length("unit") - 1) / size).cast("int"))
-    parts = units.select("unit", "h1", "h2", F.explode(number).alias("k")).select(
-        "h1", "h2", (F.col("k") * size).alias("at"), F.substring("unit", F.col("k") * size + 1, F.lit(size + longest - 1)).alias("part"))
-    cut = parts.select("h1", "h2", F.inline(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(size), F.char_length("part"))), lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("part") - i + 1)), lambda n: F.struct(
-                (F.col("at") + i - 1).alias("low"), n.alias("n"), F.substring("part", i, n).alias("piece")))))))
-    # The piece table has the model's size, which doesn't grow with the corpus.
-    known = cut.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
-    code = F.conv(F.hex(F.encode("piece", "UTF-32")), 16, 10).cast("int")
-    high = F.col("low") + F.col("n")
-    edge = F.struct(high.alias("high"), "low", F.coalesce("score", F.lit(lowest - PENALTY)).alias("score"),
-                    F.coalesce(F.col("id"), -1 - code).alias("id"))
-    slices = known.groupBy("h1", "h2", F.floor((high - 1) / size).cast("int").alias("k")).agg(
-        F.sort_array(F.collect_list(edge)).alias("edges"))
-    lattice = slices.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("k", "edges"))).alias("slices"))
-
-    # Edges come in the order of their ends. ``best`` is the best way to the place ``at``; ``done`` those to places before it.
-    def way(score, back, own):
-        return F.struct(score.alias("score"), back.alias("back"), own.alias("id"))
-
-    def over_slice(acc, own):
-        base = acc["at"] - F.size(acc["done"])
-
-        def over_edge(a, e):
-            before = F.when(e["low"] == a["at"], a["best"]["score"]).otherwise(F.get(a["done"], e["low"] - base)["score"])
-            new = way(before + e["score"], -e["low"], e["id"])
-            return F.when(e["high"] > a["at"], F.struct(
-                e["high"].alias("at"), new.alias("best"), F.array_append(a["done"], a["best"]).alias("done"))).otherwise(
-                F.struct(a["at"].alias("at"), F.greatest(a["best"], new).alias("best"), a["done"].alias("done")))
-
-        start = F.struct(acc["at"].alias("at"), acc["best"].alias("best"), acc["done"].alias("done"))
-        return F.aggregate(own["edges"], start, over_edge, lambda a: F.struct(
-            a["at"].alias("at"), a["best"].alias("best"), F.slice(
-                a["done"], F.greatest(F.size(a["done"]) - longest + 1, F.lit(1)), F.lit(longest)).alias("done"),
-            F.array_append(acc["ways"], F.slice(a["done"], F.size(acc["done"]) + 1, F.lit(size))).alias("ways")))
-
-    none = way(F.lit(0.0), F.lit(0), F.lit(0))
-    empty = F.array().cast("array<struct<score:double,back:int,id:int>>")
-    first = F.struct(F.lit(0).alias("at"), none.alias("best"), empty.alias("done"),
-                     F.array().cast("array<array<struct<score:double,back:int,id:int>>>").alias("ways"))
-    folded = lattice.select("h1", "h2", F.aggregate("slices", first, over_slice).alias("v"))
-
-    # Back from the end, slice by slice.
-    def back_over(acc, k):
-        def step(a, _):
-            own = F.get(F.get(F.col("v.ways"), k), a["at"] - k * size)
-            return F.when((a["at"] > 0) & (a["at"] >= k * size), F.struct(
-                (-own["back"]).alias("at"), F.array_append(a["ids"], own["id"]).alias("ids"))).otherwise(a)
-
-        start = F.struct(acc["at"].alias("at"), F.array().cast("array<int>").alias("ids"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(F.get(F.col("v.ways"), k))), start, step, lambda a: F.struct(
-            a["at"].alias("at"), F.array_append(acc["ids"], a["ids"]).alias("ids")))
-
-    last = F.struct((-F.col("v.best.back")).alias("at"), F.array(F.array("v.best.id")).alias("ids"))
-    numbers = F.sequence(F.size("v.ways") - 1, F.lit(0), F.lit(-1))
-    return folded.select("h1", "h2", F.reverse(F.flatten(F.aggregate(numbers, last, back_over)["ids"])).alias("path"))
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, rows: list[tuple[str, int, float]], lowest: float):
+        self.longest = max(len(piece) for piece, _, _ in rows)
+        self.other = lowest - PENALTY
+        self.by_length = {}
+        for n in sorted({len(piece) for piece, _, _ in rows}):
+            own = [r for r in rows if len(r[0]) == n]
+            chars = _codes("".join(piece for piece, _, _ in own)).reshape(-1, n)
+            hashes = self._hashes(chars.ravel(), n)[::n]
+            order = np.argsort(hashes)
+            self.by_length[n] = (hashes[order], chars[order], np.array([i for _, i, _ in own], np.int32)[order],
+                                 np.array([s for _, _, s in own], np.float64)[order])
+
+    def _hashes(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the ``n`` characters from each place on; places too near the end are left out."""
+        out = np.zeros(len(codes) - n + 1, np.uint64)
+        for k in range(n):
+            out = (out + codes[k: len(codes) - n + 1 + k].astype(np.uint64) + np.uint64(1)) * self.FACTOR
+            out ^= out >> np.uint64(29)
+        return out
+
+    def _found(self, codes: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``n, low, ids, scores`` of the pieces of ``n`` characters at the places ``low``; ``left`` are a unit's from a place on."""
+        hashes = np.zeros(len(codes), np.uint64)
+        for n in range(1, self.longest + 1):
+            hashes = hashes[: len(codes) - n + 1]
+            if not len(hashes):
+                return
+            hashes = (hashes + codes[n - 1:].astype(np.uint64) + np.uint64(1)) * self.FACTOR
+            hashes ^= hashes >> np.uint64(29)
+            if n not in self.by_length:
+                continue
+            known, chars, ids, scores = self.by_length[n]
+            low = np.flatnonzero(left[: len(hashes)] >= n)
+            at = np.minimum(np.searchsorted(known, hashes[low]), len(known) - 1)
+            hit = known[at] == hashes[low]
+            low, at = low[hit], at[hit]
+            same = (codes[low[:, None] + np.arange(n)] == chars[at]).all(axis=1)
+            yield n, low[same], ids[at[same]], scores[at[same]]
+
+    def paths(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the best paths of ``units``, one after the other, and how many each has; a character that is no piece is
+        -1 minus its code."""
+        codes, sizes = _codes("".join(units)), np.fromiter(map(len, units), np.int64, len(units))
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        place = np.arange(len(codes)) - np.repeat(begins, sizes)
+        left = np.repeat(sizes, sizes) - place
+        edges = [(np.full(len(codes), 1, np.int8), np.arange(len(codes)), -1 - codes.astype(np.int32), np.full(len(codes), self.other))]
+        for n, low, ids, scores in self._found(codes, left):
+            if n == 1:  # the piece of a character stands for it
+                edges[0][2][low], edges[0][3][low] = ids, scores
+            else:
+                edges.append((np.full(len(low), n, np.int8), low, ids, scores))
+        lengths, low, ids, scores = (np.concatenate(x) for x in zip(*edges, strict=True))
+        # Edges by the place they end at in their unit: a step takes the next place of all units. Longer pieces stay last, and
+        # win among equal scores.
+        high = low + lengths
+        order = np.argsort(place[high - 1] * (len(codes) + 1) + high, kind="stable")
+        lengths, low, high, ids, scores = lengths[order], low[order], high[order], ids[order], scores[order]
+        starts_unit = place[low] == 0
+        best, own = np.full(len(codes) + 1, -np.inf), np.zeros(len(codes) + 1, np.int64)
+        cuts = np.append(np.flatnonzero(np.diff(place[high - 1], prepend=-1)), len(high)).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            # ``best`` of a place is that of the way to its last character; a unit's first place has none before it.
+            total = np.where(starts_unit[a:b], 0.0, best[low[a:b] - 1]) + scores[a:b]
+            last = high[a:b] - 1
+            group = np.flatnonzero(np.diff(last, prepend=-1))
+            most = np.maximum.reduceat(total, group)
+            best[last[group]] = most
+            won = np.flatnonzero(total == np.repeat(most, np.diff(np.append(group, b - a))))
+            own[last[won]] = a + won  # the last of equal ones, the longest, stays
+        # Back from the ends: a step takes the last piece of all units that are not done.
+        taken = np.zeros(len(codes), bool)
+        at, begin = (ends - 1)[sizes > 0], begins[sizes > 0]
+        while len(at):
+            taken[at] = True
+            at = low[own[at]] - 1
+            on = at >= begin
+            at, begin = at[on], begin[on]
+        lasts = np.flatnonzero(taken)
+        return ids[own[lasts]], np.diff(np.append(0, np.cumsum(taken))[np.append(0, ends)])
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 def units_of(text: str) -> list[str]:
     return UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def _units(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-    found: set[str] = set()
-    for text in block["text"]:
-        found.update(units_of(text))
-    return pd.DataFrame({"block": key[0], "unit": list(found)})
-
+def _with_bytes(ids: np.ndarray, counts: np.ndarray, byte_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` of some units, ``counts`` of each, with the pieces of its bytes for each character that is no piece."""
+    odd = np.flatnonzero(ids < 0)
+    if not len(odd):
+        return ids, counts
+    spelled = [[byte_ids[b] for b in chr(-1 - c).encode()] for c in ids[odd].tolist()]
+    sizes = np.ones(len(ids), np.int64)
+    sizes[odd] = list(map(len, spelled))
+    out = np.repeat(ids, sizes)
+    ends = np.append(0, np.cumsum(sizes))
+    for k, own in zip(odd.tolist(), spelled, strict=True):
+        out[ends[k]: ends[k + 1]] = own
+    return out, np.diff(ends[np.append(0, np.cumsum(counts))])
 
-def _encoded(byte_ids: list[int]):
-    def ids_of(path: np.ndarray) -> np.ndarray:
-        if (path >= 0).all():
-            return path
-        return np.array([i for p in path.tolist() for i in ([p] if p >= 0 else [byte_ids[b] for b in chr(-1 - p).encode()])], np.int32)
 
-    def run(key: tuple, block: pd.DataFrame, paths: pd.DataFrame) -> pd.DataFrame:
-        known = {u: ids_of(np.asarray(p, np.int32)) for u, p in zip(paths["unit"], paths["path"], strict=True)}
-        none = np.zeros(0, np.int32)
-        return pd.DataFrame({"doc_id": block["doc_id"], "ids": [
-            np.concatenate([none, *[known[u] for u in units_of(t)]]) for t in block["text"]]})
+def _encoder(lattice: Broadcast, byte_ids: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                numbers: dict[str, int] = {}
+                places, counts = [], []
+                for text in part.column("text").to_pylist():
+                    own = units_of(text)
+                    counts.append(len(own))
+                    places += [numbers.setdefault(u, len(numbers)) for u in own]
+                ids, sizes = _with_bytes(*lattice.value.paths(list(numbers)), byte_ids)
+                places = np.array(places, np.int64)
+                each = sizes[places]
+                ends = np.append(0, np.cumsum(each))
+                flat = ids[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[places] - ends[:-1], each)]
+                offsets = ends[np.append(0, np.cumsum(counts))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))], ["doc_id", "ids"])
 
     return run
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some rows of ``batch`` at a time, of ``BLOCK_BYTES`` of text or one row."""
+    sizes = np.asarray(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), np.int64)
+    low, size = 0, 0
+    for k, own in enumerate(sizes.tolist()):
+        if k > low and size + own > BLOCK_BYTES:
+            yield batch.slice(low, k - low)
+            low, size = k, 0
+        size += own
+    if low < batch.num_rows:
+        yield batch.slice(low)
+
+
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, ids`` for each row of ``docs`` (``doc_id``, ``text``).
 
@@ -149,17 +207,10 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     pieces = piece_table(spark, model_path)
-    longest, lowest = pieces.agg(F.max(F.char_length("piece")), F.min("score")).first()
+    known = [(r["piece"], r["id"], r["score"]) for r in pieces.collect()]  # as many as the model has, whatever the corpus
+    lattice = spark.sparkContext.broadcast(Lattice(known, min(score for _, _, score in known)))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    asked = saved(dealt.groupBy("block").applyInPandas(_units, "block int, unit string").select(
-        "block", "unit", *wide_key(F.col("unit"))))
-    units = asked.select("unit", "h1", "h2").repartition("h1", "h2").distinct()
-    paths = saved(best_paths(units, pieces, longest, lowest))
-    answers = asked.join(paths, ["h1", "h2"]).select("block", "unit", "path")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        _encoded(_byte_ids(model_path)), "doc_id long, ids array<int>")
+    return rows.mapInArrow(_encoder(lattice, _byte_ids(model_path)), "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
