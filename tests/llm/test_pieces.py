@@ -111,3 +111,10 @@ def test_blocks(monkeypatch):
         return [r for part in pc._encoder(Whole, [1000 + b for b in range(256)])(iter([batch])) for r in part.to_pylist()]
 
     assert encoded(8) == encoded(1000) and len(encoded(8)) == 5
+
+
+def test_decode_without_ids(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, [], "y")], "n int, ids array<int>, text string").coalesce(1)
+    assert sorted(map(tuple, pc.decode(df, PATH).collect())) == [(1, None, None), (2, [], "")]
+    own = pc.decode(df.select("n", "ids"), PATH, text="ids")
+    assert sorted(map(tuple, own.collect())) == [(1, None), (2, "")]

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -67,7 +67,9 @@ class Lattice:
             chars = _codes("".join(piece for piece, _, _ in own)).reshape(-1, n)
             hashes = self._hashes(chars.ravel(), n)[::n]
             order = np.argsort(hashes)
-            self.by_length[n] = (hashes[order], chars[order], np.array([i for _, i, _ in own], np.int32)[order],
+            some = np.zeros(1 << 20, bool)  # of most substrings the first bits of the hash say that they are no piece
+            some[hashes >> np.uint64(44)] = True
+            self.by_length[n] = (some, hashes[order], chars[order], np.array([i for _, i, _ in own], np.int32)[order],
                                  np.array([s for _, _, s in own], np.float64)[order])
 
     def _hashes(self, codes: np.ndarray, n: int) -> np.ndarray:
@@ -89,8 +91,8 @@ class Lattice:
             hashes ^= hashes >> np.uint64(29)
             if n not in self.by_length:
                 continue
-            known, chars, ids, scores = self.by_length[n]
-            low = np.flatnonzero(left[: len(hashes)] >= n)
+            some, known, chars, ids, scores = self.by_length[n]
+            low = np.flatnonzero((left[: len(hashes)] >= n) & some[hashes >> np.uint64(44)])
             at = np.minimum(np.searchsorted(known, hashes[low]), len(known) - 1)
             hit = known[at] == hashes[low]
             low, at = low[hit], at[hit]
@@ -168,14 +170,12 @@ def _encoder(lattice: Broadcast, byte_ids: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
-                numbers: dict[str, int] = {}
-                places, counts = [], []
-                for text in part.column("text").to_pylist():
-                    own = units_of(text)
-                    counts.append(len(own))
-                    places += [numbers.setdefault(u, len(numbers)) for u in own]
-                ids, sizes = _with_bytes(*lattice.value.paths(list(numbers)), byte_ids)
-                places = np.array(places, np.int64)
+                cut = list(map(units_of, part.column("text").to_pylist()))
+                counts = list(map(len, cut))
+                units = pa.array(chain.from_iterable(cut), pa.large_string()).dictionary_encode()
+                distinct = units.dictionary.to_numpy(zero_copy_only=False).tolist()
+                ids, sizes = _with_bytes(*lattice.value.paths(distinct), byte_ids)
+                places = units.indices.to_numpy()
                 each = sizes[places]
                 ends = np.append(0, np.cumsum(each))
                 flat = ids[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[places] - ends[:-1], each)]
@@ -224,12 +224,19 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text
     spelled = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i)
                else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(model.get_piece_size())]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.array(spelled, pa.large_binary())
         for batch in batches:
-            yield batch.assign(**{text: [
-                None if own is None else b"".join([spelled[i] for i in own]).decode(errors="replace").removeprefix(" ")
-                for own in batch[ids]]})
+            lists = batch.column(ids)
+            flat = table.take(lists.values)
+            raw = flat.buffers()[2].to_pybytes() if len(flat) and flat.buffers()[2] else b""
+            sizes = np.frombuffer(flat.buffers()[1], np.int64) if len(flat) else np.zeros(1, np.int64)
+            ends = sizes[lists.offsets.to_numpy()].tolist()
+            texts = [raw[a:b].decode(errors="replace").removeprefix(" ") if there else None
+                     for a, b, there in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist(), strict=True)]
+            kept = [n for n in batch.schema.names if n != text]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(texts, pa.string())], [*kept, text])
 
     rows = rows.drop(text) if text != ids else rows
     schema = T.StructType([*[f for f in rows.schema.fields if f.name != text], T.StructField(text, T.StringType())])
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
