@@ -89,3 +89,26 @@ def test_whole_table(spark, tokenizer):
     check(rows, [(r["doc_id"], r["text"]) for r in docs.collect()], tokenizer, 1024)
     tokens, bins = sum(r["length"] for r in rows), len({r["sequence_id"] for r in rows})
     assert bins <= 1.02 * tokens / 1024 + 1
+
+
+def test_new_words_are_encoded_together(tokenizer, monkeypatch):
+    """Thousands of new words take a few calls' texts, not one each; the ids are those of the whole text."""
+    texts = [" ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}ua{'uvwxyz'[i // 100 % 6]}{s}" for i in range(600))
+             for s in ("", ",", ".", "K,", "<|endoftext|>", "\x1c", "é.", ".,", "'s", "\u0301,")] + [" x, y. ,", "", "\n. a", "a "]
+    own, sizes = Encoder(PATH), []
+    encode = own.tokenizer.encode_batch_fast
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, texts, **kwargs):
+            sizes.append(len(texts))
+            return encode(texts, **kwargs)
+
+    own.tokenizer = Counting()
+    got = own.batch(texts)
+    assert [array("I", g).tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(sizes) < 2500  # of some 6,000 words, and twice as many new ones without their signs
+    again = sum(sizes)
+    assert own.batch(texts) == got and sum(sizes) - again < 30

@@ -21,7 +21,6 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import small_side
+from tidewater.llm.tokens import apart, laid_out, marked, together
 
 MAGIC = b"WMX1"
 #: Bits between two counts of ones.
@@ -201,7 +201,8 @@ class WordEncoder:
     """Ids of texts by a lower-casing tokenizer whose words never cross a space or line end.
 
     Words are cut at spaces and remembered. A new word of plain Latin letters, digits and signs is cut as the tokenizer cuts
-    it, so its pieces can be looked up as well; any other word is encoded as it is.
+    it, so its pieces can be looked up as well; any other word is encoded as it is. New pieces of letters are encoded many in a
+    text: only a piece's last token ends it.
     """
 
     #: Fixed values of the tokenizer: how it cuts lower-cased words, here for ``PLAIN`` ones.
@@ -216,6 +217,7 @@ class WordEncoder:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.ends = marked(self.tokenizer, lambda token: token.endswith("</w>"))
 
     def _pieces_of(self, word: str) -> list[str]:
         if word.isascii() and word.isalpha():
@@ -228,8 +230,10 @@ class WordEncoder:
         plans = list(map(self._pieces_of, words))
         pieces = self.pieces
         fresh = list(set(chain.from_iterable(plans)).difference(pieces))
-        for piece, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            pieces[piece] = array("I", e.ids).tobytes()
+        alone = [p for p in fresh if not (p.isascii() and p.isalpha() and p.islower())]
+        joined = list(set(fresh).difference(alone))
+        pieces.update(zip(joined, together(self.tokenizer, joined, " ", self.ends, True), strict=True))
+        pieces.update(zip(alone, apart(self.tokenizer, alone), strict=True))
         self.words.update((w, pieces[plan[0]] if len(plan) == 1 else b"".join([pieces[p] for p in plan]))
                           for w, plan in zip(words, plans, strict=True))
 
@@ -247,13 +251,7 @@ class WordEncoder:
         cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = cut.values.dictionary_encode()
         own = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        flat, codes = np.frombuffer(b"".join(own), "<u4"), coded.indices.to_numpy()
-        counts = sizes[codes]
-        ends = np.append(0, np.cumsum(counts))
-        ids = flat[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts)].tobytes()
-        places = (4 * ends[cut.offsets.to_numpy()]).tolist()
-        return [ids[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+        return laid_out(own, coded.indices.to_numpy(), cut.offsets.to_numpy())
 
 
 _encoders: dict[str, WordEncoder] = {}
