@@ -120,3 +120,26 @@ def test_crowded_bands_lose_no_link(spark):
         docs.append((i, " ".join(w), "x", 1))
     got = classes(spark, docs)
     assert len(got) == 801 and set(got.values()) == {0}
+
+
+def test_families_that_are_not_alike_hardly_meet(spark, monkeypatch):
+    """Families of copies that share bands but are not alike: their members do not meet the others one by one."""
+    r = random.Random(6)
+    base, docs = [f"b{i}" for i in range(200)], []
+    for family in range(6):
+        own = [f"f{family}_{k}" if 30 * family <= k < 30 * family + 20 else w for k, w in enumerate(base)]
+        for _ in range(60):
+            w = list(own)
+            w[r.randrange(200)] = f"e{len(docs)}"
+            docs.append((len(docs), " ".join(w), "x", 1))
+    verified, met = nd._verified, []
+
+    def counting(pairs, bags):
+        met.append(pairs.count())
+        return verified(pairs, bags)
+
+    monkeypatch.setattr(nd, "_verified", counting)
+    monkeypatch.setattr(nd, "small_pairs", lambda members: spark.createDataFrame([], "a long, b long"))
+    got = classes(spark, docs)
+    assert got == {i: i // 60 * 60 for i in range(360)}
+    assert sum(met) < 5000  # by bands alone their members met some 60,000 times

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import saved
 
 PAGE = 24
-#: Pivots of a group in one round.
-MANY = 512
+#: Pivots of a cluster in one round, at most, and how many times those of the round before they are.
+MANY, MORE = 512, 8
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -54,13 +54,15 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return groups.select(pair).distinct()
 
 
-def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFrame], DataFrame],
+                sketches: DataFrame | None = None, may: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``links`` and those that connect the groups of more than ``PAGE`` members; ``verified`` keeps the true pairs.
 
     Groups that have members in common are one cluster, so a pair that is in many groups is looked at once. The first
     pivots are the members with the most links so far: in a cluster of copies with edits of their own that is soon the
-    text they were made from. Then up to ``MANY`` of the members outside the cluster's largest component are pivots at
-    once. A pivot meets the members of other components that it has a group in common with; no member is a pivot twice.
+    text they were made from. Then members outside the cluster's largest component are pivots, ``MORE`` times as many in each
+    round, up to ``MANY``: a few pivots join the large components, whose members need not meet one by one. A pivot meets the members of other components that it has a group in common with; no member is a pivot twice. ``sketches`` may have a
+    ``sketch`` for each ``node``: pairs for which ``may`` excludes that they are true do not meet.
     """
     large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
     if large.isEmpty():
@@ -69,11 +71,12 @@ def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFr
     clusters = components(large.join(heads, "group").where("node <> head").select(
         F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     nodes = saved(large.groupBy("node").agg(F.collect_set("group").alias("groups")).join(
-        clusters.select("node", F.col("root").alias("cluster")), "node"))
+        clusters.select("node", F.col("root").alias("cluster")), "node").join(
+        sketches if sketches else large.select("node", F.lit(0).alias("sketch")).distinct(), "node"))
     used, turn = None, 0
     while True:
         labelled = saved(nodes.join(components(links), "node", "left").select(
-            "cluster", "node", "groups", F.coalesce("root", "node").alias("root")))
+            "cluster", "node", "groups", "sketch", F.coalesce("root", "node").alias("root")))
         parts = labelled.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(
             F.max_by("root", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
         unsettled = saved(labelled.join(parts.select("cluster", "main"), "cluster"))
@@ -83,19 +86,20 @@ def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFr
                 F.count("*").alias("degree"))
             rank = F.struct(F.coalesce(-F.col("degree"), F.lit(0).cast("long")), F.xxhash64("node"), "node")
             pivots = fresh.join(degree, "node", "left").groupBy("cluster").agg(
-                F.min_by(F.struct("node", "root", "groups"), rank).alias("p")).select("cluster", "p.*")
+                F.min_by(F.struct("node", "root", "groups", "sketch"), rank).alias("p")).select("cluster", "p.*")
         else:
             order = Window.partitionBy("cluster").orderBy(F.xxhash64("node"), "node")
             pivots = fresh.where("root <> main").withColumn("nth", F.row_number().over(order)).where(
-                F.col("nth") <= MANY)
+                F.col("nth") <= min(MANY, MORE ** (turn - 1)))
         pivots = saved(pivots.select("cluster", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"),
-                                     F.col("groups").alias("pivot_groups")))
+                                     F.col("groups").alias("pivot_groups"), F.col("sketch").alias("pivot_sketch")))
         if pivots.isEmpty():
             return links
         turn += 1
         now = pivots.select(F.col("pivot").alias("node"))
         used = now if used is None else saved(used.union(now))
         pairs = unsettled.join(pivots, "cluster").where(
-            (F.col("root") != F.col("pivot_root")) & F.arrays_overlap("groups", "pivot_groups")).select(
+            (F.col("root") != F.col("pivot_root")) & F.arrays_overlap("groups", "pivot_groups") & (
+                may(F.col("sketch"), F.col("pivot_sketch")) if may else F.lit(True))).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         links = saved(links.union(verified(pairs)).distinct())

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import distinct_texts, saved, small_side, word_hashes
@@ -129,17 +129,41 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.list_(pa.int64()))], ["node", "bands"])
 
 
+def sketches(shingles: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text 256 bits in four numbers, one of which each distinct shingle turns over, and the number of shingles, 0
+    if some occur more than once."""
+    columns = []
+    for part in range(4):
+        bits = np.where(shingles & np.uint64(3) == part, np.uint64(1) << (shingles >> np.uint64(2) & np.uint64(63)), np.uint64(0))
+        upto = np.append(np.uint64(0), np.bitwise_xor.accumulate(bits))
+        columns.append((upto[offsets[1:]] ^ upto[offsets[:-1]]).view(np.int64))
+    repeated = np.append(0, np.cumsum(weight > 1))[offsets]
+    columns.append(np.where(np.diff(repeated) > 0, 0, np.diff(offsets)).astype(np.int64))
+    return np.stack(columns, axis=1)
+
+
+def may_be_similar(x: Column, y: Column) -> Column:
+    """False only for texts whose ``sketches`` exclude it: of ``s`` shingles of both, at most ``s * (1 - SIMILARITY) / (1 +
+    SIMILARITY)`` may be in one of them only, if none occurs twice in a text."""
+    differ = sum((F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(4)), F.lit(0))
+    n, m = F.get(x, 4), F.get(y, 4)
+    return (n == 0) | (m == 0) | (differ <= (n + m) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6)
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct shingles of each text in order, and their counts."""
+    """The distinct shingles of each text in order, their counts and their sketch."""
     for batch in batches:
         for low in range(0, batch.num_rows, 2000):
             part = batch.slice(low, 2000)
             hashes, lengths = _flat(part.column("w"))
             shingles, doc, weight = weighted(*shingle_hashes(hashes, lengths))
-            offsets = pa.array(np.searchsorted(doc, np.arange(len(lengths) + 1)).astype(np.int32))
+            ends = np.searchsorted(doc, np.arange(len(lengths) + 1)).astype(np.int32)
+            offsets, sketch = pa.array(ends), sketches(shingles, weight, ends)
             yield pa.RecordBatch.from_arrays([
                 part.column("node"), pa.ListArray.from_arrays(offsets, pa.array(shingles.view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(weight.astype(np.int32)))], ["node", "s", "k"])
+                pa.ListArray.from_arrays(offsets, pa.array(weight.astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(sketch) + 1, dtype=np.int32) * 5), pa.array(sketch.ravel()))],
+                ["node", "s", "k", "sketch"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +194,9 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     members = sized(bands.select(F.explode("bands").alias("group"), "node"))
     candidates = small_side(saved(members.select("node").distinct()))
     near = saved(word_hashes(texts.join(candidates, "node", "left_semi")).mapInArrow(
-        _bags, "node long, s array<long>, k array<int>").dropDuplicates(["node"]))
+        _bags, "node long, s array<long>, k array<int>, sketch array<long>").dropDuplicates(["node"]))
     links = _verified(small_pairs(members), near)
-    return pivot_links(members, links, lambda pairs: _verified(pairs, near))
+    return pivot_links(members, links, lambda pairs: _verified(pairs, near), near.select("node", "sketch"), may_be_similar)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
