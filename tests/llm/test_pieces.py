@@ -118,3 +118,12 @@ def test_decode_without_ids(spark):
     assert sorted(map(tuple, pc.decode(df, PATH).collect())) == [(1, None, None), (2, [], "")]
     own = pc.decode(df.select("n", "ids"), PATH, text="ids")
     assert sorted(map(tuple, own.collect())) == [(1, None), (2, "")]
+
+
+def test_query_encodes_and_decodes_in_stages_of_their_own(spark):
+    """One stage with both would hold the Python workers of both at once."""
+    from tests.conftest import SMALL
+    from tidewater.llm.queries import op2_sentencepiece
+
+    plan = op2_sentencepiece(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1

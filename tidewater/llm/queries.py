@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidewater.llm import oracles
 from tidewater.llm.centroid_clustering import cluster, whole_vectors, with_inertia
-from tidewater.llm.common import new_folder, table
+from tidewater.llm.common import new_folder, saved, table
 from tidewater.llm.language_model import score_texts
 from tidewater.llm.line_dedup import dedup_lines
 from tidewater.llm.near_duplicates import near_duplicates
@@ -104,7 +104,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode(table(spark, sf_dir, "documents"), path)
+    # Written first: encoding and decoding in one stage would hold the workers of both, and batches of 64 MB.
+    encoded = saved(encode(table(spark, sf_dir, "documents"), path))
     return decode(encoded, path).select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
