@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import near_duplicates as nd
 from tidewater.llm.components import components
@@ -143,3 +144,47 @@ def test_families_that_are_not_alike_hardly_meet(spark, monkeypatch):
     got = classes(spark, docs)
     assert got == {i: i // 60 * 60 for i in range(360)}
     assert sum(met) < 5000  # by bands alone their members met some 60,000 times
+
+
+def test_families_of_long_texts_with_repeats_hardly_meet(spark, monkeypatch):
+    """As above, of texts of 700 words with a line in them twice."""
+    r = random.Random(8)
+    base, docs = [f"b{i}" for i in range(700)], []
+    line = [f"l{i}" for i in range(9)]
+    for family in range(6):
+        own = [f"f{family}_{k}" if 100 * family <= k < 100 * family + 70 else w for k, w in enumerate(base)]
+        for _ in range(60):
+            w = [*own, *line, "and", *line]
+            w[r.randrange(700)] = f"e{len(docs)}"
+            docs.append((len(docs), " ".join(w), "x", 1))
+    verified, met = nd._verified, []
+
+    def counting(pairs, bags):
+        met.append(pairs.count())
+        return verified(pairs, bags)
+
+    monkeypatch.setattr(nd, "_verified", counting)
+    monkeypatch.setattr(nd, "small_pairs", lambda members: spark.createDataFrame([], "a long, b long"))
+    got = classes(spark, docs)
+    assert got == {i: i // 60 * 60 for i in range(360)}
+    assert sum(met) < 5000
+
+
+def test_sketches_exclude_no_similar_pair(spark):
+    r = np.random.default_rng(3)
+    rows, alike = [], []
+    for _ in range(400):
+        size = int(r.integers(1, 300))
+        x = r.integers(1, r.choice([2, 3, 9]), size) * (r.random(size) < r.choice([0.9, 0.95, 1]))
+        y = x * r.integers(1, 4) * (r.random(size) < r.choice([0.5, 0.75, 0.85, 0.9, 0.95])) + (
+            (x == 0) & (r.random(size) < 0.3))
+        shingles = np.sort(nd.mixed(np.arange(size, dtype=np.uint64) + np.uint64(1000 * len(rows))))
+        bags = [(shingles[n > 0], n[n > 0]) for n in (x, y)]
+        if all(len(s) for s, _ in bags):
+            rows.append([nd.sketches(s, n, np.array([0, len(s)]))[0].tolist() for s, n in bags])
+            alike.append(nd.probability_jaccard(*bags[0], *bags[1]) >= nd.SIMILARITY)
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "i long, x array<long>, y array<long>")
+    may = {row["i"]: row["may"] for row in df.select("i", nd.may_be_similar(F.col("x"), F.col("y")).alias("may")).collect()}
+    assert 100 < sum(alike) < len(alike) - 40
+    assert all(may[i] for i, same in enumerate(alike) if same)
+    assert sum(not may[i] for i in may) > 10

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +52,30 @@ def saved(df: DataFrame) -> DataFrame:
             spark.conf.set(key, value)
     table = spark.read.schema(df.schema).parquet(path)
     table.saved_at = path
+    if (made := _made.get()) is not None:
+        made.append(table)
     return table
 
 
+#: The tables saved so far by the ``settled`` call that runs, if one does.
+_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
+
+
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as a saved table; the tables that ``build`` saved on the way are removed, as nothing reads them any more."""
+    outer, own = _made.get(), []
+    token = _made.set(own)
+    result = None
+    try:
+        result = saved(build())
+    finally:
+        _made.reset(token)
+        dropped(*[t for t in own if t is not result])
+    if outer is not None:
+        outer.append(result)
+    return result
+
+
 def dropped(*tables: DataFrame) -> None:
     """Remove ``saved`` tables. All that was computed from them must have been written."""
     for t in tables:

@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import saved
+from tidewater.llm.common import dropped, saved
 
 PAGE = 24
-#: Pivots of a cluster in one round, at most, and how many times those of the round before they are.
-MANY, MORE = 512, 8
+#: Pivots of a cluster in the third round; how many times those of the round before they are in the next ones, and how many at
+#: most: without and with sketches, which leave few of a pivot's pairs.
+FEW, GROWTH = 8, ((8, 512), (64, 4096))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = saved(both.where("a <> b").distinct())
-    labels = saved(both.groupBy("a").agg(F.min("b").alias("b")).select(
+    old = labels = saved(both.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("node"), F.least("a", "b").alias("root")))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("near")).agg(
@@ -35,8 +36,10 @@ def components(links: DataFrame) -> DataFrame:
         lower = labels.join(near, labels["node"] == near["near"]).select("node", F.least("root", "low").alias("up"), "root")
         jump = lower.join(labels.select(F.col("node").alias("at"), F.col("root").alias("next")), F.col("up") == F.col("at"), "left")
         new = saved(jump.select("node", F.least("up", F.coalesce("next", "up")).alias("low"), "root"))
-        labels = new.select("node", F.col("low").alias("root"))
+        dropped(old)
+        old, labels = new, new.select("node", F.col("low").alias("root"))
         if new.where("low <> root").isEmpty():
+            dropped(both)
             return labels
 
 
@@ -60,8 +63,9 @@ def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFr
 
     Groups that have members in common are one cluster, so a pair that is in many groups is looked at once. The first
     pivots are the members with the most links so far: in a cluster of copies with edits of their own that is soon the
-    text they were made from. Then members outside the cluster's largest component are pivots, ``MORE`` times as many in each
-    round, up to ``MANY``: a few pivots join the large components, whose members need not meet one by one. A pivot meets the members of other components that it has a group in common with; no member is a pivot twice. ``sketches`` may have a
+    text they were made from. Then members outside the cluster's largest component are pivots, more in each round: a few pivots
+    join the large components, whose members need not meet one by one. A pivot meets the members of other components that it
+    has a group in common with; no member is a pivot twice. ``verified`` returns saved tables. ``sketches`` may have a
     ``sketch`` for each ``node``: pairs for which ``may`` excludes that they are true do not meet.
     """
     large = saved(members.where(F.col("size") > PAGE).select("group", "node"))
@@ -74,12 +78,14 @@ def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFr
         clusters.select("node", F.col("root").alias("cluster")), "node").join(
         sketches if sketches else large.select("node", F.lit(0).alias("sketch")).distinct(), "node"))
     used, turn = None, 0
+    more, most = GROWTH[may is not None]
     while True:
         labelled = saved(nodes.join(components(links), "node", "left").select(
             "cluster", "node", "groups", "sketch", F.coalesce("root", "node").alias("root")))
         parts = labelled.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(
             F.max_by("root", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
         unsettled = saved(labelled.join(parts.select("cluster", "main"), "cluster"))
+        dropped(labelled)
         fresh = unsettled if used is None else unsettled.join(used, "node", "left_anti")
         if turn < 2:
             degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
@@ -90,16 +96,18 @@ def pivot_links(members: DataFrame, links: DataFrame, verified: Callable[[DataFr
         else:
             order = Window.partitionBy("cluster").orderBy(F.xxhash64("node"), "node")
             pivots = fresh.where("root <> main").withColumn("nth", F.row_number().over(order)).where(
-                F.col("nth") <= min(MANY, MORE ** (turn - 1)))
+                F.col("nth") <= min(most, FEW * more ** (turn - 2)))
         pivots = saved(pivots.select("cluster", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"),
                                      F.col("groups").alias("pivot_groups"), F.col("sketch").alias("pivot_sketch")))
         if pivots.isEmpty():
             return links
         turn += 1
         now = pivots.select(F.col("pivot").alias("node"))
-        used = now if used is None else saved(used.union(now))
+        used = saved(now if used is None else used.union(now))
         pairs = unsettled.join(pivots, "cluster").where(
-            (F.col("root") != F.col("pivot_root")) & F.arrays_overlap("groups", "pivot_groups") & (
-                may(F.col("sketch"), F.col("pivot_sketch")) if may else F.lit(True))).select(
+            (F.col("root") != F.col("pivot_root")) & (may(F.col("sketch"), F.col("pivot_sketch")) if may else F.lit(True)) &
+            F.arrays_overlap("groups", "pivot_groups")).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        links = saved(links.union(verified(pairs)).distinct())
+        found = verified(pairs)
+        links = saved(links.union(found).distinct())
+        dropped(found, unsettled, pivots)

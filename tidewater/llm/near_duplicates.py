@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import distinct_texts, saved, small_side, word_hashes
+from tidewater.llm.common import distinct_texts, dropped, saved, settled, small_side, word_hashes
 from tidewater.llm.components import components, pivot_links, sized, small_pairs
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 25, 5
+#: Numbers of 64 bits in a sketch: fewer are full before texts of some hundred shingles are told apart.
+SKETCH = 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -130,24 +132,30 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(shingles: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each text 256 bits in four numbers, one of which each distinct shingle turns over, and the number of shingles, 0
-    if some occur more than once."""
-    columns = []
-    for part in range(4):
-        bits = np.where(shingles & np.uint64(3) == part, np.uint64(1) << (shingles >> np.uint64(2) & np.uint64(63)), np.uint64(0))
-        upto = np.append(np.uint64(0), np.bitwise_xor.accumulate(bits))
-        columns.append((upto[offsets[1:]] ^ upto[offsets[:-1]]).view(np.int64))
-    repeated = np.append(0, np.cumsum(weight > 1))[offsets]
-    columns.append(np.where(np.diff(repeated) > 0, 0, np.diff(offsets)).astype(np.int64))
-    return np.stack(columns, axis=1)
+    """For each text ``64 * SKETCH`` bits in numbers, one of which each distinct shingle turns over, the number of shingles,
+    and whether some occur more than once."""
+    docs = len(offsets) - 1
+    bits = np.zeros(docs * SKETCH, np.uint64)
+    place = np.repeat(np.arange(docs) * SKETCH, np.diff(offsets)) + (shingles % np.uint64(SKETCH)).astype(np.int64)
+    np.bitwise_xor.at(bits, place, np.uint64(1) << (shingles // np.uint64(SKETCH) & np.uint64(63)))
+    total = np.diff(np.append(0, np.cumsum(weight))[offsets]).astype(np.int64)
+    return np.column_stack([bits.view(np.int64).reshape(docs, SKETCH), total, total > np.diff(offsets)])
 
 
 def may_be_similar(x: Column, y: Column) -> Column:
-    """False only for texts whose ``sketches`` exclude it: of ``s`` shingles of both, at most ``s * (1 - SIMILARITY) / (1 +
-    SIMILARITY)`` may be in one of them only, if none occurs twice in a text."""
-    differ = sum((F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(4)), F.lit(0))
-    n, m = F.get(x, 4), F.get(y, 4)
-    return (n == 0) | (m == 0) | (differ <= (n + m) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6)
+    """False only for texts whose ``sketches`` exclude it, as more distinct shingles are in one of them only than may be.
+
+    Of ``n`` and ``m`` shingles let shares ``p`` and ``q`` be of those that the other text has not. The probability Jaccard is
+    at most ``(1 - p) (1 - q) / (1 - p q)``: its terms, harmonic in the shares of a common shingle, are concave, so together at
+    most one term of their sums. Of all ``p`` and ``q`` that leave ``SIMILARITY``, ``p n + q m`` is the greatest where it is
+    ``(n + m - 2 SIMILARITY sqrt(n m)) / (1 + SIMILARITY)``. Texts without repeated shingles have the plain Jaccard similarity,
+    so at most ``(n + m) (1 - SIMILARITY) / (1 + SIMILARITY)`` are in one only.
+    """
+    differ = sum((F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(SKETCH)), F.lit(0))
+    n, m = F.get(x, SKETCH), F.get(y, SKETCH)
+    both = F.when((F.get(x, SKETCH + 1) == 0) & (F.get(y, SKETCH + 1) == 0), (n + m) * (1 - SIMILARITY)).otherwise(
+        n + m - F.sqrt(n * m) * (2 * SIMILARITY))
+    return differ <= both / (1 + SIMILARITY) + 1e-6
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +170,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 part.column("node"), pa.ListArray.from_arrays(offsets, pa.array(shingles.view(np.int64))),
                 pa.ListArray.from_arrays(offsets, pa.array(weight.astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(sketch) + 1, dtype=np.int32) * 5), pa.array(sketch.ravel()))],
+                pa.ListArray.from_arrays(pa.array(np.arange(len(sketch) + 1, dtype=np.int32) * (SKETCH + 2)), pa.array(sketch.ravel()))],
                 ["node", "s", "k", "sketch"])
 
 
@@ -192,6 +200,7 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between texts ``(node, text)`` that connect all similar ones."""
     bands = saved(word_hashes(texts).mapInArrow(_band_keys, "node long, bands array<long>"))
     members = sized(bands.select(F.explode("bands").alias("group"), "node"))
+    dropped(bands)
     candidates = small_side(saved(members.select("node").distinct()))
     near = saved(word_hashes(texts.join(candidates, "node", "left_semi")).mapInArrow(
         _bags, "node long, s array<long>, k array<int>, sketch array<long>").dropDuplicates(["node"]))
@@ -208,6 +217,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Nulls: a null text is empty; rows with a null ``doc_id`` are left out. Rows with the same id are one document, even
     if their texts differ. An empty table gives no rows; other columns are left out.
     """
+    return settled(lambda: _classes(docs))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     ids, copies, texts = distinct_texts(docs)
     exact = copies.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     links = near_duplicate_links(texts)
