@@ -1,10 +1,15 @@
 """Tables in the shared folder."""
 
+import os
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidewater.llm import common
 from tidewater.llm.common import CLEANUP, saved
+from tidewater.llm.line_dedup import dedup_lines
+from tidewater.llm.near_duplicates import first_of_class
+from tidewater.llm.substring_dedup import cut_passages
 
 
 def shuffles(spark):
@@ -33,3 +38,28 @@ def test_batches_for_python_are_small(spark):
     got = [r["n"] for r in common.saved(rows.mapInArrow(sizes, "n long")).collect()]
     assert sum(got) >= 48 << 20 and max(got) <= 10 << 20
     assert spark.conf.get(common.BATCH_BYTES) == before
+
+
+def test_operators_leave_only_their_results(spark, tmp_path):
+    """Tables saved on the way go: a stage's disk is free for the next."""
+    shared, text = spark.conf.get("spark.checkpoint.dir"), " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, f"{text}\none line of its own number {i}\n{text} e{i}") for i in range(40)],
+                                 "doc_id long, text string")
+    for stage in (dedup_lines, first_of_class, cut_passages):
+        there = set(os.listdir(shared))
+        stage(docs).write.parquet(str(tmp_path / stage.__name__))
+        assert len(set(os.listdir(shared)) - there) <= 1, stage.__name__
+        assert spark.read.parquet(str(tmp_path / stage.__name__)).count() > 0
+
+
+def test_settled_keeps_what_was_there_before(spark):
+    outer = saved(spark.range(3))
+    inner = []
+
+    def build():
+        inner.append(saved(outer.where("id > 0")))
+        return common.settled(lambda: inner[0].union(saved(outer))).where("id > 1")
+
+    got = common.settled(build)
+    assert sorted(r["id"] for r in got.collect()) == [2, 2] and outer.count() == 3
+    assert not os.path.exists(inner[0].saved_at)
