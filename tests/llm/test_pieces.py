@@ -1,6 +1,7 @@
 """Encoding against a plain Viterbi over whole texts, decoding against the text and the library."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -127,3 +128,21 @@ def test_query_encodes_and_decodes_in_stages_of_their_own(spark):
 
     plan = op2_sentencepiece(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_a_batch_is_encoded_in_little_memory():
+    r, model = random.Random(4), SentencePieceProcessor(model_file=PATH)
+    rows = [(model.id_to_piece(i), i, model.get_score(i)) for i in range(3, model.get_piece_size()) if not model.is_byte(i)]
+
+    class Sent:
+        value = pc.Lattice(rows, min(score for _, _, score in rows))
+
+    texts = [" ".join("".join(r.choices("aeinrstol", k=7)) for _ in range(6000)) for _ in range(120)]  # 6 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        got = sum(part.num_rows for part in pc._encoder(Sent, list(range(256)))(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == 120 and peak < 500e6, peak
