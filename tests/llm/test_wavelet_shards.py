@@ -110,3 +110,18 @@ def test_a_full_cache_forgets_no_word_in_use(monkeypatch):
     first = encoder.batch(["alpha beta 7th", "beta it's"])
     assert encoder.batch(["alpha beta 7th", "beta it's"]) == first == encoder.batch(["alpha beta 7th", "beta it's"])
     assert sorted(learned) == ["7th", "alpha", "beta", "it's"]
+
+
+def test_words_before_signs_are_looked_up_without_them():
+    """Case and a comma or full stop behind a word make no new word; the ids are those of the tokenizer."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = WordEncoder(path), Tokenizer.from_file(path)
+    texts = ["Word, word. WORD, word\nWord.", "word, ", "a;, b.. c., ß, é. 3, d.e, x ,y , . z.", "", "É, ÀB. İ, K. ǅ.", "é, ö. end."]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.batch(texts) == want
+    special = ["A <|endoftext|> b, c. ", "<|ENDOFTEXT|>, Word, x"]
+    assert encoder.batch(special) == [
+        np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in special]
+    few = WordEncoder(path)
+    few.batch(["Word, word. WORD, word and"])
+    assert set(few.words) == {"word", ",", ".", "and"}
