@@ -1,6 +1,7 @@
 """Repeats against brute force over all strings of 50 bytes."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -117,3 +118,25 @@ def test_shared_anchors_are_looked_up_block_by_block(monkeypatch):
     got = {r.block: sorted(np.frombuffer(r.anchors, np.uint32).tolist()) for r in sd._shared(part).itertuples()}
     assert got == {b: [x for x in (b, b + 1) if 0 < x < 300] + ([1000 + b] if b % 2 else []) for b in range(300)}
     assert sum(sorted_values) <= 2 * 900
+
+
+def test_disks_hold_one_step_at_a_time(spark, tmp_path, monkeypatch):
+    """No step moves texts or contexts and the strings of crowded anchors at once, and the tables of contexts go."""
+    plans, tables = [], []
+    real = sd.saved
+
+    def saved(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        tables.append(real(df))
+        return tables[-1]
+
+    monkeypatch.setattr(sd, "saved", saved)
+    monkeypatch.setattr(sd, "PAGE", 8)
+    r = random.Random(3)
+    hot = "".join(r.choice("klmn") for _ in range(90))
+    docs = [(i, "".join(r.choice("opq") for _ in range(40)) + hot + "".join(r.choice("rst") for _ in range(40))) for i in range(40)]
+    assert run(spark, docs, tmp_path) == brute(docs)
+    assert not any("_scanned" in p and "collect_set" in p for p in plans)
+    assert not any("_fetched" in p and "collect_list" in p for p in plans)
+    contexts = [t for t in tables if {"anchor", "low"} & set(t.columns)]
+    assert len(contexts) > 8 and not any(os.path.exists(t.saved_at.removeprefix("file:")) for t in contexts)
